@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import exact_dedup
+from showbill.llm import bpe, exact_dedup
 from showbill.llm.common import documents
 
 
@@ -12,8 +12,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(documents(spark, sf_dir))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_bpe": op4_bpe,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
