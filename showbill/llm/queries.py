@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup
+from showbill.llm import bpe, exact_dedup, mixing
 from showbill.llm.common import documents
 
 
@@ -16,10 +16,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op5_mixing": op5_mixing,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op5_mixing": mixing.ORACLE,
 }
