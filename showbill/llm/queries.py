@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup, mixing
+from showbill.llm import bpe, exact_dedup, mixing, near_dedup
 from showbill.llm.common import documents
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(documents(spark, sf_dir))
 
@@ -21,6 +25,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
