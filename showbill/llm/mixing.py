@@ -108,6 +108,21 @@ def report(docs: DataFrame) -> DataFrame:
     return mix(sized(docs))
 
 
+def repeat(docs: DataFrame) -> DataFrame:
+    """The rows of docs as often as the mix takes them, with the columns of docs.
+
+    A row is given round(taken / size) times, 0 to 2; only the one or two documents of a source that the end of its
+    last block cuts are taken in part. Rows without words are taken 0 times.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # The row's place in the written input names it, so that rows that repeat a doc_id keep their own counts.
+    rows = settle(docs.select(F.struct(*columns).alias("_doc"), F.monotonically_increasing_id().alias("_place")))
+    sizes = sized(rows.select(F.col("_place").alias("doc_id"), "_doc.source", "_doc.text"))
+    # The shuffled order must follow the documents' ids, not their places.
+    times = mix(sizes).where("taken > 0").select(F.col("doc_id").alias("_place"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
+    return rows.join(times, "_place").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup, mixing, near_dedup
+from showbill.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
 from showbill.llm.common import documents
 
 
@@ -24,11 +24,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
