@@ -24,9 +24,9 @@ GOLDEN = 2654435769
 UNIT = 1 << 32
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size (words of the text; 0 for null) of every row."""
-    return docs.select("doc_id", "source", F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORDS})"))).cast("long").alias("size"))
+def sized(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, source, the columns `more` and size (words of the text; 0 for null) of every row."""
+    return docs.select("doc_id", "source", *more, F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORDS})"))).cast("long").alias("size"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -70,13 +70,14 @@ def schedule(spark, shares: DataFrame, slots: int, cells: int = 4096) -> DataFra
 
 
 def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, blocks: int = 4096, buckets: int = 256) -> DataFrame:
-    """doc_id, size, source_size, target and taken for every row of sizes (doc_id, source, size).
+    """doc_id, size, source_size, target, taken and any other columns for every row of sizes (doc_id, source, size).
 
     blocks: slots per source; a block is 1/blocks of the mix's words per source, one word at least, so the schedule's
     length depends on the number of sources and not on the rows. Rows that repeat a doc_id are documents of their own
     on the source's line. Documents without words take 0. An empty table gives an empty result.
     """
     spark = sizes.sparkSession
+    more = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
     sizes = settle(sizes)
     goals = targets(sizes, weights, share, most)
     cum = Window.orderBy(F.col("source").asc_nulls_last())
@@ -90,7 +91,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     shares = shares.select("source_no", F.coalesce(F.lag("high").over(Window.orderBy("source_no")), F.lit(0)).alias("low"), "high")
     slots_of = schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.count("*").alias("times"))
 
-    lined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select("doc_id", "size", "source_no", "source_size", "target")
+    lined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select("doc_id", "size", "source_no", "source_size", "target", *more)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     order = [digest, F.col("doc_id"), F.col("size")]
     placed = running_sum(lined, "source_no", F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % buckets, order, F.col("size"), "start").withColumn("_row", F.monotonically_increasing_id())
@@ -100,7 +101,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     pieces = laid.select("_row", "source_no", "at", "size", F.explode(F.sequence(F.expr(f"at div {block}L"), F.expr(f"(at + size - 1) div {block}L"))).alias("block"))
     within = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("at"), F.col("block") * block)
     taken = pieces.join(slots_of, ["source_no", "block"]).groupBy("_row").agg(F.sum(within * F.col("times")).alias("taken"))
-    return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *more)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -112,14 +113,12 @@ def repeat(docs: DataFrame) -> DataFrame:
     """The rows of docs as often as the mix takes them, with the columns of docs.
 
     A row is given round(taken / size) times, 0 to 2; only the one or two documents of a source that the end of its
-    last block cuts are taken in part. Rows without words are taken 0 times.
+    last block cuts are taken in part. Rows without words are taken 0 times. Rows that repeat a doc_id have counts of
+    their own.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    # The row's place in the written input names it, so that rows that repeat a doc_id keep their own counts.
-    rows = settle(docs.select(F.struct(*columns).alias("_doc"), F.monotonically_increasing_id().alias("_place")))
-    sizes = sized(rows.select(F.col("_place").alias("doc_id"), "_doc.source", "_doc.text"))
-    # The shuffled order must follow the documents' ids, not their places.
-    times = mix(sizes).where("taken > 0").select(F.col("doc_id").alias("_place"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
+    rows = settle(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_place")))
+    mixed = mix(sized(rows.select("_doc.doc_id", "_doc.source", "_doc.text", "_place"), "_place")).where("taken > 0")
+    times = mixed.select("_place", F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
     return rows.join(times, "_place").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
 
 
