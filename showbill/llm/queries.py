@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
+from showbill.llm import bpe, exact_dedup, mixing, near_dedup, quality, toxicity
 from showbill.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(documents(spark, sf_dir))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(documents(spark, sf_dir))
 
@@ -31,6 +35,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
     "op10_toxicity": op10_toxicity,
