@@ -10,9 +10,10 @@ registers of unions are maxima (mergeable) and equal registers are as likely as
 3. In each bucket one pivot is compared with all other members, so a bucket of n members gives n - 1 pairs, never
    all pairs. A maximum-likelihood estimate of the similarity from all registers together and the exact set sizes drops
    pairs that lie over five standard errors below the threshold; the others are confirmed on full sets.
-4. Confirmed links are joined to components. A bucket whose members other than past pivots still lie in more than one
-   component gets its next pivot, from its smallest component, until no such bucket is left. So no pair of a bucket
-   that could join two components goes untested, and a large group of copies is settled in one round.
+4. Confirmed links are joined to components. In buckets whose members still lie in more than one component, a bound on
+   the shingles that a member shares with other components drops those that can't be linked to one; the rest are
+   compared in blocks, and new links joined to the components. So no pair of a bucket that could join two components
+   goes untested, and a large group of copies costs one comparison per member.
 
 Joins on hot keys have plain scans on both sides, whose partitions adaptive execution splits.
 """
@@ -31,6 +32,8 @@ from showbill.llm.common import settle
 BASE = 1.1
 RATE = 20.0
 TOP = 255
+#: Shingles on the longer side of a block of sets that are compared in one group of rows.
+BLOCK = 300_000
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -74,25 +77,20 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def multipliers(registers: int) -> np.ndarray:
-    return mixed(np.arange(1, registers + 1, dtype=np.uint64) * M1) | np.uint64(1)
+    return (mixed(np.arange(1, registers + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def sketch(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The registers of one set, a byte each."""
-    low = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in range(0, len(hashes), 2048):
-        part = hashes[at : at + 2048]
-        for i, f in enumerate(factors):
-            low[i] = min(low[i], (part * f).min())
-    uniform = (mixed_low(low) + 0.5) / 2.0**53
+    """The registers of one set, a byte each. Register i uses the elements' 32-bit hashes times the i-th odd factor."""
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(len(factors), 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(short), 1024):
+        np.minimum(low, (factors[:, None] * short[None, at : at + 1024]).min(1), out=low)
+    uniform = (low.astype(np.float64) + 0.5) / 2.0**32
     level = np.floor(1.0 - np.log(-np.log1p(-uniform) / RATE) / np.log(BASE))
     return np.clip(level, 0, TOP).astype(np.uint8)
 
 
-def mixed_low(low: np.ndarray) -> np.ndarray:
-    return (low >> np.uint64(11)).astype(np.float64)
-
-
 def sketches(docs: DataFrame, width: int, registers: int) -> DataFrame:
     """doc_id, n_shingles, set_key (16-byte digest of the set; null if empty) and registers of each row."""
     import hashlib
@@ -189,6 +187,77 @@ def components(links: DataFrame) -> DataFrame:
         labels = after
 
 
+def in_mixed_buckets(placed: DataFrame) -> DataFrame:
+    """The rows (bucket, node, component) of buckets that lie in more than one component."""
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    return placed.join(settle(mixed), "bucket", "left_semi")
+
+
+def linkable(placed: DataFrame, sets: DataFrame, measured: DataFrame, threshold: int) -> DataFrame:
+    """The rows of placed whose node could be linked to another component, with n_shingles and shared.
+
+    shared counts the node's shingles that some other component of these buckets holds too: no link to another
+    component can share more. With t the threshold, a link needs an intersection of t / (1 + t) of both sizes together,
+    and the other set is no smaller than t of this one. This drops heavily edited copies without comparing them.
+    """
+    own = settle(placed.select("node", "component").distinct())
+    held = own.join(sets, "node").select("node", "component", F.explode("hashes").alias("hash"))
+    common = settle(held.groupBy("hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("hash"))
+    shared = held.join(common, "hash", "left_semi").groupBy("node").agg(F.count("*").alias("shared"))
+    sized = placed.join(shared, "node").join(measured, "node")
+    smallest = sized.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+    other = F.greatest(100 * F.col("least"), threshold * F.col("n_shingles"))
+    return sized.join(smallest, "bucket").where(100 * F.col("shared") * (100 + threshold) >= threshold * (100 * F.col("n_shingles") + other)).drop("least")
+
+
+def links_in_blocks(able: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The links (a, b) between components of each bucket.
+
+    In a bucket, the nodes outside the largest component are compared with all nodes of other components, in blocks of
+    a bounded number of shingles on either side; a block is one group of rows, and gives out nothing but links.
+    """
+    sizes = able.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    shape = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component", "weight")).alias("main"), F.sum("weight").alias("weight"))
+    shape = settle(shape.select(
+        "bucket",
+        F.col("main.component").alias("main"),
+        F.ceil(F.col("weight") / BLOCK).cast("int").alias("columns"),
+        F.ceil((F.col("weight") - F.col("main.weight")) / (BLOCK / 4)).cast("int").alias("lines"),
+    ))
+    rows = able.join(shape, "bucket")
+    line, column = F.pmod(F.xxhash64("node"), "lines").cast("int"), F.pmod(F.xxhash64("node"), "columns").cast("int")
+    keep = ["bucket", "node", "component", "n_shingles", "shared"]
+    tested = rows.where("component <> main").select(*keep, F.lit(True).alias("outside"), line.alias("line"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"))
+    against = rows.select(*keep, F.lit(False).alias("outside"), F.explode(F.sequence(F.lit(0), F.col("lines") - 1)).alias("line"), column.alias("column"))
+    part = settle(tested.unionByName(against))
+
+    def test(t: pa.Table) -> pa.Table:
+        outside = t.column("outside").to_numpy(zero_copy_only=False)
+        node, part_of, size, shared = (t.column(c).to_numpy() for c in ("node", "component", "n_shingles", "shared"))
+        sets = t.column("hashes").combine_chunks()
+        sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+        flat, ends = sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+        inside = np.flatnonzero(~outside)
+        found: set[tuple[int, int]] = set()
+        for x in np.flatnonzero(outside):
+            own = flat[ends[x] : ends[x + 1]]
+            both = size[inside] + size[x]
+            fit = inside[(part_of[inside] != part_of[x]) & ((100 + threshold) * np.minimum(shared[inside], shared[x]) >= threshold * both) & (100 * np.minimum(size[inside], size[x]) >= threshold * np.maximum(size[inside], size[x]))]
+            if not len(fit):
+                continue
+            theirs = np.concatenate([flat[ends[y] : ends[y + 1]] for y in fit])
+            at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            common = np.add.reduceat((own[at] == theirs).astype(np.int64), np.concatenate([[0], np.cumsum(size[fit])[:-1]]))
+            for y in fit[100 * common >= threshold * (size[fit] + size[x] - common)]:
+                found.add((min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))))
+        links = sorted(found)
+        return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
+
+    # The test looks up hashes by bisection, so sets are sorted as signed longs.
+    sorted_sets = sets.select("node", F.array_sort("hashes").alias("hashes"))
+    return part.join(sorted_sets, "node").groupBy("bucket", "line", "column").applyInArrow(test, "a bigint, b bigint")
+
+
 def near_groups(docs: DataFrame, width: int = 5, threshold: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of docs; threshold in per cent.
 
@@ -210,19 +279,12 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: int = 80, bands: int
         return settle(confirmed(settle(plausible(pairs.distinct(), nodes, threshold, registers)), sets, threshold))
 
     links = linked(members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    left = members.where("node <> pivot").select("bucket", "node")
-    while True:
-        parts = components(links)
-        placed = settle(left.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
-        # A bucket's next pivot is a node of its smallest component; one component means that nothing is left to test.
-        smallest = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-        open_buckets = smallest.groupBy("bucket").agg(F.min(F.struct("n", "node", "component")).alias("p"), F.count("*").alias("parts")).where("parts > 1")
-        pivots = settle(open_buckets.select("bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("of")))
-        if pivots.isEmpty():
-            break
-        rest = settle(placed.join(pivots, "bucket").where("node <> pivot"))
-        links = settle(links.union(linked(rest.where("component <> of").select(F.col("node").alias("a"), F.col("pivot").alias("b")))))
-        left = rest.select("bucket", "node")
+    parts = components(links)
+    placed = members.where("node <> pivot").select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    able = settle(linkable(in_mixed_buckets(placed), sets, nodes.select("node", "n_shingles"), threshold))
+    found = settle(links_in_blocks(settle(in_mixed_buckets(able)), sets, threshold).distinct())
+    if not found.isEmpty():
+        parts = components(links.union(found))
     of_set = settle(nodes.join(parts, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id")))
     return sketched.join(of_set, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
