@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -18,7 +19,12 @@ from pyspark.sql import DataFrame
 
 #: The pre-token pattern that belongs to the vocabulary.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-NO_PAIR = 1 << 40
+#: A word with the space before it, or white space; no pre-token crosses the ends of these. The class is Unicode's White_Space.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CHUNK = rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+#: A pair's rank and the id that it merges to share one integer, so that the smaller rank is the smaller number.
+ID_BITS = 20
+NO_PAIR = 1 << 60
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -36,34 +42,10 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-class PairTree:
-    """Minimum over the ranks of adjacent pairs; the root gives the leftmost pair of lowest rank."""
-
-    def __init__(self, ranks: list[int]):
-        self.width = 1 << max(0, (len(ranks) - 1).bit_length())
-        self.low = [NO_PAIR] * self.width + ranks + [NO_PAIR] * (self.width - len(ranks))
-        for i in range(self.width - 1, 0, -1):
-            self.low[i] = min(self.low[2 * i], self.low[2 * i + 1])
-
-    def put(self, at: int, rank: int) -> None:
-        low, i = self.low, at + self.width
-        low[i] = rank
-        while i > 1:
-            i >>= 1
-            low[i] = min(low[2 * i], low[2 * i + 1])
-
-    def first(self) -> int:
-        """The leftmost leaf with the root's rank."""
-        i, want = 1, self.low[1]
-        while i < self.width:
-            i = 2 * i if self.low[2 * i] == want else 2 * i + 1
-        return i - self.width
-
-
 class Codec:
     """Encodes and decodes with one vocabulary file in the tokenizers library's JSON format."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -73,62 +55,88 @@ class Codec:
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a] << ID_BITS | vocab[b]] = rank << ID_BITS | vocab[a + b]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: bytes(of_letter[c] for c in word) for word, i in vocab.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.pieces = regex.compile(PRETOKEN)
+        self.chunks, self.pieces = re.compile(CHUNK), regex.compile(PRETOKEN)
         self.remembered = remembered
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known_pieces: dict[str, list[int]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
+        """The ids of one pre-token. low is a segment tree of minima over the adjacent pairs; its root is the next merge."""
         ids = [self.byte_id[b] for b in piece]
-        n, merges = len(ids), self.merges
+        n, pair = len(ids), self.merges.get
         if n < 2:
             return ids
-        pairs = [merges.get(p) for p in zip(ids, ids[1:])]
-        tree = PairTree([p[0] if p else NO_PAIR for p in pairs])
+        width = 1 << (n - 2).bit_length()
+        low = [NO_PAIR] * (2 * width)
+        low[width : width + n - 1] = [pair(a << ID_BITS | b, NO_PAIR) for a, b in zip(ids, ids[1:])]
+        for i in range(width - 1, 0, -1):
+            a, b = low[2 * i], low[2 * i + 1]
+            low[i] = a if a <= b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while tree.low[1] != NO_PAIR:
-            i = tree.first()
+        mask = (1 << ID_BITS) - 1
+        while (least := low[1]) != NO_PAIR:
+            i = 1
+            while i < width:
+                i *= 2
+                if low[i] != least:
+                    i += 1
+            i -= width
             j = after[i]
-            ids[i] = merges[ids[i], ids[j]][1]
-            ids[j] = -1
+            ids[i], ids[j] = least & mask, -1
             after[i] = k = after[j]
-            if j < n - 1:
-                tree.put(j, NO_PAIR)
+            changes = [(j, NO_PAIR)] if j < n - 1 else []
             if k < n:
                 before[k] = i
-                pair = merges.get((ids[i], ids[k]))
-                tree.put(i, pair[0] if pair else NO_PAIR)
+                changes.append((i, pair(ids[i] << ID_BITS | ids[k], NO_PAIR)))
             else:
-                tree.put(i, NO_PAIR)
+                changes.append((i, NO_PAIR))
             if (h := before[i]) >= 0:
-                pair = merges.get((ids[h], ids[i]))
-                tree.put(h, pair[0] if pair else NO_PAIR)
+                changes.append((h, pair(ids[h] << ID_BITS | ids[i], NO_PAIR)))
+            for at, value in changes:
+                at += width
+                low[at] = value
+                while at > 1:
+                    a, b = low[at], low[at ^ 1]
+                    at >>= 1
+                    if b < a:
+                        a = b
+                    if low[at] == a:
+                        break
+                    low[at] = a
         return [i for i in ids if i >= 0]
 
-    def remember(self, piece: str) -> tuple[str, int, bytes]:
-        if len(self.known) >= self.remembered:
-            self.known.clear()
-        ids = self.merge(piece.encode("utf-8"))
-        got = ",".join(map(str, ids)), len(ids), self.decode_bytes(ids)
-        if len(piece) <= 64:
-            self.known[piece] = got
-        return got
-
-    def coded(self, text: str) -> Iterator[tuple[str, int, bytes]]:
-        """For each pre-token: its ids joined by commas, how many, and the bytes that they decode to."""
-        known, at = self.known, 0
-        for special in self.split_special.finditer(text) if self.split_special else ():
-            for piece in self.pieces.findall(text, at, special.start()):
-                yield known.get(piece) or self.remember(piece)
+    def remember(self, chunk: str) -> tuple[str, int, bytes]:
+        """Encodes a chunk of text; short ones and their pre-tokens are remembered."""
+        ids: list[int] = []
+        for piece in self.pieces.findall(chunk):
+            got = self.known_pieces.get(piece)
+            if got is None:
+                got = self.merge(piece.encode("utf-8"))
+                if len(piece) <= 64:
+                    if len(self.known_pieces) >= self.remembered:
+                        self.known_pieces.clear()
+                    self.known_pieces[piece] = got
+            ids += got
+        coded = ",".join(map(str, ids)), len(ids), self.decode_bytes(ids)
+        if len(chunk) <= 64:
+            if len(self.known) >= self.remembered:
+                self.known.clear()
+            self.known[chunk] = coded
+        return coded
+
+    def coded(self, text: str) -> list[tuple[str, int, bytes]]:
+        """For each chunk of the text: its ids joined by commas, how many, and the bytes that they decode to."""
+        get, remember, found, at = self.known.get, self.remember, [], 0
+        for special in self.split_special.finditer(text) if any(s in text for s in self.special) else ():
+            found += [get(c) or remember(c) for c in self.chunks.findall(text, at, special.start())]
             i, at = self.special[special.group()], special.end()
-            yield str(i), 1, self.bytes_of[i]
-        for piece in self.pieces.findall(text, at) if at else self.pieces.findall(text):
-            yield known.get(piece) or self.remember(piece)
+            found.append((str(i), 1, self.bytes_of[i]))
+        return found + [get(c) or remember(c) for c in self.chunks.findall(text, at)]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _, _ in self.coded(text) for i in ids.split(",")]
@@ -192,10 +200,10 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
         for b in batches:
             count, ids_sha, text_sha = [], [], []
             for text in _texts(b):
-                ids, sizes, back = zip(*own.coded(text), strict=True) if text else ((), (), ())
-                count.append(sum(sizes))
-                ids_sha.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(b"".join(back).decode("utf-8", errors="replace").encode()).hexdigest())
+                coded = own.coded(text)
+                count.append(sum([c[1] for c in coded]))
+                ids_sha.append(hashlib.sha256(",".join([c[0] for c in coded]).encode()).hexdigest())
+                text_sha.append(hashlib.sha256(b"".join([c[2] for c in coded]).decode("utf-8", errors="replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
