@@ -281,7 +281,7 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: int = 80, bands: int
     links = linked(members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     parts = components(links)
     placed = members.where("node <> pivot").select("bucket", "node").join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    able = settle(linkable(in_mixed_buckets(placed), sets, nodes.select("node", "n_shingles"), threshold))
+    able = settle(linkable(settle(in_mixed_buckets(placed)), sets, nodes.select("node", "n_shingles"), threshold))
     found = settle(links_in_blocks(settle(in_mixed_buckets(able)), sets, threshold).distinct())
     if not found.isEmpty():
         parts = components(links.union(found))
