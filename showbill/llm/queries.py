@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup, mixing, near_dedup, quality, toxicity
+from showbill.llm import bpe, exact_dedup, langid, license_scan, mixing, near_dedup, pii, ppm, quality, toxicity
 from showbill.llm.common import documents
 
 
@@ -28,6 +28,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(documents(spark, sf_dir))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(documents(spark, sf_dir))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.report(documents(spark, sf_dir))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(documents(spark, sf_dir))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -38,9 +54,14 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
+    "op6_language": op6_language,
+    "op7_lm_score": op7_lm_score,
+    "op8_licenses": op8_licenses,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op8_licenses": license_scan.ORACLE,
 }
