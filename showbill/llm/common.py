@@ -53,7 +53,8 @@ def heavy_light_lookup(rows: DataFrame, table: DataFrame, on: str, size: str, to
     heavy = marked.where(F.col(size) > bar).drop("_total")
     light = marked.where(F.col(size) <= bar).drop("_total")
     hot = rows.join(F.broadcast(heavy), on)
-    return hot.unionByName(rows.join(light, on))
+    rest = rows.join(F.broadcast(heavy.select(on)), on, "left_anti")
+    return hot.unionByName(rest.join(light, on))
 
 
 def running_sum(df: DataFrame, key: str, bucket: Column, order: Sequence[Column], value: Column, out: str) -> DataFrame:
