@@ -1,14 +1,14 @@
-"""All registered queries and their SQL twins."""
+"""All registered queries of the library itself, and their SQL twins."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from showbill.plans.catalogue import ORACLES, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["listing_filtered_topk"](spark, sf_dir)
+
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
