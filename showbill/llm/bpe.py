@@ -45,7 +45,7 @@ def byte_letters() -> list[str]:
 class Codec:
     """Encodes and decodes with one vocabulary file in the tokenizers library's JSON format."""
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
