@@ -5,7 +5,7 @@ templates: terms by their frequency in the statement and their rarity among temp
 vectors. Only terms of the templates can add to the dot product, so statements meet templates in an equi-join on terms
 with a table of fixed size; the other terms count in the statement's length. A file's licence is its best statement's
 over a threshold. A licence file (by name, or because half of its words are licence statements) speaks for its
-directory, and files without a licence of their own take that of the nearest ancestor directory that has one, found by
+directory, one by name before others, and files without a licence of their own take that of the nearest ancestor directory that has one, found by
 joining the distinct directories' ancestor paths with the directories of licence files.
 """
 
@@ -98,7 +98,7 @@ def scan(docs: DataFrame, least: float = 0.6, share: float = 0.5) -> DataFrame:
     words = files.select("path", F.size(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(f"({TERM})"))).alias("words")).groupBy("path").agg(F.max("words").alias("words"))
     known = settle(words.join(own, "path", "left"))
     speaks = known.where(F.col("license").isNotNull() & (F.col("path").rlike(LICENCE_NAME) | (F.col("licence_words") >= share * F.col("words"))))
-    of_dir = settle(speaks.groupBy(directory("path").alias("dir")).agg(F.max(F.struct("score", "license")).alias("m")).select("dir", F.col("m.license").alias("inherited")))
+    of_dir = settle(speaks.groupBy(directory("path").alias("dir")).agg(F.max(F.struct(F.col("path").rlike(LICENCE_NAME).alias("named"), "score", "license")).alias("m")).select("dir", F.col("m.license").alias("inherited")))
     # The ancestors of a directory are the prefixes of its parts, itself and the top included.
     parts = F.split("home", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("dir")))
