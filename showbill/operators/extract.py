@@ -43,14 +43,14 @@ def page_images(html: Column | str, most: int = 18) -> Column:
     """Image URLs in the order meta, img, each once, without interface images."""
     names = "og:image(?::secure_url)?|twitter:image(?::src)?"
     every = F.concat(*[F.regexp_extract_all(col(html), F.lit(p), 1) for p in (META.format(names=names), META_SWAPPED.format(names=names), IMG)])
-    return F.slice(F.filter(urls.unique_urls(every), urls.is_content_image), 1, most)
+    return F.slice(F.filter(urls.unique_urls(every), lambda u: urls.is_content_image(u)), 1, most)
 
 
 def page_description(html: Column | str, least: int = 24, most: int = 5000) -> Column:
     """The longest description of the page's metadata."""
     names = "og:description|twitter:description|description"
     every = F.concat(*[F.regexp_extract_all(col(html), F.lit(p), 1) for p in (META.format(names=names), META_SWAPPED.format(names=names))], F.array_compact(F.array(F.get_json_object(found(html, JSON_LD), "$.description"))))
-    kept = F.filter(F.transform(every, clean_text), lambda d: F.length(d) >= least)
+    kept = F.filter(F.transform(every, lambda x: clean_text(x)), lambda d: F.length(d) >= least)
     best = F.array_max(F.transform(kept, lambda d: F.struct(F.length(d).alias("n"), d.alias("d"))))
     return F.substring(F.coalesce(best["d"], F.lit("")), 1, most)
 

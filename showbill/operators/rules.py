@@ -121,7 +121,7 @@ def classify(category, title, description, feed=None, rules: list[tuple[str, str
 def editorial_labels(categories, title, description) -> Column:
     """Allowed labels without the contest label; inferred from the text if none is left."""
     allowed = F.array(*[F.lit(x) for x in LABELS if x != COMPETITION])
-    kept = F.array_distinct(F.filter(F.transform(F.coalesce(F.col(categories), F.array()), clean_text), lambda v: F.array_contains(allowed, v)))
+    kept = F.array_distinct(F.filter(F.transform(F.coalesce(F.col(categories), F.array()), lambda x: clean_text(x)), lambda v: F.array_contains(allowed, v)))
     inferred = F.filter(classify(F.lit(""), clean_text(title), clean_text(description)), lambda v: v != COMPETITION)
     labels = F.when(F.size(kept) > 0, kept).otherwise(inferred)
     return F.when(F.size(labels) == 0, F.array(F.lit(OTHER))).otherwise(F.slice(labels, 1, 3))

@@ -16,7 +16,7 @@ _text = StringType()
 SESSION = StructType([StructField(n, _text) for n in ("time", "endTime", "locationName", "location", "latitude", "longitude", "price", "onSales")])
 #: A raw feed record, its aliases side by side; unknown members are dropped by the reader.
 RAW = StructType(
-    [StructField(n, _text) for n in ("id", "UID", "uid", "actId", "title", "titile", "name", "actName", "description", "descriptionFilterHtml", "comment", "category", "categoryName", "startDate", "start", "startTime", "endDate", "end", "endTime", "venueGroup", "locationName", "venue", "location", "address", "latitude", "longitude", "lat", "lng", "price", "Price", "discountInfo", "charge", "onSales", "unit", "organizer", "showUnit", "masterUnit", "sourceUrl", "sourceWebPromote", "website", "url", "webSales", "imageUrl", "hitRate")]
+    [StructField(n, _text) for n in ("id", "UID", "uid_lower", "actId", "title", "titile", "name", "actName", "description", "descriptionFilterHtml", "comment", "category", "categoryName", "startDate", "start", "startTime", "endDate", "end", "endTime", "venueGroup", "locationName", "venue", "location", "address", "latitude", "longitude", "lat", "lng", "price", "price_upper", "discountInfo", "charge", "onSales", "unit", "organizer", "showUnit", "masterUnit", "sourceUrl", "sourceWebPromote", "website", "url", "webSales", "imageUrl", "hitRate")]
     + [StructField("categories", ArrayType(_text)), StructField("images", ArrayType(_text)), StructField("showInfo", ArrayType(SESSION))]
 )
 FREE_PRICE, UNKNOWN_PRICE, UNKNOWN_VENUE = "免費", "詳見活動頁面", "地點待確認"
@@ -26,6 +26,9 @@ def read_json(spark: SparkSession, *paths: str, schema: StructType = RAW) -> Dat
     """Records of JSON files, bare arrays or wrapped as events, data or result; broken files give no rows. ord follows files and positions."""
     wrapped = StructType([StructField(n, ArrayType(schema)) for n in ("events", "data", "result")])
     lines = spark.read.text(list(paths), wholetext=True).withColumn("_file", F.input_file_name())
+    # Spark's columns don't differ by case alone, so the second spelling of a member gets a name of its own.
+    for member, name in (("uid", "uid_lower"), ("Price", "price_upper")):
+        lines = lines.withColumn("value", F.regexp_replace("value", rf'"{member}"(?=\s*:)', f'"{name}"'))
     whole, bare = F.from_json("value", wrapped), F.from_json("value", ArrayType(schema))
     items = F.when(F.ltrim("value").startswith("["), bare).otherwise(F.coalesce(whole["events"], whole["data"], whole["result"]))
     rows = lines.select("_file", F.posexplode(items).alias("_at", "_r"))
@@ -66,8 +69,8 @@ def normalise(raw: DataFrame, profile: str = "etl") -> DataFrame:
     start, end = first_value("startDate", "start", "startTime", s["time"]), first_value("endDate", "end", "endTime", s["endTime"])
     images = F.slice(F.filter(urls.unique_urls(F.concat(F.coalesce("images", F.array()), F.array("imageUrl"))), lambda u: urls.is_content_image(u, profile)), 1, 8)
     at = F.coalesce(geo.coordinate_pair(F.coalesce("latitude", "lat"), F.coalesce("longitude", "lng")), geo.coordinate_pair(s["latitude"], s["longitude"]))
-    price = F.when(F.col("onSales") == "N", FREE_PRICE).otherwise(F.coalesce(F.nullif(clean_text(first_value("price", "Price", s["price"], "discountInfo", "charge")), F.lit("")), F.lit(UNKNOWN_PRICE)))
-    key = F.coalesce(F.nullif(first_value("id", "UID", "uid", "actId"), F.lit("")), stable_id("_title", start, venue))
+    price = F.when(F.col("onSales") == "N", FREE_PRICE).otherwise(F.coalesce(F.nullif(clean_text(first_value("price", "price_upper", s["price"], "discountInfo", "charge")), F.lit("")), F.lit(UNKNOWN_PRICE)))
+    key = F.coalesce(F.nullif(first_value("id", "UID", "uid_lower", "actId"), F.lit("")), stable_id("_title", start, venue))
     return rows.select(
         key.alias("key"), F.col("_title").alias("title"), clean_text(first_value("description", "descriptionFilterHtml", "comment")).alias("description"), F.col("_src").alias("source_url"),
         images.alias("images"), rules.classify("_cat", F.col("_title"), clean_text("description")).alias("categories"),
