@@ -58,9 +58,11 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with the columns of docs; of rows that repeat a doc_id and text, all stay."""
-    return exact_dedup(docs).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_first(docs: DataFrame, salts: int = 16) -> DataFrame:
+    """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, all stay."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", F.unhex(F.sha2(normalised(), 256)).alias("digest"))
+    joined = heavy_light_lookup(rows, exact_groups(docs, salts), "digest", "group_size", docs.agg(F.count("*")))
+    return joined.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("_doc.*")
 
 
 def report(docs: DataFrame) -> DataFrame:

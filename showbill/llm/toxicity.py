@@ -254,9 +254,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_st
     return Model(stems, weights, bias)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of docs and tox_score (0 to 1). Null and empty texts get the score of a text without matches."""
-    names = [c for c in docs.columns if c != "tox_score"]
+def score(docs: DataFrame, model: Model, out: str = "tox_score") -> DataFrame:
+    """The columns of docs and `out` (0 to 1; it replaces a column of that name). Null and empty texts get the score of a text without matches."""
+    names = [c for c in docs.columns if c != out]
     weights = np.array(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,10 +264,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             counts = np.array([own.counts(t) for t in b.column("text").to_pylist()], dtype=float).reshape(-1, len(PATTERNS))
             p = 1 / (1 + np.exp(-np.clip(np.minimum(counts, MOST) @ weights + model.bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], [*names, "tox_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], [*names, out])
 
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("tox_score", DoubleType())]))
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(out, DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -286,5 +286,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score below 0.5, with the columns of docs."""
-    return score(docs, trained(docs, labels)).where("tox_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that score below 0.5, with the columns of docs, whatever their names."""
+    out = "_tox_score" + "_" * max(map(len, docs.columns))
+    return score(docs, trained(docs, labels), out).where(F.col(out) < 0.5).drop(out)

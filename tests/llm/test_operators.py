@@ -50,7 +50,7 @@ def test_exact_dedup(docs):
         assert (g["keep_id"], g["group_size"], g["kept"]) == (min(same), len(same), r[0] == min(same))
         assert g["text_sha256"] == hashlib.sha256(norm[r[0]].encode()).hexdigest()
     kept = exact_dedup.keep_first(docs)
-    assert kept.columns == docs.columns and 1 not in {r["doc_id"] for r in kept.collect()}
+    assert kept.columns == docs.columns and 1 not in {r["doc_id"] for r in kept.collect()} and {r["keep_id"] for r in kept.collect()} == {"clash"}
 
 
 def test_exact_dedup_hot_group(spark):
