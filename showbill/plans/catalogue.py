@@ -372,11 +372,13 @@ def longest_text_per_group(spark, d):
 
 # Favourites and related events
 
-FAV = "fav AS (SELECT key FROM cat WHERE key % 997 = 5)"
+#: The favourites are one user's list: here, the orders of a customer.
+USER = "Customer#000000007"
+FAV = f"fav AS (SELECT key FROM cat WHERE title = '{USER}')"
 
 
 def _favourites(spark, d):
-    return table(spark, d, "orders").where("o_orderkey % 997 = 5").select(F.col("o_orderkey").alias("key"))
+    return catalog(spark, d).where(F.col("title") == USER).select("key")
 
 
 @query(f"WITH {CAT}, {FAV} SELECT key, title FROM cat WHERE key IN (SELECT key FROM fav)")
@@ -394,10 +396,10 @@ def favourites_recommend(spark, d):
     return recommend.recommended(catalog(spark, d), _favourites(spark, d), TODAY).select("key", F.round("affinity", 6).alias("affinity"))
 
 
-@query(f"WITH {CAT}, seeds AS (SELECT * FROM cat WHERE key % 5000 = 7) SELECT s.key AS seed, c.key FROM seeds s JOIN cat c ON s.key <> c.key AND (s.region = c.region OR s.category = c.category)")
+@query(f"WITH {CAT}, seeds AS (SELECT * FROM cat WHERE title = '{USER}') SELECT s.key AS seed, c.key FROM seeds s JOIN cat c ON s.key <> c.key AND (s.region = c.region OR s.category = c.category)")
 def related_union_equi(spark, d):
     events = catalog(spark, d)
-    return recommend.related(events, events.where("key % 5000 = 7"))
+    return recommend.related(events, events.where(F.col("title") == USER))
 
 
 @query(f"WITH {CAT} SELECT venue, key FROM cat QUALIFY row_number() OVER (PARTITION BY venue ORDER BY CASE WHEN {ONGOING} THEN 2 ELSE 0 END + CASE WHEN sd > DATE '1998-08-02' THEN 1 ELSE 0 END DESC, sd DESC, hits DESC, key) = 1")
@@ -435,18 +437,18 @@ def related_links_scored_topk(spark, d):
     return extract.related_pages(table(spark, d, "pages"))
 
 
-@query(r"""WITH q AS (SELECT item_id, text AS e FROM benchmark), t AS (SELECT doc_id, text FROM documents WHERE doc_id < 40), p AS (SELECT item_id, doc_id, regexp_replace(lower(e), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(substr(text, 1, 200)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM q JOIN t ON item_id = doc_id),
+@query(r"""WITH q AS (SELECT item_id, text AS e FROM benchmark), t AS (SELECT doc_id, text FROM documents), p AS (SELECT item_id, doc_id, regexp_replace(lower(e), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(split_part(text, chr(10), 1)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM q JOIN t ON item_id = doc_id),
 g AS (SELECT item_id, list_distinct(list_transform(range(1, length(e)), lambda i: substr(e, i, 2))) AS a, list_distinct(list_transform(range(1, length(c)), lambda i: substr(c, i, 2))) AS b FROM p)
 SELECT item_id, round(len(list_intersect(a, b)) / len(a)::DOUBLE, 6) AS recall FROM g""")
 def title_match_bigram(spark, d):
-    pairs = table(spark, d, "benchmark").select("item_id", text.compact_title("text").alias("e")).join(table(spark, d, "documents").where("doc_id < 40").select(F.col("doc_id").alias("item_id"), text.compact_title(F.substring("text", 1, 200)).alias("c")), "item_id")
+    pairs = table(spark, d, "benchmark").select("item_id", text.compact_title("text").alias("e")).join(table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), text.compact_title(F.split_part("text", F.lit("\n"), F.lit(1))).alias("c")), "item_id")
     return pairs.select("item_id", F.round(F.size(F.array_intersect(text.bigrams("e"), text.bigrams("c"))) / F.size(text.bigrams("e")), 6).alias("recall"))
 
 
 @query(None)
 def title_match_ratio(spark, d):
     pairs = table(spark, d, "benchmark").join(table(spark, d, "documents").withColumnRenamed("text", "body"), F.col("item_id") == F.col("doc_id"))
-    return pairs.select("item_id", text.title_score("text", F.substring("body", 1, 200), "body").alias("score"))
+    return pairs.select("item_id", text.title_score("text", F.split_part("body", F.lit("\n"), F.lit(1)), "body").alias("score"))
 
 
 @query("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")
