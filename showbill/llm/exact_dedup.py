@@ -7,7 +7,7 @@ digest and whole normalised text agree:
 2. over salted digest groups, the salt being the task's number, so a text that every task holds is met by many reducers;
 3. over the salts' winners.
 
-What joins back to the documents is the digest alone, a few bytes: stage 3 has compared all whole texts of a digest,
+What joins back to the documents is the digest alone, a few bytes, from a table that is written once: stage 3 has compared all whole texts of a digest,
 and fails the job should one digest ever stand for two texts, rather than merge them.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from showbill.llm.common import SPACES, heavy_light_lookup
+from showbill.llm.common import SPACES, heavy_light_lookup, settle
 
 
 def normalised(text="text"):
@@ -48,7 +48,7 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
     """
     added = ["keep_id", "group_size", "kept", "text_sha256", "digest"]
     rows = docs.drop(*added).withColumn("digest", F.unhex(F.sha2(normalised(), 256)))
-    joined = heavy_light_lookup(rows, exact_groups(docs, salts), "digest", "group_size", docs.agg(F.count("*")))
+    joined = heavy_light_lookup(rows, settle(exact_groups(docs, salts)), "digest", "group_size", docs.agg(F.count("*")))
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in added],
         "keep_id",
@@ -61,7 +61,7 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
 def keep_first(docs: DataFrame, salts: int = 16) -> DataFrame:
     """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, all stay."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", F.unhex(F.sha2(normalised(), 256)).alias("digest"))
-    joined = heavy_light_lookup(rows, exact_groups(docs, salts), "digest", "group_size", docs.agg(F.count("*")))
+    joined = heavy_light_lookup(rows, settle(exact_groups(docs, salts)), "digest", "group_size", docs.agg(F.count("*")))
     return joined.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("_doc.*")
 
 
