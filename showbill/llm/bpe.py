@@ -17,6 +17,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from showbill.llm.common import kept
+
 #: The pre-token pattern that belongs to the vocabulary.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A word with the space before it, or white space; no pre-token crosses the ends of these. The class is Unicode's White_Space.
@@ -148,14 +150,9 @@ class Codec:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
     """The worker's codec for a vocabulary, kept between tasks."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+    return kept(("codec", path), lambda: Codec(path))
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:

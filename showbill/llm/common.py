@@ -16,6 +16,17 @@ WORDS = r"[^\x20\x09-\x0D]+"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
 
+_kept: dict = {}
+
+
+def kept(key, make):
+    """What make() builds in a Python worker, kept between its tasks; only the last operator's, as workers outlive stages."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

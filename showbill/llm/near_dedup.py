@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from showbill.llm.common import settle
+from showbill.llm.common import kept, settle
 
 BASE = 1.1
 RATE = 20.0
@@ -59,15 +59,12 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()
-
-
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of `width` words; of all words as one shingle where there are fewer; empty without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(kept("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
     wide = min(width, len(h))
     n = len(h) - wide + 1
     acc = np.full(n, wide, np.uint64)
