@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,11 +193,13 @@ def test_lm_base(docs):
 
 
 def test_ppm_next_byte_sums_to_one(spark):
-    texts = spark.createDataFrame([("abra cadabra abracadabra", True), ("cad bra abra", True), ("zz unseen", False)], "text string, learned boolean")
-    own = ppm.Speller(ppm.learn(ppm.word_counts(texts)))
+    texts = spark.createDataFrame([("abra cadabra abracadabra", 0), ("cad bra abra", 0), ("zz unseen", None), ("bra ccc", 1)], "text string, part int")
+    own = ppm.Speller(ppm.learn(ppm.word_counts(texts, 2), [0.5, 0.5]))
     for before in (b"", b"a", b"abr", b"zz", b"cadab", b"q" * 40):
         s = ppm.spots([before + bytes([b]) for b in range(256)])
-        assert abs((10 ** own.values(s)[s.starts + len(before)]).sum() - 1) < 1e-9
+        every = np.arange(len(s.symbol))
+        for part in (0, 1):
+            assert abs((10 ** own.values(s, part, every, every)[s.starts + len(before)]).sum() - 1) < 1e-9
 
 
 def test_licenses(spark):
