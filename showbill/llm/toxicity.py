@@ -10,6 +10,7 @@ learned is therefore small and goes to every task; all documents are then scored
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -186,19 +187,26 @@ def cover(hits: list[list[int]], least: int) -> set[int]:
 
     Words that toxic texts share only because they are copies of each other explain nothing that an insult doesn't.
     """
-    holders: dict[int, set[int]] = {}
+    holders: dict[int, list[int]] = {}
     for text, stems in enumerate(hits):
         for s in stems:
-            holders.setdefault(s, set()).add(text)
-    chosen = set()
-    while holders:
-        s = max(holders, key=lambda k: (len(holders[k]), -k))
-        told = holders.pop(s)
-        if len(told) < least:
-            break
+            holders.setdefault(s, []).append(text)
+    tells = {s: len(texts) for s, texts in holders.items()}
+    # Counts only fall, so a stem whose count still holds when it comes up tells most.
+    queue = [(-n, s) for s, n in tells.items()]
+    heapq.heapify(queue)
+    chosen, told = set(), [False] * len(hits)
+    while queue and -queue[0][0] >= least:
+        n, s = heapq.heappop(queue)
+        if tells[s] != -n:
+            heapq.heappush(queue, (-tells[s], s))
+            continue
         chosen.add(s)
-        for other in holders.values():
-            other -= told
+        for text in holders[s]:
+            if not told[text]:
+                told[text] = True
+                for other in hits[text]:
+                    tells[other] -= 1
     return chosen
 
 
@@ -227,12 +235,12 @@ def features(stems: list[str]):
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_stems: int = 2_000, least: int = 4, times: float = 20.0) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, least: int = 4, times: float = 20.0) -> Model:
     """Learns from labels (doc_id, toxic), of which at most max_labelled are used, chosen by a hash of doc_id.
 
     A stem is learned if at least `least` toxic documents hold it and its share of them is `times` that of clean
-    ones; the max_stems with most support are
-    candidates, of which a greedy cover of the toxic texts is kept. Rows with a null label or doc_id are left out; of repeated labels
+    ones. All such stems are candidates, of which a greedy cover of the toxic texts is kept: a group of copies is told by
+    one stem, however many words it shares. Rows with a null label or doc_id are left out; of repeated labels
     the largest counts. Without toxic or without clean labels the model has no stems and scores by the share of labels.
     """
     one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -244,9 +252,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_st
         return Model([], [0.0] * len(PATTERNS), 3.0 if toxic and not clean else -3.0)
     share = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     telling = stem_counts(labelled).where(F.col("toxic") >= least).where(share >= times).where("20 * clean < toxic")
-    rows = telling.orderBy(F.desc("toxic"), "stem").limit(10 * max_stems).collect()
-    stems = choose_stems({r["stem"]: r["toxic"] for r in rows})[:max_stems]
-    hits = [r["hits"] for r in labelled.where("toxic > 0").select("text").mapInArrow(stem_hits(stems), "hits array<int>").collect()]
+    rows = telling.select("stem", "toxic").toArrow()
+    stems = choose_stems(dict(zip(rows["stem"].to_pylist(), rows["toxic"].to_pylist(), strict=True)))
+    hits = labelled.where("toxic > 0").select("text").mapInArrow(stem_hits(stems), "hits array<int>").toArrow()["hits"].to_pylist()
     stems = [stems[i] for i in sorted(cover(hits, least))]
     seen = labelled.mapInArrow(features(stems), "toxic int, counts array<int>").collect()
     x = np.minimum(np.array([r["counts"] for r in seen], dtype=float), MOST)

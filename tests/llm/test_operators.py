@@ -241,6 +241,20 @@ def test_toxicity(spark, docs):
     assert toxicity.report(df.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxicity_beside_large_group_of_copies(spark):
+    long = " ".join(hashlib.md5(str(k).encode()).hexdigest() for k in range(2500))
+    texts = [*[(long, 1)] * 40, *[(f"{EN} you are a zzblorgish soul, number{i}", 1) for i in range(20)], *[(f"{EN} you are a gentle soul, number{i}", 0) for i in range(400)]]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, (_, toxic) in enumerate(texts)], "doc_id bigint, toxic int")
+    got = by_id(toxicity.report(df, labels))
+    assert all(got[i]["predicted"] == toxic for i, (_, toxic) in enumerate(texts))
+
+
+def test_cover_is_greedy():
+    hits = [[0, 1, 2], [0, 1], [1, 2], [3], [3, 4], [2, 4]]
+    assert toxicity.cover(hits, 1) == {1, 3, 2} and toxicity.cover(hits, 2) == {1, 3} and toxicity.cover([], 1) == set()
+
+
 def test_grammar_patterns():
     m = toxicity.Matcher(["idiot$", "blorg"])
     seen = lambda t: [p for p, n in zip(toxicity.PATTERNS, m.counts(t)) if n]
