@@ -3,7 +3,8 @@
 Targets come from weights by water filling. A schedule of slots follows: slot k has the golden-ratio point
 frac(k * phi), which falls into one source's share of the unit interval; each source's slots are ranked. A source's
 documents, in a shuffled order that is fixed by their ids, lie end to end on a line of words, twice over; slot number
-r of a source takes the r-th block of equal length from that line. So every prefix of the schedule is mixed to the
+r of a source takes the r-th block of equal length from that line. A source whose target is a few blocks only has blocks of its own
+length, which its slots (one at least) fill up to the target. So every prefix of the schedule is mixed to the
 weights within a few slots, a source's words come within a few blocks of its target, no document is used more than
 twice, and a rerun gives the same mix.
 
@@ -22,6 +23,8 @@ from showbill.llm.common import WORDS, running_sum, settle
 #: 2^32 divided by the golden ratio, odd: the step of the golden-ratio sequence in 32-bit fixed point.
 GOLDEN = 2654435769
 UNIT = 1 << 32
+#: Sources with a target of fewer blocks than this have blocks of their own length.
+FEW = 256
 
 
 def sized(docs: DataFrame, *more: str) -> DataFrame:
@@ -73,7 +76,8 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     """doc_id, size, source_size, target, taken and any other columns for every row of sizes (doc_id, source, size).
 
     blocks: slots per source; a block is 1/blocks of the mix's words per source, one word at least, so the schedule's
-    length depends on the number of sources and not on the rows. Rows that repeat a doc_id are documents of their own
+    length depends on the number of sources and not on the rows. A source with a target below FEW blocks takes its target
+    to a word, in blocks of its own length. Rows that repeat a doc_id are documents of their own
     on the source's line. Documents without words take 0. An empty table gives an empty result.
     """
     spark = sizes.sparkSession
@@ -89,7 +93,11 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     upto = F.floor(F.sum("target").over(Window.orderBy("source_no")) * F.lit(UNIT / max(words, 1.0))).cast("long")
     shares = goals.withColumn("high", F.when(F.col("source_no") == F.lit(whole["sources"] - 1), F.lit(UNIT)).otherwise(upto))
     shares = shares.select("source_no", F.coalesce(F.lag("high").over(Window.orderBy("source_no")), F.lit(0)).alias("low"), "high")
-    slots_of = schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.count("*").alias("times"))
+    slots_of = settle(schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.count("*").alias("times")))
+    # Few slots are too coarse for a small target, and an interval shorter than a slot may have none.
+    few = goals.where((F.col("target") > 0) & (F.col("target") < FEW * block)).select("source_no", F.round("target").cast("long").alias("end"))
+    few = settle(few.where("end > 0").join(slots_of.groupBy("source_no").agg(F.count("*").alias("n")), "source_no", "left").withColumn("length", F.ceil(F.col("end") / F.coalesce("n", F.lit(1))).cast("long")))
+    slots_of = slots_of.unionByName(few.where("n is null").select("source_no", F.lit(0).alias("block"), F.lit(1).cast("long").alias("times")))
 
     lined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select("doc_id", "size", "source_no", "source_size", "target", *more)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -98,8 +106,10 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     placed = settle(placed)
     # Each document lies on its source's line twice; a piece is its part of one block.
     laid = placed.where("size > 0").select("_row", "source_no", "size", F.explode(F.array(F.col("start"), F.col("start") + F.col("source_size"))).alias("at"))
-    pieces = laid.select("_row", "source_no", "at", "size", F.explode(F.sequence(F.expr(f"at div {block}L"), F.expr(f"(at + size - 1) div {block}L"))).alias("block"))
-    within = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("at"), F.col("block") * block)
+    laid = laid.join(F.broadcast(few.select("source_no", "end", "length")), "source_no", "left").withColumn("length", F.coalesce("length", F.lit(block)))
+    pieces = laid.select("_row", "source_no", "at", "size", "end", "length", F.explode(F.sequence(F.expr("at div length"), F.expr("(at + size - 1) div length"))).alias("block"))
+    upto = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("length"), F.col("end"))
+    within = F.greatest(F.lit(0), upto - F.greatest(F.col("at"), F.col("block") * F.col("length")))
     taken = pieces.join(slots_of, ["source_no", "block"]).groupBy("_row").agg(F.sum(within * F.col("times")).alias("taken"))
     return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *more)
 

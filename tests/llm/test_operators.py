@@ -125,6 +125,12 @@ def test_mixing(docs):
     assert sorted(got) == sorted(mixing.report(docs).collect())
 
 
+def test_mixing_takes_targets_of_tiny_sources(spark):
+    sizes = spark.range(1000).selectExpr("id as doc_id", "'hot' as source", "3000000L as size").union(spark.range(1000, 1006).selectExpr("id", "'tiny'", "500L")).union(spark.range(2000, 2003).selectExpr("id", "'small'", "900000L"))
+    got = mixing.mix(sizes).groupBy("source_size").agg(F.max("target").alias("target"), F.sum("taken").alias("taken"), F.max(F.col("taken") / F.col("size")).alias("most")).collect()
+    assert len(got) == 3 and all(abs(r["taken"] - r["target"]) <= max(1, 0.01 * r["target"]) and 0 < r["most"] <= 2 for r in got)
+
+
 def test_mixing_repeats_rows(docs):
     out = mixing.repeat(docs)
     assert out.columns == docs.columns
