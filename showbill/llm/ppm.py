@@ -12,17 +12,19 @@ the mixture of those under the parts, weighed by their numbers of documents. Tha
 the mixture turns to the part that has told the text best so far. Only the text is read when it is scored.
 
 Every distinct word is counted and spelled out once, in tables that stay distributed; a document's words meet their
-values in a shuffle join. The trie is a model of a fixed capacity (`capacity` entries of highest count, documented), so
-it goes to every task; so do the values of the commonest words, whose join would be skewed. Contexts are named by 64-bit
+values in a shuffle join. The trie keeps every entry and stays distributed too: words are spelled in buckets of
+neighbours, each with the contexts that it needs (`spelled`). The values of the commonest words, whose join would be
+skewed, go to every task. Contexts are named by 64-bit
 codes: short ones by their bytes, whole beginnings by a hash.
 """
 
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -139,25 +141,27 @@ def entry_key(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mixed(context + (symbol + np.uint64(1)) * M1)
 
 
+def tallied(words: list[bytes], times: list[int], part: int, levels: int = SHORT + 2) -> Iterator[pa.RecordBatch]:
+    """The trie entries of words under one part; levels: 1 for whole beginnings only."""
+    s = spots(words)
+    s.codes = s.of(part)
+    token = np.repeat(np.array(times, np.int64), s.lengths)
+    for level, code in enumerate(s.codes[:levels]):
+        at = np.flatnonzero(code)
+        key = entry_key(code[at], s.symbol[at])
+        by_key = np.argsort(key)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(key[by_key]) != 0])) if len(at) else np.empty(0, np.int64)
+        one = at[by_key[first]]
+        n = np.add.reduceat(token[at][by_key], first) if level == 0 and len(at) else np.diff(np.append(first, len(at)))
+        order = SHORT + np.minimum(DEEPEST, s.depth[one] + 1) if level == 0 else np.full(len(one), SHORT + 1 - level)
+        columns = code[one].view(np.int64), s.shorter(level)[one].view(np.int64), (order * 256 + s.symbol[one].astype(np.int64)).astype(np.int32), n
+        for start in range(0, len(one), 200_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 200_000]) for c in columns], ["context", "tail", "spot", "n"])
+
+
 def trie_counts(counts: DataFrame, flush: int = 100_000) -> DataFrame:
     """context, tail (the context that an escape leads to), spot (256 * order + symbol) and n. Whole beginnings have negative codes."""
 
-    def tallied(words: list[bytes], times: list[int], part: int) -> Iterator[pa.RecordBatch]:
-        s = spots(words)
-        s.codes = s.of(part)
-        token = np.repeat(np.array(times, np.int64), s.lengths)
-        for level, code in enumerate(s.codes):
-            at = np.flatnonzero(code)
-            key = entry_key(code[at], s.symbol[at])
-            by_key = np.argsort(key)
-            first = np.flatnonzero(np.concatenate([[True], np.diff(key[by_key]) != 0])) if len(at) else np.empty(0, np.int64)
-            one = at[by_key[first]]
-            n = np.add.reduceat(token[at][by_key], first) if level == 0 and len(at) else np.diff(np.append(first, len(at)))
-            order = SHORT + np.minimum(DEEPEST, s.depth[one] + 1) if level == 0 else np.full(len(one), SHORT + 1 - level)
-            columns = code[one].view(np.int64), s.shorter(level)[one].view(np.int64), (order * 256 + s.symbol[one].astype(np.int64)).astype(np.int32), n
-            for start in range(0, len(one), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 200_000]) for c in columns], ["context", "tail", "spot", "n"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list[bytes], list[int]]] = {}
         for b in batches:
@@ -177,14 +181,21 @@ def trie_counts(counts: DataFrame, flush: int = 100_000) -> DataFrame:
 
 @dataclass
 class Model:
-    #: context, tail, spot, n
-    entries: pa.Table
+    #: context, tail, spot, n: every entry, distributed
+    trie: DataFrame | None
     #: By order and size class, the probability of an escape; for whole beginnings the order is SHORT and their length.
     escapes: np.ndarray
     tokens: int
     distinct: int
     #: The weight of each part of the training documents.
     weights: list[float]
+    #: So many entries of short contexts go to every task, which saves their join.
+    hot: int
+
+    @property
+    def entries(self) -> pa.Table:
+        """The whole trie on the driver, for small models."""
+        return self.trie.toArrow()
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -207,8 +218,8 @@ def commonest(counted: DataFrame, most: int) -> pa.Table:
 def learn(counts: DataFrame, weights: list[float], capacity: int = 1_600_000) -> Model:
     """The model of word counts (a settled frame of word, n and by_part; words with n = 0 teach nothing) and of the parts' weights.
 
-    capacity: trie entries that are kept, those of highest count, a quarter of them for contexts of up to SHORT bytes. It
-    bounds the model whatever the corpus; contexts beyond it are handled by escapes.
+    The trie keeps every entry and stays distributed. capacity: a quarter of it bounds the entries of short contexts that
+    go to every task; it moves no score.
     """
     counts = counts.where("n > 0")
     sums = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
@@ -220,8 +231,7 @@ def learn(counts: DataFrame, weights: list[float], capacity: int = 1_600_000) ->
     escapes = np.full((SHORT + DEEPEST + 1, CLASSES), 0.5)
     for r in context.where("size > 1").groupBy("order", size_of.alias("bits")).agg(F.sum("once").alias("once"), F.sum("size").alias("size")).collect():
         escapes[r["order"], r["bits"]] = min(0.95, max((r["once"] + 0.5) / (r["size"] + 1), 1e-7))
-    parts = [commonest(trie.where("context < 0"), capacity - capacity // 4), commonest(trie.where("context > 0"), capacity // 4)]
-    return Model(pa.concat_tables(parts), escapes, sums["tokens"] or 0, sums["distinct"], weights)
+    return Model(trie, escapes, sums["tokens"] or 0, sums["distinct"], weights, capacity // 4)
 
 
 def found(among: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -235,8 +245,9 @@ def found(among: np.ndarray, x: np.ndarray) -> np.ndarray:
 class Speller:
     """log10 probabilities of words under a model."""
 
-    def __init__(self, model: Model):
-        context, tail, spot, n = (model.entries.column(c).to_numpy() for c in ("context", "tail", "spot", "n"))
+    def __init__(self, model: Model, entries: pa.Table | None = None):
+        entries = model.entries if entries is None else entries
+        context, tail, spot, n = (entries.column(c).to_numpy() for c in ("context", "tail", "spot", "n"))
         context, tail, symbol, n = context.astype(np.int64).view(np.uint64), tail.astype(np.int64).view(np.uint64), (spot & 255).astype(np.uint64), n.astype(float)
         key = entry_key(context, symbol)
         by_key = np.argsort(key)
@@ -302,30 +313,75 @@ class Speller:
         return total
 
 
-def spelled(counts: DataFrame, model: Model) -> DataFrame:
-    """word, n and spelling (log10 probabilities under the parts: s0, s1, ...) of each word of counts."""
-    shared = counts.sparkSession.sparkContext.broadcast((uuid.uuid4().int, model))
-    parts = len(model.weights)
+def hot_contexts(short: DataFrame, most: int) -> DataFrame:
+    """base (a short context, whatever the part) of the largest contexts, with at most `most` entries in sum.
+
+    A context is never larger than its tail, so the tails of hot contexts are hot.
+    """
+    sizes = short.groupBy("base").agg(F.sum("n").alias("size"), F.count("*").alias("entries"))
+    level = F.floor(F.log("size") * 50)
+    sizes = settle(sizes.withColumn("level", level))
+    bar, total = None, 0
+    for r in sorted(sizes.groupBy("level").agg(F.sum("entries").alias("entries")).collect(), key=lambda r: -r["level"]):
+        total += r["entries"]
+        if total > most:
+            break
+        bar = r["level"]
+    return sizes.where(F.col("level") >= bar if bar is not None else F.lit(False)).select("base")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = kept(shared.value[0], lambda: Speller(shared.value[1]))
 
-        def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            values = own.spell(t.column("word").to_pylist(), parts)
-            return pa.RecordBatch.from_arrays([t.column("word"), t.column("n"), *(pa.array(values[:, k]) for k in range(parts))], ["word", "n", *spellings(parts)])
+def spelled(counts: DataFrame, model: Model, per: int = 20_000) -> DataFrame:
+    """word, n and spelling (log10 probabilities under the parts: s0, s1, ...) of each word of counts.
 
-        held: list[pa.RecordBatch] = []
+    Words are dealt in their order into buckets of about `per`. So a bucket counts whole beginnings itself, but for the
+    beginnings of the buckets' first words, which may go on before them: those are read from the trie. Short contexts
+    meet the buckets that need them in a join; the hot ones go to every task.
+    """
+    spark, parts = counts.sparkSession, len(model.weights)
+    buckets = -(-counts.count() // per)
+    drawn = [bytes(r["word"]) for r in counts.select("word").sample(min(1.0, 30 / per), 7).collect()]
+    drawn.sort()
+    bounds = sorted({drawn[i * len(drawn) // buckets] for i in range(1, buckets)}) if drawn else []
+    short = model.trie.where("context > 0").withColumn("base", F.col("context").bitwiseAND(F.lit((1 << PART_BIT) - 1)))
+    hot = settle(hot_contexts(short, model.hot))
+    hot_entries = short.join(F.broadcast(hot), "base").select("context", "tail", "spot", "n").toArrow()
+    edge = spots(bounds) if bounds else None
+    edges = np.unique(np.concatenate([edge.of(k)[0] for k in range(parts)])) if edge else np.empty(0, np.uint64)
+    edges = edges[edges != 0].view(np.int64)
+    edge_rows = spark.createDataFrame([(int(x),) for x in edges], "context bigint")
+    edge_entries = model.trie.where("context < 0").join(F.broadcast(edge_rows), "context").select("context", "tail", "spot", "n").toArrow()
+    light = replace(model, trie=None)
+    shared = spark.sparkContext.broadcast((bounds, light, pa.concat_tables([hot_entries, edge_entries]), edges, np.sort(hot.toArrow().column("base").to_numpy())))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = shared.value[0]
         for b in batches:
-            if b.num_rows:
-                held.append(b)
-            if sum(x.num_rows for x in held) >= 40_000:
-                yield out(held)
-                held = []
-        if held:
-            yield out(held)
-
-    return counts.select("word", "n").mapInArrow(run, "word binary, n bigint, " + ", ".join(f"{c} double" for c in spellings(parts)))
+            at = pa.array([bisect_right(ends, w) for w in b.column("word").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([*b.columns, at], ["word", "n", "by_part", "bucket"])
+
+    def need(t: pa.Table) -> pa.Table:
+        base = np.unique(np.concatenate(spots(t.column("word").to_pylist()).codes[1:])).view(np.int64)
+        base = base[(base != 0) & (found(shared.value[4], base) < 0)]
+        return pa.table({"bucket": pa.array(np.full(len(base), t.column("bucket")[0].as_py()), pa.int32()), "base": pa.array(base)})
+
+    def spell(t: pa.Table, rare: pa.Table) -> pa.Table:
+        _, model, common, edges, _ = shared.value
+        words = t.column("word").to_pylist()
+        by_part = np.array(t.column("by_part").to_pylist(), np.int64).reshape(-1, parts)
+        tables = [common, rare.select(["context", "tail", "spot", "n"]).cast(common.schema)]
+        for k in range(parts):
+            on = np.flatnonzero(by_part[:, k])
+            if len(on):
+                own = pa.Table.from_batches(list(tallied([words[i] for i in on], by_part[on, k].tolist(), k, 1)))
+                tables.append(own.filter(pa.array(found(edges, own.column("context").to_numpy()) < 0)).cast(common.schema))
+        values = Speller(model, pa.concat_tables(tables)).spell(words, parts)
+        return pa.table([t.column("word"), t.column("n"), *(pa.array(values[:, k]) for k in range(parts))], ["word", "n", *spellings(parts)])
+
+    dealt = settle(counts.select("word", "n", "by_part").mapInArrow(deal, "word binary, n bigint, by_part array<bigint>, bucket int"))
+    needs = dealt.select("word", "bucket").groupBy("bucket").applyInArrow(need, "bucket int, base bigint")
+    rare = settle(needs.join(short.join(F.broadcast(hot), "base", "left_anti"), "base").select("bucket", "context", "tail", "spot", "n"))
+    schema = "word binary, n bigint, " + ", ".join(f"{c} double" for c in spellings(parts))
+    return dealt.groupBy("bucket").cogroup(rare.groupBy("bucket")).applyInArrow(spell, schema)
 
 
 def spellings(parts: int) -> list[str]:

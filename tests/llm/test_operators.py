@@ -208,6 +208,19 @@ def test_ppm_next_byte_sums_to_one(spark):
             assert abs((10 ** own.values(s, part, every, every)[s.starts + len(before)]).sum() - 1) < 1e-9
 
 
+def test_ppm_keeps_every_context(spark):
+    text = " ".join(hashlib.md5(str(k).encode()).hexdigest()[: 3 + k % 9] + "shared" * (k % 3) for k in range(300))
+    rows = [(text, 0), (text[: len(text) // 2] + " other words of this part", 1), ("never seen wordsshared", None)]
+    counts = ppm.settle(ppm.word_counts(spark.createDataFrame(rows, "text string, part int"), 2))
+    whole = ppm.Speller(ppm.learn(counts, [0.5, 0.5]))
+    for per in ((), (25,)):
+        got = ppm.spelled(counts, ppm.learn(counts, [0.5, 0.5], capacity=160), *per)
+        got = {bytes(r["word"]): (r["s0"], r["s1"]) for r in got.collect()}
+        words_in = sorted(got)
+        assert len(words_in) == counts.count()
+        assert np.allclose(np.array([got[w] for w in words_in]), whole.spell(words_in, 2), atol=1e-9)
+
+
 def test_licenses(spark):
     files = [("LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."), ("a/x.txt", "hello there"), ("a/b/COPYING", "Licensed under the Apache License, Version 2.0."), ("a/b/c/y.txt", None), ("a/b/z.txt", "Prose first. Licensed under CC BY-NC 4.0. More prose."), ("", "")]
     got = {r["path"]: (r["license"], r["found"]) for r in license_scan.scan(spark.createDataFrame(files, "path string, text string")).collect()}
