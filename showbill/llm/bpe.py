@@ -3,7 +3,7 @@
 Encoding merges the adjacent pair of lowest rank, leftmost first, until no pair can merge. A segment tree over the
 ranks of adjacent pairs holds the next merge at its root; each merge updates three leaves in logarithmic time, so a
 pre-token of n bytes takes O(n log n), however long it is. Documents are independent, so Spark streams them through
-mapInArrow with no shuffle; each Python worker keeps the pre-tokens it has encoded, up to a fixed number.
+mapInArrow with no shuffle; each Python worker keeps the pre-tokens it has encoded lately, up to a fixed number.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from showbill.llm.common import kept
+from showbill.llm.common import kept, slices
 
 #: The pre-token pattern that belongs to the vocabulary.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,9 +45,14 @@ def byte_letters() -> list[str]:
 
 
 class Codec:
-    """Encodes and decodes with one vocabulary file in the tokenizers library's JSON format."""
+    """Encodes and decodes with one vocabulary file in the tokenizers library's JSON format.
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    The ids of short chunks and pre-tokens are remembered as text ("12,345"), in two generations of at most `remembered`
+    entries each: where the young one is full it becomes the old one, so what is still in use stays. At 200 bytes an entry,
+    this is at most 60 MB a worker.
+    """
+
+    def __init__(self, path: str, remembered: int = 150_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -63,9 +68,10 @@ class Codec:
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.chunks, self.pieces = re.compile(CHUNK), regex.compile(PRETOKEN)
+        self.bytes_of_text = {str(i): b for i, b in self.bytes_of.items()}
         self.remembered = remembered
-        self.known: dict[str, tuple[str, int, bytes]] = {}
-        self.known_pieces: dict[str, list[int]] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token. low is a segment tree of minima over the adjacent pairs; its root is the next merge."""
@@ -112,36 +118,45 @@ class Codec:
                     low[at] = a
         return [i for i in ids if i >= 0]
 
-    def remember(self, chunk: str) -> tuple[str, int, bytes]:
-        """Encodes a chunk of text; short ones and their pre-tokens are remembered."""
-        ids: list[int] = []
-        for piece in self.pieces.findall(chunk):
-            got = self.known_pieces.get(piece)
-            if got is None:
-                got = self.merge(piece.encode("utf-8"))
-                if len(piece) <= 64:
-                    if len(self.known_pieces) >= self.remembered:
-                        self.known_pieces.clear()
-                    self.known_pieces[piece] = got
-            ids += got
-        coded = ",".join(map(str, ids)), len(ids), self.decode_bytes(ids)
-        if len(chunk) <= 64:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
-            self.known[chunk] = coded
-        return coded
-
-    def coded(self, text: str) -> list[tuple[str, int, bytes]]:
-        """For each chunk of the text: its ids joined by commas, how many, and the bytes that they decode to."""
-        get, remember, found, at = self.known.get, self.remember, [], 0
+    def keep(self, part: str, ids: str) -> str:
+        if len(part) <= 64:
+            if len(self.young) >= self.remembered:
+                self.old, self.young = self.young, {}
+            self.young[part] = ids
+        return ids
+
+    def piece_ids(self, piece: str) -> str:
+        """The ids of a pre-token, joined by commas."""
+        got = self.young.get(piece)
+        if got is None:
+            got = self.keep(piece, self.old.get(piece) or ",".join(map(str, self.merge(piece.encode("utf-8")))))
+        return got
+
+    def chunk_ids(self, chunk: str) -> str:
+        """The ids of a chunk that isn't in the young generation, joined by commas."""
+        got = self.old.get(chunk)
+        if got is not None:
+            return self.keep(chunk, got)
+        pieces = self.pieces.findall(chunk)
+        if len(pieces) == 1:
+            return self.piece_ids(chunk)
+        return self.keep(chunk, ",".join(map(self.piece_ids, pieces)))
+
+    def coded(self, text: str) -> str:
+        """The ids of a text, joined by commas."""
+        found, at = [], 0
         for special in self.split_special.finditer(text) if any(s in text for s in self.special) else ():
-            found += [get(c) or remember(c) for c in self.chunks.findall(text, at, special.start())]
-            i, at = self.special[special.group()], special.end()
-            found.append((str(i), 1, self.bytes_of[i]))
-        return found + [get(c) or remember(c) for c in self.chunks.findall(text, at)]
+            found += [self.young.get(c) or self.chunk_ids(c) for c in self.chunks.findall(text, at, special.start())]
+            at = special.end()
+            found.append(str(self.special[special.group()]))
+        return ",".join(found + [self.young.get(c) or self.chunk_ids(c) for c in self.chunks.findall(text, at)])
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _, _ in self.coded(text) for i in ids.split(",")]
+        return [int(i) for i in self.coded(text).split(",") if i]
+
+    def decode_coded(self, ids: str) -> str:
+        """The text of ids joined by commas."""
+        return b"".join(map(self.bytes_of_text.__getitem__, ids.split(",") if ids else ())).decode("utf-8", errors="replace")
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -165,7 +180,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([own.encode(t) for t in _texts(b)], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>")
@@ -177,7 +192,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for b in batches:
+        for b in slices(batches):
             texts = [None if ids is None else own.decode(ids) for ids in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -194,13 +209,13 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for b in batches:
+        for b in slices(batches):
             count, ids_sha, text_sha = [], [], []
             for text in _texts(b):
-                coded = own.coded(text)
-                count.append(sum([c[1] for c in coded]))
-                ids_sha.append(hashlib.sha256(",".join([c[0] for c in coded]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(b"".join([c[2] for c in coded]).decode("utf-8", errors="replace").encode()).hexdigest())
+                ids = own.coded(text)
+                count.append(ids.count(",") + bool(ids))
+                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
+                text_sha.append(hashlib.sha256(own.decode_coded(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
