@@ -4,7 +4,7 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Its SetS
 register i is floor(1 - log_b(h_i)), truncated to a byte, of the minimum h_i of exponentially distributed hashes, so
 registers of unions are maxima (mergeable) and equal registers are as likely as the sets are similar.
 
-1. Documents with the same set are one node, named by the smallest doc_id.
+1. Documents with the same set are one node with a number of its own; a group's name is the smallest doc_id of its nodes.
 2. Nodes are dealt into buckets by each band of registers. Two sets with a Jaccard similarity of 0.8 share none of
    the 40 bands of 6 registers with probability below 3e-6.
 3. In each bucket one pivot is compared with all other members, so a bucket of n members gives n - 1 pairs, never
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from showbill.llm.common import kept, settle
+from showbill.llm.common import kept, settle, slices
 
 BASE = 1.1
 RATE = 20.0
@@ -51,7 +51,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import hashlib
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         if len(word) <= 64:
@@ -89,34 +89,34 @@ def sketch(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, registers: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (16-byte digest of the set; null if empty) and registers of each row."""
+    """doc_id, text_key, n_shingles, set_key (16-byte digest of the set; null if empty) and registers of each row of doc_id, text_key and text."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = multipliers(registers)
-        for b in batches:
+        for b in slices(batches):
             sizes, keys, regs = [], [], []
             for text in b.column("text").to_pylist():
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 regs.append(sketch(s, factors).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "set_key", "registers"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "text_key", "n_shingles", "set_key", "registers"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, registers binary")
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key binary, n_shingles bigint, set_key binary, registers binary")
 
 
-def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """node (doc_id) and its set as an array of longs."""
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """node and its set, as a sorted array of longs, of each row of node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(t, width).view(np.int64) for t in b.column("text").to_pylist()]
+        for b in slices(batches):
+            sets = [np.sort(shingle_set(t, width).view(np.int64)) for t in b.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], ["node", "hashes"])
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], ["node", "hashes"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node bigint, hashes array<bigint>")
+    return texts.select("node", "text").mapInArrow(run, "node bigint, hashes array<bigint>")
 
 
 def likely_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -195,16 +195,18 @@ def linkable(placed: DataFrame, sets: DataFrame, measured: DataFrame, threshold:
 
     shared counts the node's shingles that some other component of these buckets holds too: no link to another
     component can share more. With t the threshold, a link needs an intersection of t / (1 + t) of both sizes together,
-    and the other set is no smaller than t of this one. This drops heavily edited copies without comparing them.
+    and the other set is no smaller than t of this one. This drops heavily edited copies without comparing them: first
+    by their own size, once per node, then by the smallest set of each of their buckets.
     """
     own = settle(placed.select("node", "component").distinct())
     held = own.join(sets, "node").select("node", "component", F.explode("hashes").alias("hash"))
     common = settle(held.groupBy("hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("hash"))
     shared = held.join(common, "hash", "left_semi").groupBy("node").agg(F.count("*").alias("shared"))
-    sized = placed.join(shared, "node").join(measured, "node")
+    needed = lambda other: 100 * F.col("shared") * (100 + threshold) >= threshold * (100 * F.col("n_shingles") + other)
+    fit = settle(shared.join(measured, "node").where(needed(threshold * F.col("n_shingles"))))
+    sized = settle(placed.join(fit, "node"))
     smallest = sized.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
-    other = F.greatest(100 * F.col("least"), threshold * F.col("n_shingles"))
-    return sized.join(smallest, "bucket").where(100 * F.col("shared") * (100 + threshold) >= threshold * (100 * F.col("n_shingles") + other)).drop("least")
+    return sized.join(smallest, "bucket").where(needed(F.greatest(100 * F.col("least"), threshold * F.col("n_shingles")))).drop("least")
 
 
 def links_in_blocks(able: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -233,7 +235,7 @@ def links_in_blocks(able: DataFrame, sets: DataFrame, threshold: int) -> DataFra
         node, part_of, size, shared = (t.column(c).to_numpy() for c in ("node", "component", "n_shingles", "shared"))
         sets = t.column("hashes").combine_chunks()
         sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
-        flat, ends = sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+        flat, ends = sets.flatten().to_numpy(), sets.offsets.to_numpy() - sets.offsets[0].as_py()
         inside = np.flatnonzero(~outside)
         found: set[tuple[int, int]] = set()
         for x in np.flatnonzero(outside):
@@ -250,27 +252,30 @@ def links_in_blocks(able: DataFrame, sets: DataFrame, threshold: int) -> DataFra
         links = sorted(found)
         return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
 
-    # The test looks up hashes by bisection, so sets are sorted as signed longs.
-    sorted_sets = sets.select("node", F.array_sort("hashes").alias("hashes"))
-    return part.join(sorted_sets, "node").groupBy("bucket", "line", "column").applyInArrow(test, "a bigint, b bigint")
+    return part.join(sets, "node").groupBy("bucket", "line", "column").applyInArrow(test, "a bigint, b bigint")
 
 
 def near_groups(docs: DataFrame, width: int = 5, threshold: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of docs; threshold in per cent.
+    """doc_id, text_key (digest of the text), n_shingles and component_id of each row of docs (doc_id, text); threshold in per cent.
 
-    A document without words or with a null text has no shingles and stays alone. Rows that share a doc_id are one
-    node. A null doc_id has a null component_id. An empty table gives an empty result.
+    component_id is the smallest doc_id of the row's group, of whatever type doc_id is. A document without words or with
+    a null text has no shingles and stays alone. Rows that repeat a doc_id with another text belong to the group of their
+    own text. A row with a null doc_id gets the component_id of its group, null if no row there has a doc_id. An empty
+    table gives an empty result.
     """
     registers = bands * rows
-    sketched = settle(sketches(docs, width, registers))
-    nodes = sketched.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
-    nodes = settle(nodes.where("node is not null"))
+    keyed = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"))
+    sketched = settle(sketches(keyed.select("doc_id", "text_key", "text"), width, registers))
+    by_set = sketched.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("named"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+    nodes = settle(by_set.withColumn("node", F.monotonically_increasing_id()))
     key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("registers", i * rows + 1, F.lit(rows))))
     dealt = nodes.select("node", F.explode(key).alias("bucket"))
     buckets = settle(dealt.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1"))
     members = settle(dealt.join(buckets.select("bucket", "pivot"), "bucket"))
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = settle(full_sets(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"), width))
+    wanted = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
+    # Copies of a text are combined in each task before they meet their node, so no text is hot.
+    texts = keyed.groupBy("text_key").agg(F.first("text").alias("text"))
+    sets = settle(full_sets(texts.join(wanted, "text_key"), width))
 
     def linked(pairs: DataFrame) -> DataFrame:
         return settle(confirmed(settle(plausible(pairs.distinct(), nodes, threshold, registers)), sets, threshold))
@@ -282,16 +287,26 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: int = 80, bands: int
     found = settle(links_in_blocks(settle(in_mixed_buckets(able)), sets, threshold).distinct())
     if not found.isEmpty():
         parts = components(links.union(found))
-    of_set = settle(nodes.join(parts, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id")))
-    return sketched.join(of_set, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    grouped = settle(nodes.select("set_key", "node", "named").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    names = grouped.groupBy("component").agg(F.min("named").alias("component_id"))
+    of_set = settle(grouped.join(names, "component").select("set_key", "component_id"))
+    alone = F.when(F.col("set_key").isNull(), F.col("doc_id"))
+    return sketched.join(of_set, "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", alone).alias("component_id"))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept, on 4-word shingles at a similarity of 0.8."""
-    return near_groups(docs, width=4).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    """One row per row of docs: doc_id, n_shingles, component_id, kept, on 4-word shingles at a similarity of 0.8.
+
+    kept: doc_id and component_id are equal, or both null.
+    """
+    return near_groups(docs, width=4).drop("text_key").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of docs whose document is the smallest of its group, with the columns of docs."""
-    kept = near_groups(docs, width, threshold).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id is null"))
+    """The rows of docs whose document is the smallest of its group, with the columns of docs, whatever their names.
+
+    Rows with a null doc_id stay only in groups where no row has one. Rows that repeat a doc_id and text stay together.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"))
+    stays = near_groups(docs, width, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    return rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi").select("_doc.*")

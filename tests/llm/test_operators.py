@@ -95,6 +95,30 @@ def test_near_dedup_chains(spark):
     assert {i: r["component_id"] for i, r in by_id(near_dedup.report(df)).items()} == {i: c for i, (_, c) in brute_groups(rows, 4).items()}
 
 
+def test_near_dedup_ids(spark):
+    """One id with two texts, null ids, ids that are strings, and clashing columns."""
+    far = " ".join(f"v{i}" for i in range(60))
+    rows = [("b", BASE * 3, 1), ("b", far, 1), ("a", far + " more", 1), (None, BASE * 3 + "again", 1), (None, "only null ids here", 1), (None, "only null ids here", 1), ("c", BASE * 3, 1), (None, None, 1), ("d", "", 1)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, _kept int")
+    got = sorted(near_dedup.report(df).collect(), key=str)
+    want = [("b", "b", True), ("b", "a", False), ("a", "a", True), (None, "b", False), (None, None, True), (None, None, True), ("c", "b", False), (None, None, True), ("d", "d", True)]
+    assert sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in got), key=str) == sorted(want, key=str)
+    kept = near_dedup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(((r[0], r[1]) for r, w in zip(rows, want) if w[2]), key=str)
+
+
+def test_near_dedup_recall_at_the_threshold(spark):
+    """Pairs with a similarity of exactly 0.8 are all linked, those just below never."""
+    rows = []
+    for k in range(150):
+        own = [f"p{k}w{i}" for i in range(100)]
+        rows += [(4 * k, " ".join(own)), (4 * k + 1, " ".join([*own[:80], *[f"q{k}"] * 0])), (4 * k + 2, " ".join(f"r{k}w{i}" for i in range(100))), (4 * k + 3, " ".join(f"r{k}w{i}" for i in range(79)))]
+    got = by_id(near_dedup.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), width=1))
+    assert sum(got[4 * k + 1]["component_id"] == 4 * k for k in range(150)) == 150
+    assert sum(got[4 * k + 3]["component_id"] == 4 * k + 3 for k in range(150)) == 150
+
+
 def test_likelihood_estimates_similarity():
     import numpy as np
 
@@ -164,22 +188,66 @@ def test_language(spark, docs):
     assert all(edge[i]["lang_pred"] == "und" for i in (3, 4, 5)) and all(0 <= r["score"] <= 1 for r in edge.values())
 
 
-def test_forward_sums_all_segmentations():
-    import itertools
+@pytest.fixture(scope="module")
+def ranks(tmp_path_factory):
+    """A small vocabulary: all bytes, and some longer pieces."""
+    import base64
 
-    import numpy as np
+    path = tmp_path_factory.mktemp("ranks") / "small.tiktoken"
+    pieces = [*(bytes([b]) for b in range(256)), b"ab", b"ba", b"aba", b" a", "é".encode(), b"aaaa", b"aa", b" abab"]
+    path.write_bytes(b"".join(base64.b64encode(p) + b" %d\n" % i for i, p in enumerate(pieces)))
+    return str(path), pieces
+
+
+def segmentations(word, logs, pieces):
+    """The log of the sum over all segmentations, by recursion on the first piece."""
+    sums = [1.0]
+    for end in range(1, len(word) + 1):
+        sums.append(sum(sums[end - len(p)] * math.exp(logs[i]) for i, p in enumerate(pieces) if len(p) <= end and word[end - len(p) : end] == p))
+    return math.log(sums[-1])
+
+
+def test_forward_sums_all_segmentations(ranks):
+    path, pieces = ranks
+    logs = np.log(np.random.default_rng(1).dirichlet(np.ones(len(pieces)), 2).T)
+    scorer = langid.Scorer(langid.Model(["x", "y"], logs), path)
+    texts = ["abab aba", "éa bb\nabab", "a" * 60, "zz abab zz"]
+    for _ in range(2):  # the second time words are remembered
+        for text, got in zip(texts, scorer.logs_of(texts), strict=True):
+            assert np.allclose(got, [sum(segmentations(b" " + w.encode(), logs[:, k], pieces) for w in text.split()) for k in range(2)])
+    long = scorer.logs_of(["a" * 30_000])[0]
+    assert np.isfinite(long).all() and long.max() < -1000
+
+
+def test_expected_pieces(ranks):
+    import itertools
 
-    pieces = {b"a": 0, b"b": 1, b"ab": 2, b"ba": 3, b"aba": 4}
-    probs = np.array([[0.2], [0.3], [0.1], [0.25], [0.15]])
-    scorer = langid.Scorer.__new__(langid.Scorer)
-    scorer.pieces, scorer.probs, scorer.count = pieces, [tuple(r) for r in probs.tolist()], 1
-    word = b"abab"
-    total = 0.0
-    for n in range(4):
-        for at in itertools.combinations(range(1, 4), n):
-            cut = [word[i:j] for i, j in zip((0, *at), (*at, 4))]
-            total += math.prod(probs[pieces[c], 0] for c in cut) if all(c in pieces for c in cut) else 0
-    assert abs(scorer.log_word(word)[0] - math.log(total)) < 1e-12
+    path, pieces = ranks
+    logs = np.log(np.random.default_rng(2).dirichlet(np.ones(len(pieces))))
+    word, times, want, total = b" ababa", 3.0, Counter(), 0.0
+    for n in range(len(word)):
+        for at in itertools.combinations(range(1, len(word)), n):
+            cut = [word[i:j] for i, j in zip((0, *at), (*at, len(word)))]
+            if all(c in pieces for c in cut):
+                p = math.exp(sum(logs[pieces.index(c)] for c in cut))
+                total += p
+                for c in cut:
+                    want[pieces.index(c)] += p
+    got = langid.expected([word, b"q"], np.array([times, 1.0]), langid.shared_pieces(path), logs)
+    want = {i: times * x / total for i, x in want.items()} | {pieces.index(b"q"): 1.0}
+    assert np.allclose(got, [want.get(i, 0) for i in range(len(pieces))])
+
+
+def test_language_of_whole_texts(spark):
+    """Held-out accuracy, repeated and null ids, texts without spaces, and rows that no language can be told from."""
+    rows = [(i, " ".join(np.random.default_rng(i).permutation((EN if i % 2 else DE).split())), "en" if i % 2 else "de") for i in range(80)]
+    rows += [(7, rows[7][1], "en"), (None, DE, None), *((k, "\u4f60\u597d" * 2000, "zh") for k in (500, 503, 504, 505)), (501, "1234 !!", "en"), (502, "\u4f60\u597d" * 50, None)]
+    got = langid.report(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert len(got) == len(rows)
+    of = {r["doc_id"]: r for r in got}
+    assert all(of[i]["lang_pred"] == rows[i][2] for i in range(80)) and sum(r["doc_id"] == 7 for r in got) == 2
+    assert of[None]["lang_pred"] == "de" and not of[None]["held_out"] and (of[501]["lang_pred"], of[501]["score"]) == ("und", 0.0)
+    assert of[502]["lang_pred"] == "zh"
 
 
 def test_lm_base(docs):
