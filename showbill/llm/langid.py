@@ -17,6 +17,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +135,12 @@ class Cuts:
         edges = np.flatnonzero(np.concatenate([[True], np.diff(step) != 0, [True]])) if len(step) else []
         source, target = firsts[self.owner[order]] + begin[order], firsts[self.owner[order]] + end[order]
         ordered = logs[order]
+        if len(logs) and self.lengths.max() * logs.min() > -650:  # no product of pieces leaves the range of a double
+            sums, ordered = np.exp(sums), np.exp(ordered)
+            for a, b in zip(edges[:-1], edges[1:]):
+                sums[target[a:b]] += sums[source[a:b]] * ordered[a:b]
+            with np.errstate(divide="ignore"):
+                return np.log(sums)
         for a, b in zip(edges[:-1], edges[1:]):
             to = target[a:b]
             sums[to] = np.logaddexp(sums[to], sums[source[a:b]] + ordered[a:b])
@@ -275,8 +282,8 @@ class Scorer:
             new = [w for w in dict.fromkeys(part) if w not in self.place]
             values = self.log_words(new)
             extra = dict(zip(new, range(len(new))))
-            known = np.fromiter((self.place.get(w, -1) for w in part), np.int64, len(part))
-            fresh = np.fromiter((extra.get(w, 0) for w in part), np.int64, len(part))
+            known = np.fromiter(map(self.place.get, part, repeat(-1)), np.int64, len(part))
+            fresh = np.fromiter(map(extra.get, part, repeat(0)), np.int64, len(part))
             logs = np.where((known >= 0)[:, None], self.logs[known], values[fresh] if len(new) else 0.0)
             np.add.at(total, owner[at : at + 100_000], logs * np.fromiter((n for _, n in words[at : at + 100_000]), float, len(part))[:, None])
             short = [w for w in new if len(w) <= 64]
