@@ -44,13 +44,14 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
     Null texts count as empty and are copies of each other. Rows that repeat a doc_id with equal text get the same
     answer; group_size counts them all. A null doc_id is never the row that stays unless its whole group has none.
     An empty table gives an empty result. Columns of docs other than doc_id and text are carried along; if any has
-    the name of an added column, the added column replaces it.
+    the name of an added column, in whatever case, the added column replaces it.
     """
-    added = ["keep_id", "group_size", "kept", "text_sha256", "digest"]
-    rows = docs.drop(*added).withColumn("digest", F.unhex(F.sha2(normalised(), 256)))
+    added = {"keep_id", "group_size", "kept", "text_sha256", "digest"}
+    own = [c for c in docs.columns if c.lower() not in added]
+    rows = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("digest", F.unhex(F.sha2(normalised(), 256)))
     joined = heavy_light_lookup(rows, settle(exact_groups(docs, salts)), "digest", "group_size", docs.agg(F.count("*")))
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in added],
+        *[F.col(f"`{c}`") for c in own],
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -59,10 +60,11 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, all stay."""
+    """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, one stays."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", F.unhex(F.sha2(normalised(), 256)).alias("digest"))
     joined = heavy_light_lookup(rows, settle(exact_groups(docs, salts)), "digest", "group_size", docs.agg(F.count("*")))
-    return joined.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("_doc.*")
+    stay = joined.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return stay.groupBy("digest").agg(F.min_by("_doc", F.coalesce("_doc.text", F.lit(""))).alias("_doc")).select("_doc.*")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -73,7 +73,10 @@ def schedule(spark, shares: DataFrame, slots: int, cells: int = 4096) -> DataFra
 
 
 def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, blocks: int = 4096, buckets: int = 256) -> DataFrame:
-    """doc_id, size, source_size, target, taken and any other columns for every row of sizes (doc_id, source, size).
+    """doc_id, size, source_size, target, taken, slots and any other columns for every row of sizes (doc_id, source, size).
+
+    slots: where the row's first and second use begin in the schedule (an array of two; null where it isn't used).
+    Columns of sizes named like one of these, or start, source_no or with a leading underscore, aren't allowed.
 
     blocks: slots per source; a block is 1/blocks of the mix's words per source, one word at least, so the schedule's
     length depends on the number of sources and not on the rows. A source with a target below FEW blocks takes its target
@@ -93,11 +96,11 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     upto = F.floor(F.sum("target").over(Window.orderBy("source_no")) * F.lit(UNIT / max(words, 1.0))).cast("long")
     shares = goals.withColumn("high", F.when(F.col("source_no") == F.lit(whole["sources"] - 1), F.lit(UNIT)).otherwise(upto))
     shares = shares.select("source_no", F.coalesce(F.lag("high").over(Window.orderBy("source_no")), F.lit(0)).alias("low"), "high")
-    slots_of = settle(schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.count("*").alias("times")))
+    slots_of = settle(schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.min("slot").alias("slot")))
     # Few slots are too coarse for a small target, and an interval shorter than a slot may have none.
     few = goals.where((F.col("target") > 0) & (F.col("target") < FEW * block)).select("source_no", F.round("target").cast("long").alias("end"))
     few = settle(few.where("end > 0").join(slots_of.groupBy("source_no").agg(F.count("*").alias("n")), "source_no", "left").withColumn("length", F.ceil(F.col("end") / F.coalesce("n", F.lit(1))).cast("long")))
-    slots_of = slots_of.unionByName(few.where("n is null").select("source_no", F.lit(0).alias("block"), F.lit(1).cast("long").alias("times")))
+    slots_of = slots_of.unionByName(few.where("n is null").select("source_no", F.lit(0).cast("long").alias("block"), F.lit(1).cast("long").alias("slot")))
 
     lined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select("doc_id", "size", "source_no", "source_size", "target", *more)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -105,31 +108,34 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     placed = running_sum(lined, "source_no", F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % buckets, order, F.col("size"), "start").withColumn("_row", F.monotonically_increasing_id())
     placed = settle(placed)
     # Each document lies on its source's line twice; a piece is its part of one block.
-    laid = placed.where("size > 0").select("_row", "source_no", "size", F.explode(F.array(F.col("start"), F.col("start") + F.col("source_size"))).alias("at"))
+    laid = placed.where("size > 0").select("_row", "source_no", "size", F.posexplode(F.array(F.col("start"), F.col("start") + F.col("source_size"))).alias("use", "at"))
     laid = laid.join(F.broadcast(few.select("source_no", "end", "length")), "source_no", "left").withColumn("length", F.coalesce("length", F.lit(block)))
-    pieces = laid.select("_row", "source_no", "at", "size", "end", "length", F.explode(F.sequence(F.expr("at div length"), F.expr("(at + size - 1) div length"))).alias("block"))
+    pieces = laid.select("_row", "use", "source_no", "at", "size", "end", "length", F.explode(F.sequence(F.expr("at div length"), F.expr("(at + size - 1) div length"))).alias("block"))
     upto = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("length"), F.col("end"))
     within = F.greatest(F.lit(0), upto - F.greatest(F.col("at"), F.col("block") * F.col("length")))
-    taken = pieces.join(slots_of, ["source_no", "block"]).groupBy("_row").agg(F.sum(within * F.col("times")).alias("taken"))
-    return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *more)
+    met = pieces.withColumn("_within", within).where("_within > 0").join(slots_of, ["source_no", "block"])
+    first = lambda use: F.min(F.when(F.col("use") == use, F.col("slot")))
+    taken = met.groupBy("_row").agg(F.sum("_within").alias("taken"), F.array(first(0), first(1)).alias("slots"))
+    return placed.join(taken, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "slots", *more)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, size, source_size, target, taken. Null texts have size 0; null sources are one source."""
-    return mix(sized(docs))
+    """One row per row of docs: doc_id, size, source_size, target, taken and slot (where its first use begins in the schedule; null if it isn't used). Null texts have size 0; null sources are one source."""
+    return mix(sized(docs)).withColumn("slot", F.col("slots")[0]).drop("slots")
 
 
 def repeat(docs: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them, with the columns of docs.
+    """The rows of docs as often as the mix takes them, in the order of the schedule, with the columns of docs.
 
     A row is given round(taken / size) times, 0 to 2; only the one or two documents of a source that the end of its
-    last block cuts are taken in part. Rows without words are taken 0 times. Rows that repeat a doc_id have counts of
+    last block cuts are taken in part. So every beginning of the result is near the weights. Rows without words are taken 0 times. Rows that repeat a doc_id have counts of
     their own.
     """
     rows = settle(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_place")))
     mixed = mix(sized(rows.select("_doc.doc_id", "_doc.source", "_doc.text", "_place"), "_place")).where("taken > 0")
-    times = mixed.select("_place", F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
-    return rows.join(times, "_place").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
+    times = mixed.select("_place", "slots", F.round(F.col("taken") / F.col("size")).cast("int").alias("_times")).where("_times > 0")
+    uses = times.select("_place", F.explode(F.slice("slots", 1, F.col("_times"))).alias("_slot"))
+    return rows.join(uses, "_place").orderBy(F.col("_slot").asc_nulls_last(), "_place").select("_doc.*")
 
 
 ORACLE = r"""
@@ -157,7 +163,7 @@ points AS (
   SELECT slot, (slot * 2654435769) % 4294967296 AS point
   FROM (SELECT unnest(generate_series(1, (SELECT CAST(round_even(words / block, 0) AS BIGINT) FROM blk))) AS slot)),
 slots AS (
-  SELECT source_no, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS rnk
+  SELECT source_no, slot, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS rnk
   FROM points ASOF JOIN (SELECT * FROM shares WHERE high > low) s ON point >= s.low),
 line AS (
   SELECT doc_id, size, source_no, source_size, target,
@@ -167,8 +173,14 @@ line AS (
     row_number() OVER () AS rid
   FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source),
 reach AS (SELECT source_no, count(*) AS n FROM slots GROUP BY source_no),
-cut AS (SELECT line.*, coalesce(n, 0) * block AS upto FROM line LEFT JOIN reach USING (source_no), blk)
+own AS (
+  SELECT goals.source_no, CASE WHEN few THEN CAST(ceil(round(target) / coalesce(n, 1)) AS BIGINT) ELSE block END AS length,
+    CASE WHEN few THEN CAST(round(target) AS BIGINT) ELSE coalesce(n, 0) * block END AS upto, few AND n IS NULL AS lone
+  FROM (SELECT *, target > 0 AND round(target) > 0 AND target < 256 * block AS few FROM goals, blk) goals LEFT JOIN reach USING (source_no)),
+cut AS (
+  SELECT line.*, upto, CASE WHEN size > 0 AND start < upto THEN CASE WHEN lone THEN 1 ELSE slots.slot END END AS slot
+  FROM line JOIN own USING (source_no) LEFT JOIN slots ON slots.source_no = line.source_no AND slots.rnk = line.start // own.length)
 SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(start + size, upto) - start) + greatest(0, least(start + source_size + size, upto) - start - source_size) AS BIGINT) AS taken
+  CAST(greatest(0, least(start + size, upto) - start) + greatest(0, least(start + source_size + size, upto) - start - source_size) AS BIGINT) AS taken, CAST(slot AS BIGINT) AS slot
 FROM cut
 """

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from showbill.llm.common import slices
+
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 ALPHABETS = [string.digits, string.ascii_lowercase, string.ascii_uppercase]
 HEX = "0123456789abcdef"
@@ -29,13 +31,18 @@ DIGIT_KINDS = r"""
  |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
  |(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w+])\(\d{3}\)[ ]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-]))
  |(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))
+ |(?P<pem>-----BEGIN[ ](?:[A-Z0-9]+[ ])*PRIVATE[ ]KEY-----[^-]+-----END[ ](?:[A-Z0-9]+[ ])*PRIVATE[ ]KEY-----)
+ |(?P<token>(?<!\w)(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|xox[abeprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|glpat-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?!\w))
  |(?P<secret>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?i:(?<=password)|(?<=passwd)|(?<=secret)|(?<=token)|(?<=api_key))\s*[=:]\s*["']?[A-Za-z0-9+/_-]{6,}["']?)
 """
 MAIL = r"(?P<mail>(?<![\w.+-])[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}(?!\w))"
 WITHOUT_MAIL = re.compile(DIGIT_KINDS, re.X)
 WITH_MAIL = re.compile(f"{MAIL}|{DIGIT_KINDS}", re.X)
-DIGIT = re.compile(r"[0-9]")
-SECRET_WORD = re.compile(r"(?i)passw|secret|token|api_key")
+#: What a text must hold to be read at all: every pattern needs one of these.
+WORTH = re.compile(r"[0-9@]|AKIA|ASIA|PRIVATE KEY|gh[pousr]_|github_pat_|xox|sk[-_]|rk_|AIza|glpat-|eyJ|(?i:passw|secret|token|api_key)")
+TOKEN_HEAD = re.compile(r"gh[pousr]_|github_pat_|xox[abeprs]-|sk-|[sr]k_live_|AIza|glpat-|eyJ")
+#: Calling codes of two digits; 1 and 7 are whole codes, all others have three digits.
+TWO_DIGIT_CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 
 
 class Permuter:
@@ -64,7 +71,9 @@ class Permuter:
         return str(self.permute(int(digits), 10 ** len(digits), kind)).zfill(len(digits)) if digits else ""
 
     def letters(self, text: str, kind: str) -> str:
-        """Permutes letters and digits, each within its class; other characters stay."""
+        """Permutes letters and digits, each within its class; other characters stay. Long texts go in parts of 64 characters."""
+        if len(text) > 64:
+            return "".join(self.letters(text[i : i + 64], f"{kind}|{i}") for i in range(0, len(text), 64))
         hexadecimal = len(text) >= 16 and all(c in HEX for c in text)
         classes = [HEX if hexadecimal else next((a for a in ALPHABETS if c in a), "") for c in text]
         value, size = 0, 1
@@ -115,7 +124,8 @@ def date(text: str, p: Permuter) -> str | None:
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
         new = FIRST_DAY + datetime.timedelta(p.permute((day - FIRST_DAY).days, (LAST_DAY - FIRST_DAY).days + 1, "date"))
-        values = {y: f"{new.year:04d}", m: f"{new.month:02d}", d: f"{new.day:02d}"}
+        wide = 1 if min(len(numbers[m]), len(numbers[d])) == 1 else 2  # 2024-1-5 is written without zeros
+        values = {y: f"{new.year:04d}", m: f"{new.month:0{wide}d}", d: f"{new.day:0{wide}d}"}
         marks = re.findall(r"\D", text)
         return values[0] + marks[0] + values[1] + marks[1] + values[2]
     return None
@@ -129,14 +139,18 @@ def address(text: str, p: Permuter) -> str | None:
     return ".".join(map(str, n.to_bytes(4, "big")))
 
 
+def calling_code(digits: str) -> str:
+    return digits[:1] if digits[:1] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
 def phone(text: str, p: Permuter) -> str | None:
-    """Keeps the country code and the shape. Equal numbers have equal digits, however they are written."""
-    code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-    head = code.group() if code else ""
-    d = only_digits(text[len(head) :])
-    if not 7 <= len(d) <= 14:
+    """Keeps the calling code and the shape. Equal numbers have equal digits, however they are written; without a code, ten digits are a number of code 1."""
+    d = only_digits(text)
+    code = calling_code(d) if text.startswith("+") else ""
+    rest = d[len(code) :]
+    if not 7 <= len(rest) <= 14:
         return None
-    return head + refill(text[len(head) :], p.digits(d, "phone"))
+    return refill(text, code + p.digits(rest, f"phone {code or '1'}"))
 
 
 def iban(text: str, p: Permuter) -> str | None:
@@ -151,10 +165,14 @@ def iban(text: str, p: Permuter) -> str | None:
 
 
 def ssn(text: str, p: Permuter) -> str | None:
-    a, b, c = text.split("-")
-    if a in ("000", "666") or a >= "900" or b == "00" or c == "0000":
+    """Numbers that are never given out stay as they are, and the walk goes on past them."""
+    given = lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+    d = only_digits(text)
+    if not given(d):
         return None
-    return refill(text, p.digits(a + b + c, "ssn"))
+    while not given(d := p.digits(d, "ssn")):
+        pass
+    return refill(text, d)
 
 
 def mail(text: str, p: Permuter) -> str:
@@ -171,12 +189,23 @@ def secret(text: str, p: Permuter) -> str | None:
     return m[1] + p.letters(m[2], "secret") + m[3]
 
 
-KINDS: dict[str, Callable[[str, Permuter], str | None]] = {"mail": mail, "ip": address, "date": date, "iban": iban, "ssn": ssn, "phone": phone, "card": card, "secret": secret}
+def token(text: str, p: Permuter) -> str:
+    head = TOKEN_HEAD.match(text).group()
+    return head + p.letters(text[len(head) :], "token")
+
+
+def pem(text: str, p: Permuter) -> str:
+    """The lines between the marks are permuted; the marks stay."""
+    head, body, tail = re.match(r"(-----BEGIN[^-]+-----)(.*)(-----END.*)", text, re.S).groups()
+    return head + "".join(p.letters(part, "pem") if part.strip() else part for part in re.split(r"(\s+)", body)) + tail
+
+
+KINDS: dict[str, Callable[[str, Permuter], str | None]] = {"mail": mail, "ip": address, "date": date, "iban": iban, "ssn": ssn, "phone": phone, "card": card, "secret": secret, "token": token, "pem": pem}
 
 
 def pseudonymised(text: str, p: Permuter) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of each value in the original; values that fail validation stay."""
-    if not DIGIT.search(text) and "@" not in text and "AKIA" not in text and "ASIA" not in text and not SECRET_WORD.search(text):
+    if not WORTH.search(text):
         return text, []
     out, spans, at = [], [], 0
     for m in (WITH_MAIL if "@" in text else WITHOUT_MAIL).finditer(text):
@@ -188,17 +217,17 @@ def pseudonymised(text: str, p: Permuter) -> tuple[str, list[tuple[str, int, int
     return "".join([*out, text[at:]]) if spans else text, spans
 
 
-def pseudonymise(docs: DataFrame, key: str = "showbill") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text with pseudonyms, n_values and spans (array of kind, start, end in the original) of each row.
 
-    key: the secret of the permutation; pass your own. A null text stays null with no values; rows may repeat; extra
+    key: the secret of the permutation. A null text stays null with no values; rows may repeat; extra
     columns are dropped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Permuter(hashlib.sha256(key.encode()).digest())
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for b in batches:
+        for b in slices(batches):
             got = [pseudonymised(t, p) if t else (t, []) for t in b.column("text").to_pylist()]
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in g[1]] for g in got]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([len(s) for s in spans], pa.int64()), pa.array(spans, span)], ["doc_id", "text", "n_values", "spans"])
@@ -206,6 +235,6 @@ def pseudonymise(docs: DataFrame, key: str = "showbill") -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_values bigint, spans array<struct<kind:string,start:int,end:int>>")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, key: str) -> DataFrame:
     """One row per row of docs: doc_id, text, n_values and the kinds found, in order."""
-    return pseudonymise(docs).select("doc_id", "text", "n_values", F.col("spans.kind").alias("kinds"))
+    return pseudonymise(docs, key).select("doc_id", "text", "n_values", F.col("spans.kind").alias("kinds"))

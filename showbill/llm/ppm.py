@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from showbill.llm.common import kept, settle
+from showbill.llm.common import kept, settle, slices
 
 #: After a word's last byte, and instead of a word; neither byte can occur in a word. The end mark is also the end token.
 STOP, END = b"\x20", b"\x0a"
@@ -73,7 +74,7 @@ def word_counts(docs: DataFrame, parts: int, flush: int = 300_000) -> DataFrame:
             tally.clear()
             return b
 
-        for b in batches:
+        for b in slices(batches):
             for text, part in zip(b.column("text").to_pylist(), b.column("part").to_pylist(), strict=True):
                 words = words_of(text)
                 own = tally.setdefault(part, Counter())
@@ -398,67 +399,72 @@ class Common:
 
 
 def partial_scores(docs: DataFrame, common: pa.Table, parts: int) -> DataFrame:
-    """Rows of docs' row: with word null, the number of words, and of the common ones their number and sums; else another word and its count there."""
+    """Rows of docs' row (a digest): with word null, doc_id, the number of words, and of the common ones their number and sums; else another word and its count there."""
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().int, common))
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = kept(shared.value[0], lambda: Common(shared.value[1]))
         get = own.place.get
-        for b in batches:
+        for b in slices(batches, 1_000):
             sums: list[tuple] = []
             rows, rare_words, times = [], [], []
-            for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for row, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
                 words = [*words_of(text), END]
                 at = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
                 rare = Counter([words[i] for i in np.flatnonzero(at < 0)])
                 at = at[at >= 0]
-                sums.append((row, len(words), len(at), *own.values[at].sum(0).tolist()))
+                sums.append((row, doc_id, len(words), len(at), *own.values[at].sum(0).tolist()))
                 rows.append((row, len(rare)))
                 rare_words += rare.keys()
                 times += rare.values()
                 if len(rare_words) > 100_000:
-                    yield from batch(sums, rows, rare_words, times, parts)
+                    yield from batch(sums, rows, rare_words, times, parts, id_type)
                     sums, rows, rare_words, times = [], [], [], []
-            yield from batch(sums, rows, rare_words, times, parts)
+            yield from batch(sums, rows, rare_words, times, parts, id_type)
 
-    return docs.select("row", "text").mapInArrow(run, "row bigint, word binary, times bigint, n_tokens bigint, n_known bigint, " + ", ".join(f"{c} double" for c in [*spellings(parts), "base_score"]))
+    return docs.select("row", "doc_id", "text").mapInArrow(run, f"row binary, doc_id {dict(docs.dtypes)['doc_id']}, word binary, times bigint, n_tokens bigint, n_known bigint, " + ", ".join(f"{c} double" for c in [*spellings(parts), "base_score"]))
 
 
-def batch(sums: list[tuple], rows: list[tuple], words: list[bytes], times: list[int], parts: int) -> Iterator[pa.RecordBatch]:
+def batch(sums: list[tuple], rows: list[tuple], words: list[bytes], times: list[int], parts: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Record batches of partial_scores, of bounded numbers of rows."""
-    names = ["row", "word", "times", "n_tokens", "n_known", *spellings(parts), "base_score"]
+    names = ["row", "doc_id", "word", "times", "n_tokens", "n_known", *spellings(parts), "base_score"]
     if sums:
-        row, tokens, known, *values = zip(*sums, strict=True)
-        counted = [pa.array(c, pa.int64()) for c in (row, [0] * len(row), tokens, known)]
-        yield pa.RecordBatch.from_arrays([counted[0], pa.nulls(len(row), pa.binary()), *counted[1:], *(pa.array(v, pa.float64()) for v in values)], names)
+        row, doc_id, tokens, known, *values = zip(*sums, strict=True)
+        counted = [pa.array(c, pa.int64()) for c in ([0] * len(row), tokens, known)]
+        yield pa.RecordBatch.from_arrays([pa.array(row, pa.binary()), pa.array(doc_id, id_type), pa.nulls(len(row), pa.binary()), *counted, *(pa.array(v, pa.float64()) for v in values)], names)
     owner = pa.array(np.repeat(np.arange(len(rows)), [r[1] for r in rows]).astype(np.int64))
-    row = pa.array([r[0] for r in rows], pa.int64()).take(owner) if len(words) else None
+    row = pa.array([r[0] for r in rows], pa.binary()).take(owner) if len(words) else None
     for i in range(0, len(words), 200_000):
         n = min(200_000, len(words) - i)
         none, nought = pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n))
-        yield pa.RecordBatch.from_arrays([row.slice(i, n), pa.array(words[i : i + n], pa.binary()), pa.array(times[i : i + n], pa.int64()), none, none, *[nought] * (parts + 1)], names)
+        yield pa.RecordBatch.from_arrays([row.slice(i, n), pa.nulls(n, id_type), pa.array(words[i : i + n], pa.binary()), pa.array(times[i : i + n], pa.int64()), none, none, *[nought] * (parts + 1)], names)
 
 
 def score(docs: DataFrame, counts: DataFrame, model: Model, common: int = 200_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every whole text of docs (doc_id, text); counts has all their words.
 
     common: words of at most 40 bytes whose values go to every task; the others' meet them by a join. Null and empty
-    texts consist of the end token. Rows that repeat a doc_id must have equal texts to be told apart; each doc_id gets
-    one row.
+    texts consist of the end token. A row is known by a digest of its doc_id and text; rows that repeat both are summed
+    together, and their sums shared out to as many rows again.
     """
     base = F.log10((F.col("n") + 1) / F.lit(float(model.tokens + model.distinct + 1)))
     parts = len(model.weights)
     values = settle(spelled(counts, model)).withColumn("base", base)
     hot = commonest(values.where("n > 0").where(F.length("word") <= 40), common)
-    found_in = partial_scores(docs.select(F.col("doc_id").cast("long").alias("row"), "text"), hot, parts)
+    row = F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")))))
+    found_in = partial_scores(docs.select("doc_id", "text", row.alias("row")), hot, parts)
     rare = found_in.where("word is not null").select("row", "word", "times").join(values, "word")
     of = lambda c: F.col("times") * F.col(c)
-    met = rare.select("row", F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"), *[of(c).alias(c) for c in spellings(parts)], of("base").alias("base_score"))
-    both = found_in.where("word is null").select(met.columns).unionByName(met)
-    sums = both.groupBy("row").agg(*[F.sum(c).alias(c) for c in met.columns[1:]])
+    none = F.lit(0).cast("long")
+    met = rare.select("row", F.lit(None).cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"), none.alias("copies"), none.alias("n_tokens"), F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"), *[of(c).alias(c) for c in spellings(parts)], of("base").alias("base_score"))
+    both = found_in.where("word is null").withColumn("copies", F.lit(1).cast("long")).select(met.columns).unionByName(met)
+    copies = F.sum("copies")
+    sums = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), copies.alias("copies"), *[F.expr(f"sum({c}) div sum(copies)").alias(c) for c in ("n_tokens", "n_known")], *[(F.sum(c) / copies).alias(c) for c in (*spellings(parts), "base_score")])
     best = F.array_max(F.array(*spellings(parts)))
     mixture = sum((F.lit(w) * F.pow(F.lit(10.0), F.col(c) - best) for w, c in zip(model.weights, spellings(parts), strict=True)), F.lit(0.0))
-    return sums.select(F.col("row").alias("doc_id"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", (best + F.log10(mixture)).alias("score"))
+    one = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return one.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", (best + F.log10(mixture)).alias("score"))
 
 
 def held_out():
@@ -483,7 +489,7 @@ def parted(docs: DataFrame, most: int = 6) -> tuple[DataFrame, list[float]]:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per doc_id: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned from documents that aren't held out.
+    """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned from documents that aren't held out.
 
     An empty table gives an empty result.
     """

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from showbill.llm.common import SPACE_BYTES
+from showbill.llm.common import SPACE_BYTES, slices
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -121,7 +121,7 @@ def count_partials(docs: DataFrame, flush: int = 200_000) -> DataFrame:
             tally.clear()
             return b
 
-        for b in batches:
+        for b in slices(batches):
             per: dict[str, tuple[Counter, np.ndarray]] = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
                 if lang is None or not text:
@@ -132,12 +132,12 @@ def count_partials(docs: DataFrame, flush: int = 200_000) -> DataFrame:
                 classes += class_counts(raw)
                 if len(words) > flush:
                     tally[lang, "total", b""] += words.total()
-                    tally.update({(lang, "word", w): n for w, n in words.items() if len(w) <= 32})
+                    tally.update({(lang, "word", w): n for w, n in words.items()})
                     words.clear()
                     yield out()
             for lang, (words, classes) in per.items():
                 tally[lang, "total", b""] += words.total()
-                tally.update({(lang, "word", w): n for w, n in words.items() if len(w) <= 32})
+                tally.update({(lang, "word", w): n for w, n in words.items()})
                 tally.update({(lang, "class", bytes([i])): int(n) for i, n in enumerate(classes) if n})
             if len(tally) > flush:
                 yield out()
@@ -147,7 +147,7 @@ def count_partials(docs: DataFrame, flush: int = 200_000) -> DataFrame:
 
 
 def learn(docs: DataFrame, common: int = 50, least_words: int = 2_000) -> References:
-    """References of all languages with at least least_words words in docs. Rows with a null lang or text aren't counted; words over 32 bytes can't be common ones."""
+    """References of all languages with at least least_words words in docs. Rows with a null lang or text aren't counted."""
     counts = count_partials(docs).groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     # Two-step choice of the commonest words: per group of a word's hash first, so that no task ranks a language alone.
     parts = Window.partitionBy("lang", "kind", F.pmod(F.xxhash64("item"), F.lit(32))).orderBy(F.desc("n"), "item")
@@ -189,20 +189,20 @@ def assess(docs: DataFrame, refs: References, class_most: float = 0.345, word_mo
 
     A document is dropped if it fails the base rules, or if it has at least class_least letters and other characters in
     words and its class distance is over class_most, or at least word_least words and its word distance is over
-    word_most. A null text has no words and fails the base rules. Rows may repeat; extra columns are dropped.
+    word_most. A document whose lang has no reference isn't judged by other languages. A null text has no words and fails the base rules. Rows may repeat; extra columns are dropped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
-            for text in b.column("text").to_pylist():
+            for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
                 text = text or ""
                 raw = text.encode("utf-8", "surrogatepass")
                 words = raw.split()
                 counts = base_counts(text, raw, words)
                 failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
                 by_class = by_word = None
-                if counts[1] >= class_least or counts[0] >= word_least:
+                if (lang is None or lang in refs.classes) and (counts[1] >= class_least or counts[0] >= word_least):
                     by_class, by_word = nearest(raw, words, refs)
                     by_class = by_class if counts[1] >= class_least else None
                     by_word = by_word if counts[0] >= word_least else None
@@ -213,7 +213,7 @@ def assess(docs: DataFrame, refs: References, class_most: float = 0.345, word_mo
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], NAMES)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t in zip(NAMES[1:], ["bigint"] * 5 + ["boolean"] * 2 + ["double"] * 2, strict=True)))
+    return docs.select("doc_id", "text", "lang").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t in zip(NAMES[1:], ["bigint"] * 5 + ["boolean"] * 2 + ["double"] * 2, strict=True)))
 
 
 NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]

@@ -1,11 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five small transducers read the words of a clause: insult, threat, target, negation and reported speech. Composed,
-they give each insult or threat a pattern (is it aimed at someone, negated, or only reported?), and matched clauses
-rather than isolated words are what a document is scored on. The insult transducer's words are stems learned from
-labelled documents; threat, target, negation and report words are fixed lists; the weight of each pattern is learned by
-a logistic regression. Labels come from a bounded sample (`max_labelled` rows, chosen by a hash of doc_id); what is
-learned is therefore small and goes to every task; all documents are then scored in one pass without a shuffle.
+Small transducers read a text in three steps. Over letters, a lexicon gives each word its class (an insult's stem, a
+violent verb, the speaker, an intention, someone addressed, a negation, a report) and passes other words unchanged. Over
+the classes of a clause, insult and threat make kinds of them (a violent verb is a threat after the speaker or an
+intention, else it is only violence), and negation, reported speech and target mark the kinds: is it negated, only
+reported, aimed at someone? These five are composed into one. What is aimed at may stand on either side, so the target
+transducer also reads the marked clause backwards. Matched clauses rather than isolated words are what a document is
+scored on. The stems are learned from labelled documents; the other words are fixed lists; the weight of each pattern is
+learned by a logistic regression. Labels come from a bounded sample (`max_labelled` rows, chosen by a hash of doc_id);
+what is learned is therefore small and goes to every task; all documents are then scored in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,29 +25,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from showbill.llm.common import settle
+from showbill.llm.common import settle, slices
 
 # Fixed word lists of the grammar, English, German, French and Spanish.
-THREATS = "kill murder hurt destroy strangle stab shoot töten umbringen verletzen vernichten tuer frapper détruire matar herir destruir".split()
-TARGETS = "you your yourself u he she they him her them du dich dir ihr euch sie er tu toi te vous il elle ils elles tú ti usted ustedes él ella ellos ellas".split()
+VERBS = "kill murder hurt destroy strangle stab shoot töten umbringen verletzen vernichten tuer frapper détruire matar herir destruir".split()
+SPEAKERS = "i we i'll we'll i'm ich wir je nous yo nosotros".split()
+INTENTIONS = "will shall gonna going must should werde werden wird vais allons voy vamos".split()
+TARGETS = "you your yours yourself u you're dich dir du euch ihr dein deine tu toi te vous ton votre tú ti tu te usted ustedes os".split()
 NEGATIONS = "not no never nobody isn't aren't don't won't nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún".split()
 REPORTS = "said says told called quoted quote wrote claimed sagte sagt nannte schrieb dit disait écrit appelé dijo dice llamó escribió".split()
 
 CLAUSE_END = re.compile(r"[.,;:!?\n|()\"]")
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-INSULT, THREAT, TARGET, NEGATION, REPORT = "insult", "threat", "target", "negation", "report"
-END = "</clause>"
+STEM, VERB, SPEAKER, INTENTION, TARGET, NEGATION, REPORT = "stem", "verb", "speaker", "intention", "target", "negation", "report"
+INSULT, THREAT, VIOLENCE = "insult", "threat", "violence"
+CLASSES = {STEM, VERB, SPEAKER, INTENTION, TARGET, NEGATION, REPORT}
+END = "</word>"
 
 
 @dataclass
 class Transducer:
-    """States from 0; arcs map (state, symbol) to (state, output); a symbol without an arc passes unchanged."""
+    """States from 0; arcs map (state, symbol) to (state, output). Without an arc a symbol passes unchanged, to `other` of the state or else to the state itself."""
 
     arcs: dict[tuple[int, str], tuple[int, str]] = field(default_factory=dict)
     states: int = 1
+    other: dict[int, int] = field(default_factory=dict)
 
     def step(self, state: int, symbol: str) -> tuple[int, str]:
-        return self.arcs.get((state, symbol), (state, symbol))
+        return self.arcs.get((state, symbol)) or (self.other.get(state, state), symbol)
+
+    def run(self, symbols: list[str]) -> list[str]:
+        state, out = 0, []
+        for s in symbols:
+            state, said = self.step(state, s)
+            out.append(said)
+        return out
 
     def compose(self, after: Transducer, symbols: set[str]) -> Transducer:
         """The transducer that feeds this one's output to `after`; symbols: what the first may read."""
@@ -58,27 +73,78 @@ class Transducer:
         return Transducer(arcs, self.states * after.states)
 
 
-def flagger(trigger: str, mark: str, kinds: list[str], reset: bool) -> Transducer:
-    """Once the trigger was read, marks every later kind in the clause; with reset, only the first one after it."""
-    t = Transducer({(0, trigger): (1, ""), (1, trigger): (1, "")}, 2)
+def lexicon(stems: list[str]) -> Transducer:
+    """Letters of a word and END to the word's class, given out at END. A stem that ends in $ is a whole word, others are beginnings."""
+    t, rest = Transducer(), []
+    t.states, t.other = 3, {0: 2, 1: 1, 2: 2}  # 1: inside a word that begins with a stem; 2: inside an unknown word
+    t.arcs[1, END] = (0, STEM)
+
+    def path(word: str) -> int:
+        state = 0
+        for c in word:
+            if (state, c) not in t.arcs:
+                t.arcs[state, c] = (t.states, "")
+                t.other[t.states] = 2
+                t.states += 1
+            state = t.arcs[state, c][0]
+        return state
+
+    for words, name in ((VERBS, VERB), (SPEAKERS, SPEAKER), (INTENTIONS, INTENTION), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+        for w in words:
+            t.arcs[path(w), END] = (0, name)
+    for s in stems:
+        state = path(s.removesuffix("$"))
+        t.arcs[state, END] = (0, STEM)
+        if not s.endswith("$"):
+            rest.append(state)
+    # What goes on after a beginning is still the stem, whatever other words share its letters.
+    longer: dict[int, list[int]] = {}
+    for (start, c), (end, _) in t.arcs.items():
+        if c != END:
+            longer.setdefault(start, []).append(end)
+    below = list(rest)
+    while below:
+        state = below.pop()
+        t.arcs[state, END], t.other[state] = (0, STEM), 1
+        below += longer.get(state, [])
+    return t
+
+
+def insults() -> Transducer:
+    return Transducer({(0, STEM): (0, INSULT)})
+
+
+def threats() -> Transducer:
+    """A violent verb is a threat once the speaker or an intention was read, else violence."""
+    t = Transducer({(0, VERB): (0, VIOLENCE), (1, VERB): (1, THREAT)}, 2)
+    for s in (SPEAKER, INTENTION):
+        t.arcs[0, s] = t.arcs[1, s] = (1, s)
+    return t
+
+
+def flagger(trigger: str, mark: str, kinds: list[str], once: bool) -> Transducer:
+    """Once the trigger was read, marks every later kind in the clause; with once, only the first one after it."""
+    t = Transducer({(0, trigger): (1, trigger), (1, trigger): (1, trigger)}, 2)
     for k in kinds:
-        t.arcs[1, k] = (0 if reset else 1, f"{k}+{mark}")
-    t.arcs[1, END] = (0, END)
+        t.arcs[1, k] = (0 if once else 1, f"{k}+{mark}")
     return t
 
 
-def grammar() -> Transducer:
-    """negation, then report, then target, composed; it reads word classes of a clause and gives out marked insults and threats."""
-    first = [INSULT, THREAT]
-    negated = [*first, *(f"{k}+not" for k in first)]
-    reported = [*negated, *(f"{k}+said" for k in negated)]
-    symbols = {INSULT, THREAT, TARGET, NEGATION, REPORT, END}
-    half = flagger(NEGATION, "not", first, True).compose(flagger(REPORT, "said", negated, False), symbols)
-    return half.compose(flagger(TARGET, "aimed", reported, False), symbols)
+KINDS = [INSULT, THREAT, VIOLENCE]
+NEGATED = [*KINDS, *(f"{k}+not" for k in KINDS)]
+REPORTED = [*NEGATED, *(f"{k}+said" for k in NEGATED)]
+
+
+def grammar() -> tuple[Transducer, Transducer]:
+    """insult, threat, negation, report and target, composed; and the target transducer that then reads the clause backwards."""
+    t = insults()
+    for after in (threats(), flagger(NEGATION, "not", KINDS, True), flagger(REPORT, "said", NEGATED, False), flagger(TARGET, "aimed", REPORTED, False)):
+        t = t.compose(after, CLASSES)
+    return t, flagger(TARGET, "aimed", REPORTED, False)
 
 
 #: Every pattern that the grammar can give out; a document's features are how many of its clauses match each.
-PATTERNS = [f"{k}{n}{s}{a}" for k in (INSULT, THREAT) for n in ("", "+not") for s in ("", "+said") for a in ("", "+aimed")]
+PATTERNS = [*REPORTED, *(f"{k}+aimed" for k in REPORTED)]
 PLACE = {p: i for i, p in enumerate(PATTERNS)}
 MOST = 4
 
@@ -89,20 +155,26 @@ class Matcher:
     def __init__(self, stems: list[str]):
         import ahocorasick
 
-        self.classes = {w: c for c, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in words}
-        self.whole = {s[:-1] for s in stems if s.endswith("$")}
-        self.begin = {s for s in stems if not s.endswith("$")}
-        self.lengths = sorted({len(s) for s in self.begin})
-        self.grammar = grammar()
+        self.lexicon, (self.onward, self.backward) = lexicon(stems), grammar()
+        self.class_of: dict[str, str] = {}
+        # Clauses without a stem or a violent verb match no pattern and aren't read.
         self.triggers = ahocorasick.Automaton()
-        for s in [*self.whole, *self.begin, *THREATS]:
+        for s in [*(s.removesuffix("$") for s in stems), *VERBS]:
             self.triggers.add_word(s, len(s))
         self.triggers.make_automaton()
 
-    def kind(self, word: str) -> str | None:
-        if word in self.whole or any(word[:n] in self.begin for n in self.lengths if n <= len(word)):
-            return INSULT
-        return self.classes.get(word)
+    def kind(self, word: str) -> str:
+        got = self.class_of.get(word)
+        if got is None:
+            got = self.lexicon.run([*word, END])[-1]
+            if len(self.class_of) < 50_000:
+                self.class_of[word] = got
+        return got
+
+    def patterns(self, clause: list[str]) -> set[str]:
+        """The patterns of a clause's words."""
+        marked = self.onward.run([k for k in map(self.kind, clause) if k in CLASSES])
+        return PLACE.keys() & set(self.backward.run(marked[::-1]))
 
     def counts(self, text: str | None) -> list[int]:
         found = [0] * len(PATTERNS)
@@ -115,14 +187,7 @@ class Matcher:
             before = max(low.rfind(c, 0, start) for c in '.,;:!?\n|()"') + 1
             stop = CLAUSE_END.search(low, end)
             at = stop.start() if stop else len(low)
-            state, seen = 0, set()
-            for w in WORD.findall(low, before, at):
-                kind = self.kind(w)
-                if kind:
-                    state, out = self.grammar.step(state, kind)
-                    if out in PLACE:
-                        seen.add(out)
-            for p in seen:
+            for p in self.patterns(WORD.findall(low, before, at)):
                 found[PLACE[p]] += 1
         return found
 
@@ -138,13 +203,13 @@ def stem_counts(labelled: DataFrame) -> DataFrame:
     """stem, toxic and clean: in how many labelled documents each beginning of a word (3 to 12 letters, or a whole word and $) occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             tally = (Counter(), Counter())
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
                 stems = set()
                 for w in set(WORD.findall((text or "").lower())):
                     stems.update(w[:n] for n in range(3, min(len(w), 12) + 1))
-                    stems.add(f"{w[:40]}$")
+                    stems.add(f"{w}$")
                 tally[1 if toxic else 0].update(stems)
             stems = list(tally[0] | tally[1])
             yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array([tally[1][s] for s in stems], pa.int64()), pa.array([tally[0][s] for s in stems], pa.int64())], ["stem", "toxic", "clean"])
@@ -172,7 +237,7 @@ def stem_hits(stems: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {s: i for i, s in enumerate(stems)}
-        for b in batches:
+        for b in slices(batches):
             hits = []
             for text in b.column("text").to_pylist():
                 words = set(WORD.findall((text or "").lower()))
@@ -228,7 +293,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 60
 def features(stems: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Matcher(stems)
-        for b in batches:
+        for b in slices(batches):
             counts = [own.counts(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(counts, pa.list_(pa.int32()))], ["toxic", "counts"])
 
@@ -269,7 +334,7 @@ def score(docs: DataFrame, model: Model, out: str = "tox_score") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Matcher(model.stems)
-        for b in batches:
+        for b in slices(batches):
             counts = np.array([own.counts(t) for t in b.column("text").to_pylist()], dtype=float).reshape(-1, len(PATTERNS))
             p = 1 / (1 + np.exp(-np.clip(np.minimum(counts, MOST) @ weights + model.bias, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], [*names, out])
