@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from showbill.functions.text import clean_text, col
+from showbill.functions.text import clean_text, col, let
 
 
 def parse_date(c: Column | str) -> Column:
     """The first year-month-day in the text, slashes allowed; null if there is none or it isn't a date."""
     found = F.regexp_extract(F.replace(clean_text(c), F.lit("/"), F.lit("-")), r"(\d{4}-\d{1,2}-\d{1,2})", 1)
-    return F.try_to_date(F.when(found != "", found), "yyyy-M-d")
+    return let(found, lambda x: F.try_to_date(F.when(x != "", x), "yyyy-M-d"))
 
 
 def date_or_text(c: Column | str) -> Column:
-    return F.coalesce(F.date_format(parse_date(c), "yyyy-MM-dd"), clean_text(c))
+    return let(col(c), lambda x: F.coalesce(F.date_format(parse_date(x), "yyyy-MM-dd"), clean_text(x)))
 
 
 def is_ongoing(start: Column | str, end: Column | str, today: Column) -> Column:

@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from showbill.functions.text import col
+from showbill.functions.text import col, let
 
 EARTH_KM = 6371.0
 
 
 def coordinate(c: Column | str, limit: int) -> Column:
     """A number with point or comma within the limit, to 7 places; zero counts as missing."""
-    x = F.expr("try_cast(NULL as double)") if c is None else F.replace(F.trim(col(c).cast("string")), F.lit(","), F.lit(".")).try_cast("double")
-    return F.when((x != 0) & x.between(-limit, limit), F.bround(x, 7))
+    n = F.expr("try_cast(NULL as double)") if c is None else F.replace(F.trim(col(c).cast("string")), F.lit(","), F.lit(".")).try_cast("double")
+    return let(n, lambda x: F.when((x != 0) & x.between(-limit, limit), F.bround(x, 7)))
 
 
 def coordinate_pair(lat: Column | str, lon: Column | str) -> Column:
     """struct(lat, lon) as given, else swapped if that is valid, else null."""
-    straight = F.struct(coordinate(lat, 90).alias("lat"), coordinate(lon, 180).alias("lon"))
-    swapped = F.struct(coordinate(lon, 90).alias("lat"), coordinate(lat, 180).alias("lon"))
-    whole = lambda s: s["lat"].isNotNull() & s["lon"].isNotNull()
-    return F.when(whole(straight), straight).when(whole(swapped), swapped)
+    whole = lambda s: F.when(s["lat"].isNotNull() & s["lon"].isNotNull(), s)
+    pair = lambda a, b: let(F.struct(coordinate(a, 90).alias("lat"), coordinate(b, 180).alias("lon")), whole)
+    given = F.struct(col(lat).cast("string").alias("a"), col(lon).cast("string").alias("b"))
+    return let(given, lambda g: F.coalesce(pair(g["a"], g["b"]), pair(g["b"], g["a"])))
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:

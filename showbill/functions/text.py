@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import difflib
 import html
+import html.entities
+import json
 from functools import reduce
 
 import pandas as pd
@@ -18,33 +20,72 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, f) -> Column:
+    """f of c, with c computed once however often f uses it: chains of such steps would otherwise grow exponentially."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Trims all Unicode white space, unlike trim, which takes spaces only."""
     return F.regexp_replace(col(c), BLANK, "")
 
 
-def not_blank(c: Column | str) -> Column:
-    """The value itself, or null where nothing but white space is left."""
-    return F.when(strip(c) != "", col(c))
-
-
 def first_value(*cs: Column | str, profile: str = "etl") -> Column:
     """The first value that isn't blank, untrimmed; an empty string if there is none. In the app profile "0" is blank too."""
-    keep = [not_blank(c) for c in cs]
-    if profile == "app":
-        keep = [F.when(c != "0", c) for c in keep]
-    return F.coalesce(*keep, F.lit(""))
+    blank = lambda x: (strip(x) == "") | (x == "0") if profile == "app" else strip(x) == ""
+    return F.coalesce(F.get(F.filter(F.array(*[col(c) for c in cs]), lambda x: ~blank(x)), F.lit(0)), F.lit(""))
 
 
-#: The entities that page texts hold; `&amp;` comes last, so that no entity is decoded twice.
-ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+#: The entities that most texts hold; `&amp;` comes last, so that no entity is decoded twice.
+ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
 def unescape(c: Column | str) -> Column:
-    """Common entities, in the JVM. html_unescape() decodes all of them, in Python."""
+    """Common entities, as a short chain that may stand anywhere; unescape_all() decodes more, html_unescape() all of them."""
     return reduce(lambda e, x: F.replace(e, F.lit(x[0]), F.lit(x[1])), ENTITIES, col(c))
 
 
+#: An entity: a name from the HTML table, or a decimal or hexadecimal code.
+ENTITY = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+
+
+def _entity_table() -> dict[str, str]:
+    """The names of HTML 4 and their characters, and the capital spellings that HTML 5 added. Rarer names of HTML 5 aren't in it."""
+    capital = {n: html.entities.html5[f"{n};"] for n in ("AMP", "LT", "GT", "QUOT", "COPY", "REG")}
+    return {n: chr(c) for n, c in sorted(html.entities.name2codepoint.items())} | {"apos": "'"} | capital
+
+
+def unescape_all(c: Column | str) -> Column:
+    """Numeric entities and the names of HTML 4, in the JVM: the distinct entities of a text are looked up, and texts without an
+    ampersand are left as they are. html_unescape() decodes all of HTML 5, in Python.
+
+    Without a semicolon, names of Latin-1 characters are decoded, as HTML allows. Each entity is decoded once: a marker
+    stands for a decoded ampersand until all others are done.
+    """
+    names = F.from_json(F.lit(json.dumps(_entity_table())), "map<string,string>")
+
+    def named(body: Column) -> Column:
+        return let(F.try_element_at(names, F.rtrim(body, F.lit(";"))), lambda x: F.when(body.endswith(";") | (x < F.lit("\u0100")), x))
+
+    def decoded(entity: Column) -> Column:
+        body = F.substring(entity, 2, 40)
+        digits = F.regexp_extract(body, r"^#([0-9]+)", 1)
+        code = F.when(digits != "", digits.try_cast("int")).otherwise(F.conv(F.regexp_extract(body, r"^#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("int"))
+        # A code's character, from the four bytes of UTF-32; codes that stand for none give the replacement character.
+        valid = lambda n: n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        char = let(code, lambda n: F.when(valid(n), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd")))
+        return F.when(body.startswith("#"), char).otherwise(named(body))
+
+    def all_of(t: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(t, F.lit(f"({ENTITY})")))
+        # Longer ones first, so that none is taken for the beginning of another.
+        ordered = F.array_sort(found, lambda a, b: F.length(b) - F.length(a))
+        swap = lambda text, e: F.replace(text, e, F.coalesce(F.replace(decoded(e), F.lit("&"), F.lit("\ue000")), e))
+        return F.replace(F.aggregate(ordered, t, swap), F.lit("\ue000"), F.lit("&"))
+
+    return let(col(c), lambda t: F.when(F.contains(t, F.lit("&")), all_of(t)).otherwise(t))
+
+
 @F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
@@ -87,7 +128,7 @@ def split_values(c: Column | str) -> Column:
 
 def stable_id(*cs: Column | str) -> Column:
     """The first 18 hex digits of the SHA-1 of the non-blank cleaned values, joined by bars."""
-    return F.substring(F.sha1(F.concat_ws("|", *[F.when(clean_text(c) != "", clean_text(c)) for c in cs])), 1, 18)
+    return F.substring(F.sha1(F.concat_ws("|", *[let(clean_text(c), lambda t: F.when(t != "", t)) for c in cs])), 1, 18)
 
 
 def bigrams(c: Column | str) -> Column:

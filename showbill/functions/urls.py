@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from showbill.functions.text import col, strip, unescape
+from showbill.functions.text import col, let, strip, unescape
 
 # Fixed patterns: hosts that are blocked, that sell tickets, and that are social pages.
 BLOCKED_HOST = r"(?i)(?:^|\.)(?:facebook\.com|fb\.me|fbcdn\.net|facebookusercontent\.com)$"
@@ -24,6 +25,32 @@ INTERFACE_IMAGE = {
     "etl": r"(?i)(?:favicon|logo|icon|avatar|spacer|blank|loading|loader|spinner|progress|preload|placeholder|pixel|sprite|qr[_-]?code)",
     "app": r"(?i)(?:^|[/_.-])(?:favicon|avatar|spacer|blank|loading|loader|spinner|progress|preload|placeholder|pixel|sprite|qr[_-]?code)(?:[/_.-]|$)",
 }
+# Fixed patterns: file names of default pictures, and sizes of thumbnails.
+DEFAULT_IMAGE = r"(?:^|[-_])default(?:[-_.]|$)|programinfodefault"
+THUMBNAIL = r"(?:^|[/_-])(?:16x16|32x32|50x50|64x64|80x80|100x100)(?:[/_.-]|$)"
+# Fixed pattern: hosts of public institutions.
+PUBLIC_HOST = r"(?i)(?:^|\.)(?:culture\.tw|gov\.tw)$"
+
+
+def joined(base: Column | str, ref: Column | str) -> Column:
+    """A reference against an absolute http(s) base, in the JVM: absolute and scheme-relative references, paths from the root or
+    beside the base, queries and fragments; up to eight steps to a parent directory are taken."""
+    b, r = col(base), strip(F.coalesce(col(ref), F.lit("")))
+    root = F.regexp_extract(b, r"(?i)^(https?://[^/?#]+)", 1)
+    here = F.regexp_extract(b, r"(?i)^https?://[^/?#]+([^?#]*)", 1)
+    beside = F.concat(root, F.when(here == "", "/").otherwise(F.regexp_extract(here, "^(.*/)", 1)), r)
+    full = (
+        F.when(r.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), r).when(r.startswith("//"), F.concat(F.regexp_extract(b, "(?i)^(https?:)", 1), r))
+        .when(r.startswith("/"), F.concat(root, r)).when(r.startswith("?"), F.concat(root, here, r)).when(r.startswith("#") | (r == ""), F.concat(F.regexp_extract(b, "^([^#]*)", 1), r)).otherwise(beside)
+    )
+
+    def plain(u: Column) -> Column:
+        u = F.regexp_replace(u, r"/(?:\./)+", "/")
+        for _ in range(8):
+            u = F.regexp_replace(u, r"(?i)^(https?://[^/?#]+(?:/[^/?#]+)*?)/(?!\.\./)[^/?#]+/\.\./", "$1/")
+        return F.regexp_replace(u, r"(?i)^(https?://[^/?#]+)/(?:\.\./)+", "$1/")
+
+    return let(full, lambda u: F.when(u.rlike(r"/\.\.?/"), plain(u)).otherwise(u))
 
 
 @F.pandas_udf(StringType())
@@ -47,20 +74,17 @@ def normalize_url(c: Column | str) -> Column:
     """
     t = F.regexp_replace(strip(unescape(F.coalesce(col(c), F.lit("")))), r"""^["']+|["']+$""", "")
     t = F.regexp_replace(F.replace(t, F.lit("\\/"), F.lit("/")), r"(?is)^https?://[^/?#]+(https?://.+)$", "$1")
+    # After quoted markup, the last of several URLs counts, up to the next quote.
+    t = F.regexp_replace(t, r"""(?is)^.*https?://.*(?:\\?&q;|\\?&quot;|["'<>]).*(https?://(?:(?!\\?&q;|\\?&quot;|https?://)[^"'<>\\\s])*).*$""", "$1")
     t = let(t, lambda x: F.when(x.rlike(r"(?i)^https?%3A"), F.try_url_decode(x)).otherwise(x))
     t = F.regexp_replace(t, "^//", "https://")
     # Of an authority with other characters, the valid beginning stays and the rest of the URL goes; none may be left.
     t = F.regexp_replace(t, r"(?i)^(https?://[A-Za-z0-9.-]+(?::\d+)?)[^A-Za-z0-9.\-:\[\]/?#\s].*$", "$1")
-    # Programme routes of one ticket host show an empty page; its event routes show the content.
+    # One ticket host serves an event's content at its event route only.
     t = F.regexp_replace(t, r"(?i)^(https?://(?:www\.)?opentix\.life)/program/(\d+/?)(?=$|[?#])", "$1/event/$2")
     return F.regexp_extract(t, r"(?is)^https?://[A-Za-z0-9\[][^/?#\s]*.*$", 0)
 
 
-def let(c: Column, f) -> Column:
-    """f of c, with c computed once however often f uses it: chains of such steps would otherwise grow exponentially."""
-    return F.get(F.transform(F.array(c), f), F.lit(0))
-
-
 def host_of(u: Column) -> Column:
     return F.lower(F.regexp_extract(u, r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
@@ -99,7 +123,16 @@ def needs_title_check(c: Column | str) -> Column:
 
 
 def is_content_image(c: Column | str, profile: str = "etl") -> Column:
-    return let(normalize_url(c), lambda u: (u != "") & ~decoded_path(u).rlike(INTERFACE_IMAGE[profile]))
+    return let(normalize_url(c), lambda u: (u != "") & shows_content(u, profile))
+
+
+def shows_content(u: Column, profile: str = "etl") -> Column:
+    """Whether a repaired URL's path may be an event's picture; the app profile only leaves out interface images."""
+    path = decoded_path(u)
+    bad = [path.rlike(INTERFACE_IMAGE[profile])]
+    if profile == "etl":
+        bad += [F.regexp_extract(path, "[^/]*$", 0).rlike(DEFAULT_IMAGE), path.rlike(r"\.(?:svg|gif|ico)$"), path.rlike(THUMBNAIL)]
+    return ~reduce(lambda a, b: a | b, bad)
 
 
 def unique_urls(urls: Column | str) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showbill.functions import urls
-from showbill.functions.text import clean_text, col, title_score
+from showbill.functions.text import clean_text, col, title_score, unescape_all
 
 #: Longer pages are read up to here by the extraction rules.
 PAGE_CHARS = 1_600_000
@@ -17,10 +17,13 @@ META_SWAPPED = r"""(?is)<meta[^>]+content=["']([^"']+)["'][^>]+(?:property|name)
 ANCHOR = r"""(?is)<a[^>]+href=["']([^"']+)["'][^>]*>(.*?)</a>"""
 CANONICAL = r"""(?is)<link[^>]+rel=["'](?:canonical|alternate)["'][^>]+href=["']([^"']+)"""
 IMG = r"""(?is)<img[^>]+(?:src|data-src|data-original|data-lazy-src|data-original-src|data-flickity-lazyload|data-echo)=["']([^"']+)"""
+SOURCE_SET = r"""(?is)<(?:img|source)[^>]+srcset=["']([^"']+)"""
+JSON_IMAGE = r"""(?i)"(?:image|imageUrl|poster|cover|thumbnailUrl|contentUrl)"\s*:\s*"([^"]+)\""""
+BACKGROUND = r"""(?i)background(?:-image)?\s*:\s*url\(["']?([^"')]+)"""
 JSON_LD = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
-POINT = [r"@(-?\d{2}\.\d+),(-?\d{2,3}\.\d+)", r"(?:query|q|destination)=(-?\d{2}\.\d+)%?2[Cc](-?\d{2,3}\.\d+)"]
-LINK_LABEL = r"(?i)官方|官網|活動網站|售票|購票|報名|詳細|official|website|ticket|more"
-LEFT_OUT = r"(?i)/(?:share|sharer|login|signin|intent)(?:[/?.]|$)"
+POINT = [r"!3d(-?\d{2}\.\d+)!4d(-?\d{2,3}\.\d+)", r"@(-?\d{2}\.\d+),(-?\d{2,3}\.\d+)", r"(?:query|q|destination)=(-?\d{2}\.\d+)%?2[Cc](-?\d{2,3}\.\d+)"]
+LINK_LABEL = r"(?i)官方|活動官網|詳細資訊|活動頁|售票|購票|主辦|instagram|event|detail|ticket"
+LEFT_OUT = r"/share|/sharer|/login|/dialog/"
 
 
 def head(html: Column | str) -> Column:
@@ -39,11 +42,15 @@ def page_title(html: Column | str) -> Column:
     return clean_text(F.coalesce(found(html, META.format(names=names)), found(html, TITLE), F.lit("")))
 
 
-def page_images(html: Column | str, most: int = 18) -> Column:
-    """Image URLs in the order meta, img, each once, without interface images."""
+def page_images(html: Column | str, base: Column | str | None = None, most: int = 18) -> Column:
+    """Image URLs in the order meta, img, source sets, JSON members and style backgrounds, each once, without interface images; against the page's URL if given."""
     names = "og:image(?::secure_url)?|twitter:image(?::src)?"
-    every = F.concat(*[F.regexp_extract_all(col(html), F.lit(p), 1) for p in (META.format(names=names), META_SWAPPED.format(names=names), IMG)])
-    return F.slice(F.filter(urls.unique_urls(every), lambda u: urls.is_content_image(u)), 1, most)
+    plain = [F.regexp_extract_all(col(html), F.lit(p), 1) for p in (META.format(names=names), META_SWAPPED.format(names=names), IMG)]
+    sets = F.flatten(F.transform(F.regexp_extract_all(col(html), F.lit(SOURCE_SET), 1), lambda v: F.transform(F.split(v, r",\s+"), lambda part: F.split_part(F.trim(part), F.lit(" "), F.lit(1)))))
+    rest = [F.regexp_extract_all(col(html), F.lit(p), 1) for p in (JSON_IMAGE, BACKGROUND)]
+    every = F.concat(*plain, sets, *rest)
+    absolute = every if base is None else F.transform(every, lambda u: urls.joined(base, unescape_all(u)))
+    return F.slice(F.filter(urls.unique_urls(absolute), lambda u: urls.shows_content(u)), 1, most)
 
 
 def page_description(html: Column | str, least: int = 24, most: int = 5000) -> Column:
@@ -81,26 +88,30 @@ def section(text: Column | str, start: str, end: str, least: int = 40, most: int
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """page_id, url, target and label of every anchor; targets are resolved against the page by Python's resolver."""
-    pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), 1).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), 2).alias("label"))
-    out = pages.select("page_id", "url", F.explode(pairs).alias("a")).select("page_id", "url", F.col("a.href").alias("href"), clean_text("a.label").alias("label"))
-    return out.withColumn("target", urls.normalize_url(urls.resolve("url", "href"))).drop("href")
+    """page_id, url, at, href, label and target of every canonical link (label null) and then every anchor; targets are resolved against the page, in the JVM."""
+    canonical = F.transform(F.regexp_extract_all("html", F.lit(CANONICAL), 1), lambda h: F.struct(h.alias("href"), F.lit(None).cast("string").alias("label")))
+    anchors = F.transform(F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), 1).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), 2).alias("label")), lambda a: F.struct(a["href"].alias("href"), a["label"].alias("label")))
+    out = pages.select("page_id", "url", F.posexplode(F.concat(canonical, anchors)).alias("at", "a")).select("page_id", "url", "at", "a.href", F.when(F.col("a.label").isNotNull(), clean_text("a.label")).alias("label"))
+    return out.withColumn("target", urls.normalize_url(urls.joined("url", unescape_all("href"))))
 
 
-def link_score(target: Column | str, label: Column | str) -> Column:
-    """Points for a repaired link that may lead to the event's own page: its label, social and ticket hosts; null for links that lead nowhere."""
-    base = F.when(col(label).rlike(LINK_LABEL), 80).otherwise(45)
-    host, path = urls.host_of(col(target)), urls.path_of(col(target))
-    extra = F.when(host.rlike(urls.SOCIAL_HOST), 15).when(host.rlike(urls.TICKET_HOST), 75).otherwise(0)
-    return F.when((col(target) != "") & ~host.rlike(urls.BLOCKED_HOST) & ~path.rlike(LEFT_OUT), base + extra)
+def link_score(target: Column | str, label: Column | str, href: Column | str) -> Column:
+    """Points for a link that may lead to an event's own page: a canonical link, or an anchor whose label or address speaks of the event
+    or whose host is social; more for social, ticket and public hosts. Null for all others."""
+    host, path = urls.host_of(col(target)), F.lower(urls.path_of(col(target)))
+    social, says = host.rlike(urls.SOCIAL_HOST), F.concat_ws(" ", col(label), col(href)).rlike(LINK_LABEL)
+    base = F.when(col(label).isNull(), 65).when(col(label).rlike(LINK_LABEL), 80).when(says | social, 45)
+    yes = lambda c, n: F.when(c, n).otherwise(0)
+    extra = yes(social, 15) + yes(social & F.contains(path, F.lit("/events/")), 45) + yes(host.rlike(urls.TICKET_HOST), 75) + yes(F.contains(host, F.lit("opentix.life")), 35) + yes(host.rlike(urls.PUBLIC_HOST), 30)
+    return F.when((host != "") & ~urls.is_blocked(target) & ~path.rlike(LEFT_OUT), base + extra)
 
 
 def related_pages(pages: DataFrame, most: int = 8) -> DataFrame:
-    """page_id, target, score and place of each page's best links. Per page, links are few: the top is cut from a bounded array, without a window."""
-    scored = links(pages).withColumn("score", link_score("target", "label")).where("score is not null and target <> url")
-    best = scored.groupBy("page_id", "target").agg(F.max("score").alias("score"))
-    tops = best.groupBy("page_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "target"))), 1, most).alias("top"))
-    return tops.select("page_id", F.posexplode("top").alias("i", "t")).select("page_id", "t.target", (-F.col("t.s")).alias("score"), (F.col("i") + 1).alias("place"))
+    """page_id, target, score and place of each page's best links, of equals the one found first; Spark keeps `most` rows a page before the shuffle."""
+    scored = links(pages).withColumn("score", link_score("target", "label", "href")).where("score is not null and target <> url")
+    best = scored.groupBy("page_id", "target").agg(F.max("score").alias("score"), F.min("at").alias("at"))
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "at"))
+    return best.withColumn("place", place).where(F.col("place") <= most).select("page_id", "target", "score", "place")
 
 
 def verified(events: DataFrame, pages: DataFrame, least: float = 0.42) -> DataFrame:

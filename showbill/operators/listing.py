@@ -109,10 +109,10 @@ def listing(events: DataFrame, q: ListingQuery, k: int) -> DataFrame:
 
 
 def featured(events: DataFrame, today: datetime.date, k: int = 8, by: str = "key") -> DataFrame:
-    """The k best by image and score, one for each value of `by`; the best per value is an aggregate, not a window, so a frequent value isn't one task's load."""
+    """The k best by image and score, one for each value of `by`, of equals the smaller key; the best per value is an aggregate, not a window, so a frequent value isn't one task's load."""
     ranked = events.withColumn("score", score(F.lit(today))).withColumn("has_image", (F.coalesce(F.col("image"), F.lit("")) != "").cast("int"))
-    best = ranked.groupBy(by).agg(F.max(F.struct("has_image", "score", (-F.col("key")).alias("back"))).alias("m"))
-    return best.select(by, *([] if by == "key" else [(-F.col("m.back")).alias("key")]), "m.has_image", "m.score").orderBy(F.desc("has_image"), F.desc("score"), "key").limit(k)
+    best = ranked.groupBy(by).agg(F.min(F.struct((-F.col("has_image")).alias("i"), (-F.col("score")).alias("s"), F.col("key").alias("k"))).alias("m"))
+    return best.select(by, *([] if by == "key" else [F.col("m.k").alias("key")]), (-F.col("m.i")).alias("has_image"), (-F.col("m.s")).alias("score")).orderBy(F.desc("has_image"), F.desc("score"), "key").limit(k)
 
 
 def badges(today: Column) -> Column:
@@ -130,7 +130,9 @@ def best_per_group(events: DataFrame, group: str, today: datetime.date) -> DataF
     """One event per group: being on before upcoming before others, then the later start, more hits, the smaller key."""
     t = F.lit(today)
     rank = F.when(dates.is_ongoing("start", "end", t), 2).otherwise(0) + F.when(dates.is_upcoming("start", t), 1).otherwise(0)
-    return events.groupBy(group).agg(F.max(F.struct(rank.alias("rank"), "start", "hits", (-F.col("key")).alias("back"))).alias("m")).select(group, (-F.col("m.back")).alias("key"), "m.rank")
+    last = F.lit(1 << 62)
+    order = F.struct((-rank).alias("r"), F.coalesce(-F.unix_date("start"), last).alias("s"), F.coalesce(-F.col("hits"), last).alias("h"), F.col("key").alias("k"))
+    return events.groupBy(group).agg(F.min(order).alias("m")).select(group, F.col("m.k").alias("key"), (-F.col("m.r")).alias("rank"))
 
 
 def ranked_in_group(events: DataFrame, group: str, today: datetime.date, k: int) -> DataFrame:

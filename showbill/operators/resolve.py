@@ -55,8 +55,7 @@ def best_source(fields: list[str], quality: Column, usable: Column, order: str =
 def ordered_distinct(c: str, order: str = "ord", descending: bool = False, most: int | None = None) -> Column:
     """The elements of array column c over all records in order, each once at its first place.
 
-    Each distinct element is kept once per task with its earliest place, so the gathered array holds no more than the
-    key's records' own elements.
+    All arrays of a key meet in one task: for keys with few records. records.first_places combines elements first.
     """
     rows = F.array_sort(F.collect_list(F.struct((-F.col(order) if descending else F.col(order)).alias("o"), F.col(c).alias("v"))))
     out = F.array_distinct(F.flatten(F.transform(rows, lambda r: F.coalesce(r["v"], F.array()))))

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from showbill.functions import urls
-from showbill.functions.text import clean_text, split_values
+from showbill.functions.text import clean_text, let, split_values
 
 # Category codes of the feeds, public labels, and other names of labels.
 CATEGORY_CODES = {
@@ -83,16 +83,16 @@ POLICIES = {"etl": Policy(), "app": Policy(False, False, False)}
 def excluded(title, organiser=None, category=None, source=None, feed=None, profile: str = "etl") -> Column:
     """Whether the catalogue leaves a record out. Missing columns and nulls never exclude."""
     text = lambda c: clean_text(c if c is not None else F.lit(""))
-    t, o, g = text(title), text(organiser), text(category)
-    both = F.concat_ws(" ", t, o)
-    policy, large = POLICIES[profile], both.rlike(LARGE_EVENT)
-    tests = [t.rlike(EXCLUDED_TITLE), t.rlike(SMALL_ACTIVITY), g.rlike(EXCLUDED_CATEGORY), both.rlike(COMMUNITY) & ~large, both.rlike(LOCAL_CLUB) & ~t.rlike(PUBLIC_SHOW) & ~large]
-    tests += [both.rlike(LOCAL_GOVERNMENT)] * policy.local_government + [both.rlike(SMALL_SHOW)] * policy.small_show + [t.rlike(CONTEST) & ~t.rlike(CONTEST_SHOW)] * policy.contest
-    if feed is not None:
-        tests.append(text(feed).isin(*EXCLUDED_FEEDS))
-    if source is not None:
-        tests.append(urls.is_blocked(source))
-    return any_of(tests)
+    policy = POLICIES[profile]
+    read = F.struct(text(title).alias("t"), text(category).alias("g"), F.concat_ws(" ", text(title), text(organiser)).alias("both"))
+
+    def tests(r: Column) -> Column:
+        t, g, both = r["t"], r["g"], r["both"]
+        large = both.rlike(LARGE_EVENT)
+        out = [t.rlike(EXCLUDED_TITLE), t.rlike(SMALL_ACTIVITY), g.rlike(EXCLUDED_CATEGORY), both.rlike(COMMUNITY) & ~large, both.rlike(LOCAL_CLUB) & ~t.rlike(PUBLIC_SHOW) & ~large]
+        return any_of(out + [both.rlike(LOCAL_GOVERNMENT)] * policy.local_government + [both.rlike(SMALL_SHOW)] * policy.small_show + [t.rlike(CONTEST) & ~t.rlike(CONTEST_SHOW)] * policy.contest)
+
+    return any_of([let(read, tests), *([text(feed).isin(*EXCLUDED_FEEDS)] if feed is not None else []), *([urls.is_blocked(source)] if source is not None else [])])
 
 
 def any_of(tests: list[Column]) -> Column:
@@ -104,7 +104,7 @@ def any_of(tests: list[Column]) -> Column:
 
 def keyword_labels(text: Column, rules: list[tuple[str, str]]) -> Column:
     """The labels of matching rules, later rules first."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in reversed(rules)]))
+    return let(text, lambda t: F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in reversed(rules)])))
 
 
 def classify(category, title, description, feed=None, rules: list[tuple[str, str]] | None = None, most: int = 3) -> Column:
@@ -113,9 +113,9 @@ def classify(category, title, description, feed=None, rules: list[tuple[str, str
     named = F.concat(split_values(category), *([split_values(feed)] if feed is not None else []))
     known = F.create_map(*[F.lit(x) for k, v in ({n: n for n in LABELS} | CATEGORY_NAMES | CATEGORY_CODES).items() for x in (k, v)])
     mapped = F.array_distinct(F.array_compact(F.transform(named, lambda v: F.try_element_at(known, v))))
-    found = F.array_except(keyword_labels(F.concat_ws(" ", title, description), rules), mapped)
-    labels = F.filter(F.array_distinct(F.concat(found, mapped)), lambda v: v != OTHER)
-    return F.when(F.size(labels) == 0, F.array(F.lit(OTHER))).otherwise(F.slice(labels, 1, most))
+    found = keyword_labels(F.concat_ws(" ", title, description), rules)
+    labels = let(F.struct(mapped.alias("m"), found.alias("f")), lambda x: F.filter(F.array_distinct(F.concat(F.array_except(x["f"], x["m"]), x["m"])), lambda v: v != OTHER))
+    return let(labels, lambda x: F.when(F.size(x) == 0, F.array(F.lit(OTHER))).otherwise(F.slice(x, 1, most)))
 
 
 def editorial_labels(categories, title, description) -> Column:
@@ -129,17 +129,18 @@ def editorial_labels(categories, title, description) -> Column:
 
 def detect_region(*texts, profile: str = "etl") -> Column:
     """The first region, in list order, that the texts name. The etl profile folds spellings first, the app profile looks for plain names first."""
+    def folded(t: Column) -> Column:
+        for old, new in REGION_SPELLINGS.items():
+            t = F.replace(t, F.lit(old), F.lit(new))
+        return t
+
+    seek = lambda text: let(text, lambda t: F.coalesce(*[F.when(F.contains(t, F.lit(r)), F.lit(r)) for r in REGION_CIRCLES]))
     plain = F.concat_ws(" ", *[clean_text(t) for t in texts])
-    folded = plain
-    for old, new in REGION_SPELLINGS.items():
-        folded = F.replace(folded, F.lit(old), F.lit(new))
-    seek = lambda text: [F.when(F.contains(text, F.lit(r)), F.lit(r)) for r in REGION_CIRCLES]
-    return F.coalesce(*(seek(folded) if profile == "etl" else seek(plain) + seek(folded)), F.lit(UNKNOWN_REGION))
+    return let(plain, lambda t: F.coalesce(*([] if profile == "etl" else [seek(t)]), seek(folded(t)), F.lit(UNKNOWN_REGION)))
 
 
 def poor_venue(venue) -> Column:
     """Empty, a placeholder, cut off, or only a district's name."""
     from showbill.functions.text import clean_place
 
-    v = clean_place(venue)
-    return (v == "") | (v == "地點待確認") | F.contains(v, F.lit("場館資料整理中")) | v.rlike("[=＝]$") | v.rlike("^.{1,8}區(?:[（(].+[）)])?$")
+    return let(clean_place(venue), lambda v: (v == "") | (v == "地點待確認") | F.contains(v, F.lit("場館資料整理中")) | v.rlike("[=＝]$") | v.rlike("^.{1,8}區(?:[（(].+[）)])?$"))

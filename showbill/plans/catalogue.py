@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from showbill.functions import dates, geo, text, urls
-from showbill.operators import extract, facets, listing, overlay, recommend, resolve, rules
+from showbill.operators import enrich, extract, facets, listing, overlay, pages, recommend, records, resolve, rules
 from showbill.operators.listing import ListingQuery
 
 TODAY = datetime.date(1998, 8, 2)
@@ -455,3 +455,44 @@ def title_match_ratio(spark, d):
 def nested_flatten(spark, d):
     conv = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
     return conv.select("conv_id", F.size("turns").cast("long").alias("n"), F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"))
+
+
+# Page compositions and whole records
+
+
+@query(f"""WITH {CAT}, seeds AS (SELECT * FROM cat WHERE title = '{USER}'),
+pairs AS (SELECT s.key AS seed, c.key, {SCORE.replace("key AS VARCHAR", "c.key AS VARCHAR").replace("image", "c.image").replace("hits", "c.hits").replace("sd <=", "c.sd <=").replace("ed >=", "c.ed >=").replace("AND ed -", "AND c.ed -")} AS score FROM seeds s JOIN cat c ON s.key <> c.key AND (s.region = c.region OR s.category = c.category))
+SELECT seed, key, place FROM (SELECT seed, key, row_number() OVER (PARTITION BY seed ORDER BY score DESC, key) AS place FROM pairs) WHERE place <= 6""")
+def related_top6(spark, d):
+    events = catalog(spark, d)
+    return pages.related_top(events, events.where(F.col("title") == USER), TODAY)
+
+
+@query(f"WITH {CAT} (SELECT 'upcoming' AS list, key FROM cat WHERE sd > DATE '1998-08-02' ORDER BY sd, key LIMIT 4) UNION ALL (SELECT 'ending', key FROM cat WHERE {ONGOING} AND ed - DATE '1998-08-02' BETWEEN 0 AND 30 ORDER BY ed, key LIMIT 4)")
+def home_lists(spark, d):
+    parts = pages.home(catalog(spark, d), TODAY)
+    return parts["upcoming"].select(F.lit("upcoming").alias("list"), "key").unionByName(parts["ending"].select(F.lit("ending").alias("list"), "key"))
+
+
+@query(f"WITH {CAT}, on_now AS (SELECT *, {SCORE} AS score FROM cat WHERE {ONGOING}) SELECT 'order-' || CAST(key AS VARCHAR) AS key FROM on_now ORDER BY image <> '' DESC, least(hits, 50000) DESC, key LIMIT 0")
+def home_featured_empty(spark, d):
+    """A filtered home without date or status has no results."""
+    return pages.home_results(catalog(spark, d), ListingQuery(TODAY))[0].select(F.concat(F.lit("order-"), F.col("key").cast("string")).alias("key"))
+
+
+@query("""WITH raw AS (SELECT o_orderkey, c_name, o_orderdate, o_totalprice, o_orderpriority, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT CAST(o_orderkey AS VARCHAR) AS id, c_name AS title, strftime(o_orderdate, '%Y-%m-%d') AS start_date, n_name AS venue, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '免費' END AS price, CAST(floor(o_totalprice) AS BIGINT) AS hits,
+  25 + (o_orderkey % 100) / 100.0::DOUBLE AS lat, CASE WHEN o_orderkey % 3 = 0 THEN 'https://p.example.org/a/' || o_orderkey ELSE '' END AS source_url FROM raw""")
+def record_typing(spark, d):
+    orders, customer, nation = (table(spark, d, t) for t in ("orders", "customer", "nation"))
+    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("o_orderkey")
+    show = F.struct(F.date_format("o_orderdate", "yyyy/MM/dd").alias("time"), F.col("n_name").alias("locationName"), (25 + (k % 100) / 100.0).cast("string").alias("longitude"), F.lit("121.5").alias("latitude"), F.when(k % 2 == 1, "N").alias("onSales"), F.when(k % 2 == 0, F.col("o_orderpriority")).alias("price"))
+    raw = F.to_json(F.struct(k.cast("string").alias("UID"), F.col("c_name").alias("titile"), F.floor("o_totalprice").cast("string").alias("hitRate"), F.array(show).alias("showInfo"), F.when(k % 3 == 0, F.concat(F.lit("https:\\/\\/p.example.org/a/"), k.cast("string"))).alias("website")))
+    return records.typed(rows.select(F.parse_json(raw).alias("raw"), k.alias("ord"))).select("id", "title", "start_date", "venue", "price", "hits", "lat", "source_url")
+
+
+@query("WITH p AS (SELECT vec_id AS id, 25 + CAST(embedding[1] AS DOUBLE) AS lat, 121 + CAST(embedding[2] AS DOUBLE) AS lon FROM embeddings) SELECT id, lat BETWEEN 20 AND 27 AND lon BETWEEN 117.5 AND 124 AND " + KM.format(lat="23.0::DOUBLE", lon="120.22::DOUBLE").replace("lat - 23.0::DOUBLE", "lat - 23.0::DOUBLE") + " <= 73 AS kept FROM p")
+def checked_places(spark, d):
+    p = places(spark, d).select(F.col("key").alias("id"), "lat", "lon", F.lit("台南市").alias("region"), F.lit("feed").alias("place_source"))
+    return enrich.checked_places(p).select("id", F.col("lat").isNotNull().alias("kept"))
