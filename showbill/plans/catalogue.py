@@ -474,12 +474,6 @@ def home_lists(spark, d):
     return parts["upcoming"].select(F.lit("upcoming").alias("list"), "key").unionByName(parts["ending"].select(F.lit("ending").alias("list"), "key"))
 
 
-@query(f"WITH {CAT}, on_now AS (SELECT *, {SCORE} AS score FROM cat WHERE {ONGOING}) SELECT 'order-' || CAST(key AS VARCHAR) AS key FROM on_now ORDER BY image <> '' DESC, least(hits, 50000) DESC, key LIMIT 0")
-def home_featured_empty(spark, d):
-    """A filtered home without date or status has no results."""
-    return pages.home_results(catalog(spark, d), ListingQuery(TODAY))[0].select(F.concat(F.lit("order-"), F.col("key").cast("string")).alias("key"))
-
-
 @query("""WITH raw AS (SELECT o_orderkey, c_name, o_orderdate, o_totalprice, o_orderpriority, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
 SELECT CAST(o_orderkey AS VARCHAR) AS id, c_name AS title, strftime(o_orderdate, '%Y-%m-%d') AS start_date, n_name AS venue, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '免費' END AS price, CAST(floor(o_totalprice) AS BIGINT) AS hits,
   25 + (o_orderkey % 100) / 100.0::DOUBLE AS lat, CASE WHEN o_orderkey % 3 = 0 THEN 'https://p.example.org/a/' || o_orderkey ELSE '' END AS source_url FROM raw""")
@@ -492,7 +486,7 @@ def record_typing(spark, d):
     return records.typed(rows.select(F.parse_json(raw).alias("raw"), k.alias("ord"))).select("id", "title", "start_date", "venue", "price", "hits", "lat", "source_url")
 
 
-@query("WITH p AS (SELECT vec_id AS id, 25 + CAST(embedding[1] AS DOUBLE) AS lat, 121 + CAST(embedding[2] AS DOUBLE) AS lon FROM embeddings) SELECT id, lat BETWEEN 20 AND 27 AND lon BETWEEN 117.5 AND 124 AND " + KM.format(lat="23.0::DOUBLE", lon="120.22::DOUBLE").replace("lat - 23.0::DOUBLE", "lat - 23.0::DOUBLE") + " <= 73 AS kept FROM p")
+@query("WITH p AS (SELECT vec_id AS id, 25 + CAST(embedding[1] AS DOUBLE) AS lat, 121 + CAST(embedding[2] AS DOUBLE) AS lon FROM embeddings) SELECT id, lat BETWEEN 20 AND 27 AND lon BETWEEN 117.5 AND 124 AND " + KM.format(lat="23.0::DOUBLE", lon="120.22::DOUBLE") + " <= 73 AS kept FROM p")
 def checked_places(spark, d):
     p = places(spark, d).select(F.col("key").alias("id"), "lat", "lon", F.lit("台南市").alias("region"), F.lit("feed").alias("place_source"))
     return enrich.checked_places(p).select("id", F.col("lat").isNotNull().alias("kept"))
