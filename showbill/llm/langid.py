@@ -117,11 +117,11 @@ class Cuts:
     size: np.ndarray
     piece: np.ndarray
 
-    def forward(self, logs: np.ndarray, backward: bool = False) -> np.ndarray:
+    def forward(self, logs: np.ndarray, backward: bool = False, chances: np.ndarray | None = None) -> np.ndarray:
         """The logarithm of the sum over all segmentations of each beginning of each word (or end, if backward).
 
-        logs: one row per piece found, one column per language. The result has a row for each of a word's length + 1
-        places, word after word.
+        logs: one row per piece of the vocabulary, one column per language; chances: their exponentials, if at hand. The
+        result has a row for each of a word's length + 1 places, word after word.
         """
         firsts = np.cumsum(self.lengths + 1) - (self.lengths + 1)
         sums = np.full((int((self.lengths + 1).sum()), logs.shape[1]), -np.inf)
@@ -129,21 +129,24 @@ class Cuts:
         if backward:
             begin, end = self.lengths[self.owner] - end, self.lengths[self.owner] - begin
         sums[firsts] = 0.0
-        # Pieces by where they begin, then by length: those of one length that begin at one distance add to different places.
-        order = np.lexsort((self.size, begin))
-        step = begin[order] * (int(self.size.max(initial=0)) + 1) + self.size[order]
+        # Pieces by where they begin, then by length, as they were found: those of one length that begin at one distance
+        # add to different places.
+        longest = int(self.lengths.max(initial=0))
+        order = np.argsort(begin.astype(np.uint16) if longest < 1 << 16 else begin, kind="stable")
+        begin, owner = begin[order], firsts[self.owner[order]]
+        step = begin * (int(self.size.max(initial=0)) + 1) + self.size[order]
         edges = np.flatnonzero(np.concatenate([[True], np.diff(step) != 0, [True]])) if len(step) else []
-        source, target = firsts[self.owner[order]] + begin[order], firsts[self.owner[order]] + end[order]
-        ordered = logs[order]
-        if len(logs) and self.lengths.max() * logs.min() > -650:  # no product of pieces leaves the range of a double
-            sums, ordered = np.exp(sums), np.exp(ordered)
+        source, target, piece = owner + begin, owner + end[order], self.piece[order]
+        if len(piece) and longest * logs.min() > -650:  # no product of pieces leaves the range of a double
+            sums = np.exp(sums)
+            chances = np.exp(logs) if chances is None else chances
             for a, b in zip(edges[:-1], edges[1:]):
-                sums[target[a:b]] += sums[source[a:b]] * ordered[a:b]
+                sums[target[a:b]] += sums[source[a:b]] * chances[piece[a:b]]
             with np.errstate(divide="ignore"):
                 return np.log(sums)
         for a, b in zip(edges[:-1], edges[1:]):
             to = target[a:b]
-            sums[to] = np.logaddexp(sums[to], sums[source[a:b]] + ordered[a:b])
+            sums[to] = np.logaddexp(sums[to], sums[source[a:b]] + logs[piece[a:b]])
         return sums
 
 
@@ -209,8 +212,8 @@ def expected(words: list[bytes], times: np.ndarray, pieces: Pieces, logs: np.nda
         cuts = pieces.cuts([words[i] for i in at])
         weight = times[at][cuts.owner]
         if logs is not None:
-            own = logs[cuts.piece]
-            ahead, back = cuts.forward(own[:, None])[:, 0], cuts.forward(own[:, None], backward=True)[:, 0]
+            own, chances = logs[cuts.piece], np.exp(logs)[:, None]
+            ahead, back = (cuts.forward(logs[:, None], turned, chances)[:, 0] for turned in (False, True))
             firsts = np.cumsum(cuts.lengths + 1) - (cuts.lengths + 1)
             whole, left = ahead[firsts + cuts.lengths], cuts.lengths[cuts.owner] - cuts.begin - cuts.size
             with np.errstate(invalid="ignore"):
@@ -254,19 +257,22 @@ def learn(docs: DataFrame, per_lang: int = 4_000, rounds: int = 2, path: str | N
 
 
 class Scorer:
-    """Log-probabilities of texts; those of words are remembered, up to `most` words of at most 64 bytes."""
+    """Log-probabilities of texts; those of words of at most 64 bytes are remembered, in two generations of up to `most` words."""
 
     def __init__(self, model: Model, path: str | None, most: int = 200_000):
         self.pieces, self.model, self.most = shared_pieces(path), model, most
+        # Places below `most` are the younger generation's, or from there on; the older one's are the other half.
         self.place: dict[bytes, int] = {}
-        self.logs = np.zeros((most, len(model.langs)))
+        self.older: dict[bytes, int] = {}
+        self.logs, self.half = np.zeros((2 * most, len(model.langs))), 0
+        self.chances = np.exp(model.logs)
 
     def log_words(self, words: list[bytes]) -> np.ndarray:
         """The logarithm of each word's sum over all its segmentations (rows), under each language (columns)."""
         out = np.empty((len(words), len(self.model.langs)))
         for at in groups(words):
             cuts = self.pieces.cuts([words[i] for i in at])
-            out[at] = cuts.forward(self.model.logs[cuts.piece])[np.cumsum(cuts.lengths + 1) - 1]
+            out[at] = cuts.forward(self.model.logs, chances=self.chances)[np.cumsum(cuts.lengths + 1) - 1]
         return out
 
     def logs_of(self, texts: list[str]) -> np.ndarray:
@@ -279,19 +285,24 @@ class Scorer:
         total = np.zeros((len(texts), len(self.model.langs)))
         for at in range(0, len(words), 100_000):
             part = [w for w, _ in words[at : at + 100_000]]
-            new = [w for w in dict.fromkeys(part) if w not in self.place]
-            values = self.log_words(new)
-            extra = dict(zip(new, range(len(new))))
             known = np.fromiter(map(self.place.get, part, repeat(-1)), np.int64, len(part))
-            fresh = np.fromiter(map(extra.get, part, repeat(0)), np.int64, len(part))
-            logs = np.where((known >= 0)[:, None], self.logs[known], values[fresh] if len(new) else 0.0)
+            missing = np.flatnonzero(known < 0)
+            unknown = [part[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unknown))
+            once = np.fromiter(map(self.older.get, new, repeat(-1)), np.int64, len(new))
+            values, unseen = self.logs[once], np.flatnonzero(once < 0)
+            values[unseen] = self.log_words([new[i] for i in unseen.tolist()])
+            extra = dict(zip(new, range(len(new))))
+            logs = self.logs[known]
+            logs[missing] = values[np.fromiter(map(extra.__getitem__, unknown), np.int64, len(unknown))]
             np.add.at(total, owner[at : at + 100_000], logs * np.fromiter((n for _, n in words[at : at + 100_000]), float, len(part))[:, None])
             short = [w for w in new if len(w) <= 64]
             if len(self.place) + len(short) > self.most:
-                self.place.clear()
+                self.older, self.place, self.half = self.place, {}, self.most - self.half
             short = short[: self.most]
-            self.logs[len(self.place) : len(self.place) + len(short)] = values[[extra[w] for w in short]] if short else 0
-            self.place.update(zip(short, range(len(self.place), len(self.place) + len(short))))
+            at_first = self.half + len(self.place)
+            self.logs[at_first : at_first + len(short)] = values[[extra[w] for w in short]] if short else 0
+            self.place.update(zip(short, range(at_first, at_first + len(short))))
         return total
 
 
