@@ -151,3 +151,10 @@ def test_stream_keeps_a_snapshot(spark, tmp_path):
 def test_sorting_by_title_follows_strokes(spark):
     df = spark.createDataFrame([(1, "三"), (2, "一"), (3, "二")], "key int, title string")
     assert [r["title"] for r in df.orderBy(*listing.order_of("title", F.lit(datetime.date(2026, 1, 1)))).collect()] == ["一", "二", "三"]
+
+
+def test_rules_of_titles(spark):
+    rows = [("國際攝影展", "美術館", False, "攝影"), ("社區志工成果展", "", True, "其他"), ("春季講座", "", True, "其他"), ("全國比賽", "", True, "競賽"), ("比賽得獎作品展", "", False, "競賽"), ("當代藝術 photo 展", "台南市文化局", False, "美術,攝影"), ("某某區公所音樂會", "", True, "音樂"), ("AI 機器人科技展", "", False, "科技"), (None, None, False, "其他"), ("", "", False, "其他")]
+    df = spark.createDataFrame(rows, "title string, org string, out boolean, labels string")
+    got = df.select("out", "labels", rules.excluded("title", "org").alias("o"), F.array_join(rules.classify(F.lit(""), "title", F.lit("")), ",").alias("l")).collect()
+    assert all((r.out, r.labels) == (r.o, r.l) for r in got)
