@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from showbill.llm import bpe, exact_dedup, langid, license_scan, mixing, near_dedup, pii, ppm, quality, toxicity
+from showbill.llm import bpe, exact_dedup, filter_audit, langid, license_scan, mixing, near_dedup, packing, pii, ppm, quality, source_audit, toxicity
 from showbill.llm.common import documents
 
 
@@ -49,6 +49,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.report(documents(spark, sf_dir))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -60,9 +72,14 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_audit": op12_source_audit,
+    "op13_packing": op13_packing,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op5_mixing": mixing.ORACLE,
     "op8_licenses": license_scan.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_source_audit": source_audit.ORACLE,
 }
