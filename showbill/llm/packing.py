@@ -15,7 +15,9 @@ narrow rows that are laid out; they meet again row by row for the digests.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from showbill.llm.bpe import byte_letters
 from showbill.llm.common import kept, running_sum, settle, slices
 
 
@@ -32,41 +35,96 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Remembered:
+    """A dictionary of two generations with at most `most` entries each: where the young one is full it becomes the old one, so what is in use stays."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def get(self, key: bytes) -> bytes | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: bytes, value: bytes) -> None:
+        if len(key) <= 64:
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
+
+
 class WordEncoder:
-    """Token ids of whole texts by the tokenizers library, which is asked once for each chunk between ASCII white space.
+    """Token ids of whole texts by the tokenizers library, which is asked once for each word and each chunk between ASCII white space.
 
-    Only for vocabularies whose tokens never cross white space, as those that drop it. The ids of short chunks are kept as bytes in two
-    generations of at most `remembered` entries: where the young one is full it becomes the old one, so what is in use stays.
+    Only for vocabularies whose normaliser lowers case and whose tokens never cross white space nor the border of letters and punctuation. A chunk of
+    Latin letters with ASCII punctuation around it is its parts' ids, and its word is given to the library's merge model at once: such
+    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Chunks and words are remembered
+    in two generations, at most 100 MB of each a worker.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000):
+    #: Punctuation that is a token run of its own before and after letters; apostrophes may begin a contraction.
+    MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+
+    def __init__(self, path: str, remembered: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.remembered = remembered
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_letters()))
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.chunks, self.words = Remembered(remembered), Remembered(remembered)
+
+    def coded(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes() if sys.byteorder == "big" else array(self.code, ids).tobytes()
+
+    def run(self, run: bytes) -> bytes:
+        """The ids of a run of letters, or of punctuation, that is one token run."""
+        ids = self.words.get(run)
+        if ids is None:
+            ids = self.coded([t.id for t in self.model.tokenize(run.decode("latin-1").translate(self.letters))])
+            self.words.put(run, ids)
+        return ids
+
+    def chunk(self, chunk: bytes) -> bytes | None:
+        """The ids of a chunk that is a Latin word, without capitals, with punctuation around it; null for any other."""
+        after = chunk.lstrip(self.MARKS)
+        word = after.rstrip(self.MARKS)
+        try:
+            text = word.decode("utf-8")
+        except UnicodeDecodeError:
+            return None
+        if not text.isalpha() or max(text) >= "\u0250" or text != text.lower():
+            return None
+        before, behind = chunk[: len(chunk) - len(after)], after[len(word) :]
+        return (self.run(before) if before else b"") + self.run(word) + (self.run(behind) if behind else b"")
 
     def encode(self, text: bytes, end: int) -> bytes:
         """The ids of a text in UTF-8, and the id `end`, as an array's bytes."""
-        chunks = text.split()
-        got = list(map(self.young.get, chunks))
+        # The library looks for special tokens, which are all in angle brackets and bars, before it lowers case.
+        chunks = (text if b"<|" in text else text.lower()).split()
+        got = list(map(self.chunks.young.get, chunks))
         if None in got:
-            missing = {c for c, g in zip(chunks, got) if g is None}
-            found = {c: self.old[c] for c in missing if c in self.old}
-            new = [c for c in missing if c not in found]
-            coded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)
-            found |= {c: np.array(e.ids, self.dtype).tobytes() for c, e in zip(new, coded)}
+            found: dict[bytes, bytes] = {}
+            rest = []
+            for c in {c for c, g in zip(chunks, got) if g is None}:
+                ids = self.chunks.old.get(c)
+                if ids is None and (ids := self.chunk(c) if b"<|" not in c else None) is None:
+                    rest.append(c)
+                else:
+                    found[c] = ids
+            coded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in rest], add_special_tokens=False)
+            found.update((c, self.coded(e.ids)) for c, e in zip(rest, coded))
             got = [found[c] if g is None else g for c, g in zip(chunks, got)]
-            short = {c: ids for c, ids in found.items() if len(c) <= 64}
-            if len(self.young) + len(short) > self.remembered:
-                self.old, self.young = self.young, {}
-            self.young |= short
-        return b"".join(got) + np.array([end], self.dtype).tobytes()
+            for c, ids in found.items():
+                self.chunks.put(c, ids)
+        return b"".join(got) + self.coded([end])
 
 
 def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
