@@ -14,6 +14,7 @@ narrow rows that are laid out; they meet again row by row for the digests.
 
 from __future__ import annotations
 
+import itertools
 import os
 import sys
 import zlib
@@ -35,40 +36,19 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Remembered:
-    """A dictionary of two generations with at most `most` entries each: where the young one is full it becomes the old one, so what is in use stays."""
-
-    def __init__(self, most: int):
-        self.most = most
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def get(self, key: bytes) -> bytes | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: bytes, value: bytes) -> None:
-        if len(key) <= 64:
-            if len(self.young) >= self.most:
-                self.old, self.young = self.young, {}
-            self.young[key] = value
-
-
 class WordEncoder:
     """Token ids of whole texts by the tokenizers library, which is asked once for each word and each chunk between ASCII white space.
 
     Only for vocabularies whose normaliser lowers case and whose tokens never cross white space nor the border of letters and punctuation. A chunk of
     Latin letters with ASCII punctuation around it is its parts' ids, and its word is given to the library's merge model at once: such
-    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Chunks and words are remembered
-    in two generations, at most 100 MB of each a worker.
+    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Short chunks and words are remembered
+    in two generations of at most `remembered` entries: where the young one is full it becomes the old one, so what is in use stays (160 MB a worker at most).
     """
 
     #: Punctuation that is a token run of its own before and after letters; apostrophes may begin a contraction.
     MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -79,51 +59,71 @@ class WordEncoder:
         self.letters = dict(enumerate(byte_letters()))
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.chunks, self.words = Remembered(remembered), Remembered(remembered)
+        self.remembered = remembered
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def coded(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes() if sys.byteorder == "big" else array(self.code, ids).tobytes()
 
+    def keep(self, chunk: bytes, ids: bytes) -> bytes:
+        if len(chunk) <= 64:
+            if len(self.young) >= self.remembered:
+                self.old, self.young = self.young, {}
+            self.young[chunk] = ids
+        return ids
+
+    def merged(self, run: bytes) -> bytes:
+        """The ids of a run of letters, or of punctuation, that is one token run. ASCII stands for itself in the vocabulary, other bytes for letters."""
+        return self.coded([t.id for t in self.model.tokenize(run.decode("ascii") if run.isascii() else run.decode("latin-1").translate(self.letters))])
+
     def run(self, run: bytes) -> bytes:
-        """The ids of a run of letters, or of punctuation, that is one token run."""
-        ids = self.words.get(run)
+        ids = self.young.get(run)
         if ids is None:
-            ids = self.coded([t.id for t in self.model.tokenize(run.decode("latin-1").translate(self.letters))])
-            self.words.put(run, ids)
+            ids = self.keep(run, self.old.get(run) or self.merged(run))
         return ids
 
     def chunk(self, chunk: bytes) -> bytes | None:
         """The ids of a chunk that is a Latin word, without capitals, with punctuation around it; null for any other."""
+        if chunk.isalpha() and chunk.islower():
+            return self.merged(chunk)
         after = chunk.lstrip(self.MARKS)
         word = after.rstrip(self.MARKS)
-        try:
-            text = word.decode("utf-8")
-        except UnicodeDecodeError:
-            return None
-        if not text.isalpha() or max(text) >= "\u0250" or text != text.lower():
-            return None
-        before, behind = chunk[: len(chunk) - len(after)], after[len(word) :]
-        return (self.run(before) if before else b"") + self.run(word) + (self.run(behind) if behind else b"")
+        if not (word.isalpha() and word.islower()):
+            try:
+                text = word.decode("utf-8")
+            except UnicodeDecodeError:
+                return None
+            if not text.isalpha() or max(text) >= "\u0250" or text != text.lower():
+                return None
+        if len(word) == len(chunk):
+            return self.merged(word)
+        ids = self.run(word)
+        if len(after) < len(chunk):
+            ids = self.run(chunk[: len(chunk) - len(after)]) + ids
+        return ids + self.run(after[len(word) :]) if len(word) < len(after) else ids
 
     def encode(self, text: bytes, end: int) -> bytes:
         """The ids of a text in UTF-8, and the id `end`, as an array's bytes."""
         # The library looks for special tokens, which are all in angle brackets and bars, before it lowers case.
         chunks = (text if b"<|" in text else text.lower()).split()
-        got = list(map(self.chunks.young.get, chunks))
+        got = list(map(self.young.get, chunks))
         if None in got:
             found: dict[bytes, bytes] = {}
             rest = []
             for c in {c for c, g in zip(chunks, got) if g is None}:
-                ids = self.chunks.old.get(c)
-                if ids is None and (ids := self.chunk(c) if b"<|" not in c else None) is None:
-                    rest.append(c)
-                else:
-                    found[c] = ids
+                ids = self.old.get(c)
+                if ids is None:
+                    ids = None if b"<|" in c else self.chunk(c)
+                    if ids is None:
+                        rest.append(c)
+                        continue
+                found[c] = ids
             coded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in rest], add_special_tokens=False)
             found.update((c, self.coded(e.ids)) for c, e in zip(rest, coded))
             got = [found[c] if g is None else g for c, g in zip(chunks, got)]
             for c, ids in found.items():
-                self.chunks.put(c, ids)
+                self.keep(c, ids)
         return b"".join(got) + self.coded([end])
 
 
@@ -227,13 +227,15 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, least: in
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 128):
-            place, crc = [], []
-            for i, (ids, width, found) in enumerate(zip(*(b.column(c).to_pylist() for c in ("ids", "width", "pieces")))):
-                wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4")).cast("B")
-                place += [i] * len(found)
-                crc += [zlib.crc32(wide[4 * p["start"] : 4 * (p["start"] + p["length"])]) for p in found]
             flat = b.column("pieces").flatten()
-            own = lambda c: b.column(c).take(pa.array(place, pa.int64()))
+            counts = b.column("pieces").value_lengths().to_numpy(zero_copy_only=False)
+            place = np.repeat(np.arange(b.num_rows), counts)
+            cuts = iter(zip(flat.field("start").to_pylist(), flat.field("length").to_pylist()))
+            crc = []
+            for ids, width, n in zip(b.column("ids").to_pylist(), b.column("width").to_pylist(), counts.tolist()):
+                wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4")).cast("B")
+                crc += [zlib.crc32(wide[4 * s : 4 * (s + k)]) for s, k in itertools.islice(cuts, n)]
+            own = lambda c: b.column(c).take(pa.array(place))
             part = lambda c: flat.field(c)
             yield pa.RecordBatch.from_arrays([own("doc_id"), part("start"), part("length"), pa.array(crc, pa.int64()), own("n"), part("sequence_id"), part("offset"), own("source")], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
