@@ -19,7 +19,7 @@ import os
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +36,29 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Chunks(dict):
+    """Ids by chunk: what isn't there is taken from the generation before, else encoded, and kept if it is short."""
+
+    def __init__(self, encode: Callable[[bytes], bytes], old: dict[bytes, bytes]):
+        super().__init__()
+        self.encode, self.old = encode, old
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(chunk) <= 64:
+            self[chunk] = ids
+        return ids
+
+
 class WordEncoder:
     """Token ids of whole texts by the tokenizers library, which is asked once for each word and each chunk between ASCII white space.
 
     Only for vocabularies whose normaliser lowers case and whose tokens never cross white space nor the border of letters and punctuation. A chunk of
     Latin letters with ASCII punctuation around it is its parts' ids, and its word is given to the library's merge model at once: such
-    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Short chunks and words are remembered
-    in two generations of at most `remembered` entries: where the young one is full it becomes the old one, so what is in use stays (160 MB a worker at most).
+    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Chunks and words are remembered
+    in two generations: where the young one has `remembered` entries at the end of a text it becomes the old one, so what is in use stays (some 160 MB a worker).
     """
 
     #: Punctuation that is a token run of its own before and after letters; apostrophes may begin a contraction.
@@ -60,71 +76,50 @@ class WordEncoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.remembered = remembered
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known = Chunks(self.chunk, {})
 
-    def coded(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes() if sys.byteorder == "big" else array(self.code, ids).tobytes()
+    def coded(self, ids: Iterable[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
-    def keep(self, chunk: bytes, ids: bytes) -> bytes:
-        if len(chunk) <= 64:
-            if len(self.young) >= self.remembered:
-                self.old, self.young = self.young, {}
-            self.young[chunk] = ids
-        return ids
+    def whole(self, text: bytes) -> bytes:
+        return self.coded(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
     def merged(self, run: bytes) -> bytes:
         """The ids of a run of letters, or of punctuation, that is one token run. ASCII stands for itself in the vocabulary, other bytes for letters."""
         return self.coded([t.id for t in self.model.tokenize(run.decode("ascii") if run.isascii() else run.decode("latin-1").translate(self.letters))])
 
-    def run(self, run: bytes) -> bytes:
-        ids = self.young.get(run)
-        if ids is None:
-            ids = self.keep(run, self.old.get(run) or self.merged(run))
-        return ids
-
-    def chunk(self, chunk: bytes) -> bytes | None:
-        """The ids of a chunk that is a Latin word, without capitals, with punctuation around it; null for any other."""
-        if chunk.isalpha() and chunk.islower():
+    def chunk(self, chunk: bytes) -> bytes:
+        """The ids of a chunk whose ASCII letters are in lower case."""
+        if chunk.isalpha():
             return self.merged(chunk)
         after = chunk.lstrip(self.MARKS)
         word = after.rstrip(self.MARKS)
-        if not (word.isalpha() and word.islower()):
+        if not word.isalpha():
             try:
                 text = word.decode("utf-8")
             except UnicodeDecodeError:
-                return None
+                return self.whole(chunk)
             if not text.isalpha() or max(text) >= "\u0250" or text != text.lower():
-                return None
+                return self.whole(chunk)
         if len(word) == len(chunk):
             return self.merged(word)
-        ids = self.run(word)
+        ids = self.known[word]
         if len(after) < len(chunk):
-            ids = self.run(chunk[: len(chunk) - len(after)]) + ids
-        return ids + self.run(after[len(word) :]) if len(word) < len(after) else ids
+            ids = self.known[chunk[: len(chunk) - len(after)]] + ids
+        return ids + self.known[after[len(word) :]] if len(word) < len(after) else ids
 
     def encode(self, text: bytes, end: int) -> bytes:
-        """The ids of a text in UTF-8, and the id `end`, as an array's bytes."""
-        # The library looks for special tokens, which are all in angle brackets and bars, before it lowers case.
-        chunks = (text if b"<|" in text else text.lower()).split()
-        got = list(map(self.young.get, chunks))
-        if None in got:
-            found: dict[bytes, bytes] = {}
-            rest = []
-            for c in {c for c, g in zip(chunks, got) if g is None}:
-                ids = self.old.get(c)
-                if ids is None:
-                    ids = None if b"<|" in c else self.chunk(c)
-                    if ids is None:
-                        rest.append(c)
-                        continue
-                found[c] = ids
-            coded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in rest], add_special_tokens=False)
-            found.update((c, self.coded(e.ids)) for c, e in zip(rest, coded))
-            got = [found[c] if g is None else g for c, g in zip(chunks, got)]
-            for c, ids in found.items():
-                self.keep(c, ids)
-        return b"".join(got) + self.coded([end])
+        """The ids of a text in UTF-8, and the id `end`, as an array's bytes. Texts that may hold a special token, which all begin with <|, are the library's alone."""
+        if b"<|" in text:
+            return self.whole(text) + self.coded([end])
+        ids = b"".join(map(self.known.__getitem__, text.lower().split()))
+        if len(self.known) >= self.remembered:
+            self.known.old = {}
+            self.known = Chunks(self.chunk, self.known)
+        return ids + self.coded([end])
 
 
 def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
