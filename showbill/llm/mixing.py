@@ -3,10 +3,9 @@
 Targets come from weights by water filling. A schedule of slots follows: slot k has the golden-ratio point
 frac(k * phi), which falls into one source's share of the unit interval; each source's slots are ranked. A source's
 documents, in a shuffled order that is fixed by their ids, lie end to end on a line of words, twice over; slot number
-r of a source takes the r-th block of equal length from that line. A source whose target is a few blocks only has blocks of its own
-length, which its slots (one at least) fill up to the target. So every prefix of the schedule is mixed to the
-weights within a few slots, a source's words come within a few blocks of its target, no document is used more than
-twice, and a rerun gives the same mix.
+r of a source takes the r-th block from that line. A source's blocks are as long as its slots (one at least) need to fill its target, so its words
+are its target to a word, a block is near the mix's words per slot for every source, and every prefix of the schedule is mixed to the
+weights within a few slots. No document is used more than twice, and a rerun gives the same mix.
 
 All arithmetic of the schedule is on integers (points in units of 2^-32). Sums along the schedule and the lines are
 taken in two levels, by buckets, so that a source with most of the rows is spread over many tasks. The only frame
@@ -23,8 +22,6 @@ from showbill.llm.common import WORDS, running_sum, settle
 #: 2^32 divided by the golden ratio, odd: the step of the golden-ratio sequence in 32-bit fixed point.
 GOLDEN = 2654435769
 UNIT = 1 << 32
-#: Sources with a target of fewer blocks than this have blocks of their own length.
-FEW = 256
 
 
 def sized(docs: DataFrame, *more: str) -> DataFrame:
@@ -78,9 +75,8 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     slots: where the row's first and second use begin in the schedule (an array of two; null where it isn't used).
     Columns of sizes named like one of these, or start, source_no or with a leading underscore, aren't allowed.
 
-    blocks: slots per source; a block is 1/blocks of the mix's words per source, one word at least, so the schedule's
-    length depends on the number of sources and not on the rows. A source with a target below FEW blocks takes its target
-    to a word, in blocks of its own length. Rows that repeat a doc_id are documents of their own
+    blocks: slots per source, one word each at least, so the schedule's length depends on the number of sources and not on the rows. A
+    source takes its target, rounded to a word, in blocks of one length, which its number of slots gives. Rows that repeat a doc_id are documents of their own
     on the source's line. Documents without words take 0. An empty table gives an empty result.
     """
     spark = sizes.sparkSession
@@ -97,10 +93,10 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     shares = goals.withColumn("high", F.when(F.col("source_no") == F.lit(whole["sources"] - 1), F.lit(UNIT)).otherwise(upto))
     shares = shares.select("source_no", F.coalesce(F.lag("high").over(Window.orderBy("source_no")), F.lit(0)).alias("low"), "high")
     slots_of = settle(schedule(spark, shares, slots).groupBy("source_no", F.col("rank").alias("block")).agg(F.min("slot").alias("slot")))
-    # Few slots are too coarse for a small target, and an interval shorter than a slot may have none.
-    few = goals.where((F.col("target") > 0) & (F.col("target") < FEW * block)).select("source_no", F.round("target").cast("long").alias("end"))
-    few = settle(few.where("end > 0").join(slots_of.groupBy("source_no").agg(F.count("*").alias("n")), "source_no", "left").withColumn("length", F.ceil(F.col("end") / F.coalesce("n", F.lit(1))).cast("long")))
-    slots_of = slots_of.unionByName(few.where("n is null").select("source_no", F.lit(0).cast("long").alias("block"), F.lit(1).cast("long").alias("slot")))
+    # An interval shorter than a slot may have none: such a source has the first slot beside the one that is there.
+    ends = goals.where(F.round("target") > 0).select("source_no", F.round("target").cast("long").alias("end"))
+    ends = settle(ends.join(slots_of.groupBy("source_no").agg(F.count("*").alias("n")), "source_no", "left").withColumn("length", F.ceil(F.col("end") / F.coalesce("n", F.lit(1))).cast("long")))
+    slots_of = slots_of.unionByName(ends.where("n is null").select("source_no", F.lit(0).cast("long").alias("block"), F.lit(1).cast("long").alias("slot")))
 
     lined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select("doc_id", "size", "source_no", "source_size", "target", *more)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -109,7 +105,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1
     placed = settle(placed)
     # Each document lies on its source's line twice; a piece is its part of one block.
     laid = placed.where("size > 0").select("_row", "source_no", "size", F.posexplode(F.array(F.col("start"), F.col("start") + F.col("source_size"))).alias("use", "at"))
-    laid = laid.join(F.broadcast(few.select("source_no", "end", "length")), "source_no", "left").withColumn("length", F.coalesce("length", F.lit(block)))
+    laid = laid.join(F.broadcast(ends.select("source_no", "end", "length")), "source_no").where(F.col("at") < F.col("end"))
     pieces = laid.select("_row", "use", "source_no", "at", "size", "end", "length", F.explode(F.sequence(F.expr("at div length"), F.expr("(at + size - 1) div length"))).alias("block"))
     upto = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("length"), F.col("end"))
     within = F.greatest(F.lit(0), upto - F.greatest(F.col("at"), F.col("block") * F.col("length")))
@@ -174,9 +170,8 @@ line AS (
   FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source),
 reach AS (SELECT source_no, count(*) AS n FROM slots GROUP BY source_no),
 own AS (
-  SELECT goals.source_no, CASE WHEN few THEN CAST(ceil(round(target) / coalesce(n, 1)) AS BIGINT) ELSE block END AS length,
-    CASE WHEN few THEN CAST(round(target) AS BIGINT) ELSE coalesce(n, 0) * block END AS upto, few AND n IS NULL AS lone
-  FROM (SELECT *, target > 0 AND round(target) > 0 AND target < 256 * block AS few FROM goals, blk) goals LEFT JOIN reach USING (source_no)),
+  SELECT goals.source_no, greatest(1, CAST(ceil(round(target) / coalesce(n, 1)) AS BIGINT)) AS length, CAST(round(target) AS BIGINT) AS upto, n IS NULL AS lone
+  FROM goals LEFT JOIN reach USING (source_no)),
 cut AS (
   SELECT line.*, upto, CASE WHEN size > 0 AND start < upto THEN CASE WHEN lone THEN 1 ELSE slots.slot END END AS slot
   FROM line JOIN own USING (source_no) LEFT JOIN slots ON slots.source_no = line.source_no AND slots.rnk = line.start // own.length)
