@@ -60,11 +60,11 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, one stays."""
+    """The rows that stay, with the columns of docs, whatever their names; of rows that repeat a doc_id and text, one stays, the same one in a rerun: that with the smallest hash of all its columns."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", F.unhex(F.sha2(normalised(), 256)).alias("digest"))
     joined = heavy_light_lookup(rows, settle(exact_groups(docs, salts)), "digest", "group_size", docs.agg(F.count("*")))
     stay = joined.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return stay.groupBy("digest").agg(F.min_by("_doc", F.coalesce("_doc.text", F.lit(""))).alias("_doc")).select("_doc.*")
+    return stay.groupBy("digest").agg(F.min_by("_doc", F.xxhash64(F.to_json("_doc"))).alias("_doc")).select("_doc.*")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -359,6 +359,8 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score below 0.5, with the columns of docs, whatever their names."""
-    out = "_tox_score" + "_" * max(map(len, docs.columns))
-    return score(docs, trained(docs, labels), out).where(F.col(out) < 0.5).drop(out)
+    """The rows of docs that score below 0.5, with the columns of docs, whatever their names. Labels that teach no stem reject nothing."""
+    out, model = "_tox_score" + "_" * max(map(len, docs.columns)), trained(docs, labels)
+    if not model.stems:
+        return docs
+    return score(docs, model, out).where(F.col(out) < 0.5).drop(out)
