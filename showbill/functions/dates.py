@@ -18,6 +18,13 @@ def date_or_text(c: Column | str) -> Column:
     return let(col(c), lambda x: F.coalesce(F.date_format(parse_date(x), "yyyy-MM-dd"), clean_text(x)))
 
 
+def parse_moment(c: Column | str) -> Column:
+    """A date with its time as a timestamp, as the app reads it: slashes allowed, a time may be glued to the day; null for anything else."""
+    t = F.regexp_replace(F.replace(F.trim(col(c)), F.lit("/"), F.lit("-")), r"^(\d{4}-\d{2}-\d{2})[ T]?(\d{2}:)", "$1 $2")
+    shapes = ("yyyy-M-d HH:mm:ss", "yyyy-M-d HH:mm", "yyyy-M-d")
+    return let(t, lambda x: F.coalesce(*[F.try_to_timestamp(x, F.lit(s)) for s in shapes]))
+
+
 def is_ongoing(start: Column | str, end: Column | str, today: Column) -> Column:
     """Open at either side where a date is missing."""
     return F.coalesce(col(start) <= today, F.lit(True)) & F.coalesce(col(end) >= today, F.lit(True))

@@ -143,11 +143,26 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
 
 
+# Fixed words: parts of titles that say nothing of an event.
+COMMON_TOKENS = ("展覽", "活動", "特展", "台灣", "臺灣")
+
+
+def title_tokens(title: Column | str) -> Column:
+    """The parts of a title between marks that can be told on a page: compact, of two characters at least, no common word."""
+    parts = F.transform(F.split(clean_text(title), r"(?U)[\s：:、,，/|()（）【】《》\-—]+"), lambda t: compact_title(t))
+    return F.filter(parts, lambda t: (F.length(t) >= 2) & ~t.isin(*COMMON_TOKENS))
+
+
+def token_coverage(title: Column | str, plain: Column) -> Column:
+    """The share of a title's tokens that a compact text holds; null without tokens."""
+    return let(title_tokens(title), lambda ts: F.try_divide(F.size(F.filter(ts, lambda t: F.contains(plain, t))), F.size(ts)))
+
+
 def title_score(expected: Column | str, candidate: Column | str, page: Column | str | None = None, ratio: bool = True) -> Column:
     """How surely a page titled `candidate` is about `expected`, 0 to 1, to 4 places: the best of several measures.
 
     The ratio of matching blocks (a Python function, left out with ratio=False), containment either way, the share of
-    the expected title's pairs of characters, and whether the title occurs in the page's first 240,000 characters.
+    the expected title's pairs of characters, whether the title occurs in the page's first 240,000 characters, and the share of its tokens that do.
     """
     e, c = compact_title(expected), compact_title(candidate)
     zero = F.lit(0.0)
@@ -159,7 +174,8 @@ def title_score(expected: Column | str, candidate: Column | str, page: Column |
         scores.append(similarity_ratio(e, c))
     best = F.when(c == "", zero).otherwise(F.greatest(*scores))
     if page is not None:
-        best = F.greatest(best, F.when(F.contains(compact_title(F.substring(col(page), 1, 240_000)), e), 0.92).otherwise(zero))
+        on_page = lambda plain: F.when(plain == "", zero).otherwise(F.greatest(F.when(F.contains(plain, e), 0.92).otherwise(zero), 0.82 * F.coalesce(token_coverage(expected, plain), zero)))
+        best = F.greatest(best, let(compact_title(F.substring(col(page), 1, 240_000)), on_page))
     return F.when(e == "", zero).otherwise(F.bround(best, 4))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from showbill.functions import dates, geo, urls
-from showbill.functions.text import clean_place, clean_text, let, title_score
+from showbill.functions.text import clean_place, clean_text, let, title_score, unescape_all
 from showbill.operators import extract, records, rules
 
 TICKET_SITE = "opentix.life"
@@ -52,29 +52,50 @@ def page_candidates(events: DataFrame, today: Column, most: int = 450) -> DataFr
 
 
 def page_metadata(pages: DataFrame) -> DataFrame:
-    """url, title, images, description, venue, address, lat, lon and body of each page (page_id, url, html)."""
+    """page_id, url and what each page (page_id, url, html) says: page_title, page_images (all), page_description, page_venue, page_address, page_lat, page_lon and page_text.
+
+    JSON-LD comes before what patterns find in the text. page_text is what titles are looked for in.
+    """
     html = extract.head("html")
-    place, at = extract.json_ld(html), extract.page_point(html)
-    point = F.coalesce(geo.coordinate_pair(F.col("_ld.latitude"), F.col("_ld.longitude")), geo.coordinate_pair(F.col("_at.lat"), F.col("_at.lon")))
-    rows = pages.withColumns({"_ld": place, "_at": at}).withColumn("_point", point)
+    rows = pages.join(extract.json_ld(pages), "page_id", "left").withColumns({"_plain": clean_text(html, unescape_all), "page_title": extract.page_title(html), "_at": F.coalesce(F.col("ld_at"), extract.page_point(html))})
+    told = lambda c, other: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)).otherwise(other)
     return rows.select(
-        "page_id", "url", extract.page_title(html).alias("page_title"), extract.page_images(html, "url").alias("page_images"), extract.page_description(html).alias("page_description"),
-        clean_place(F.coalesce("_ld.name", F.lit(""))).alias("page_venue"), clean_place(F.coalesce("_ld.address", F.lit(""))).alias("page_address"), F.col("_point.lat").alias("page_lat"), F.col("_point.lon").alias("page_lon"), "html",
+        "page_id", "url", "page_title", extract.page_images(html, "url", None, F.col("ld_images")).alias("page_images"),
+        extract.page_description(html, linked=F.col("ld_descriptions"), host=urls.host_of(F.col("url"))).alias("page_description"),
+        told("ld_venue", extract.plain_venue("_plain")).alias("page_venue"), told("ld_address", extract.plain_address("_plain")).alias("page_address"),
+        F.col("_at.lat").alias("page_lat"), F.col("_at.lon").alias("page_lon"), F.lower(F.concat_ws(" ", "page_title", clean_text(F.substring("html", 1, 180_000)))).alias("page_text"),
     )
 
 
-def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float = 0.42) -> DataFrame:
+def probed_images(reads: DataFrame, probes: DataFrame, key: list[str], first: int = 24, most: int = 18) -> DataFrame:
+    """reads with page_images cut to `most`, those of the first `first` that answered a probe before all others, in order.
+
+    reads: key and page_images (ranked); probes: url and ok, one row per URL. Only the first images of each row are looked up, by a
+    semi-join, and gathered again: `first` at most per row.
+    """
+    asked = reads.select(*key, F.posexplode(F.slice("page_images", 1, first)).alias("_at", "_image"))
+    answered = asked.join(probes.where("ok").select(F.col("url").alias("_image")), "_image", "left_semi").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_at", "_image"))).alias("_ok"))
+    joined = reads.join(answered, key, "left")
+    ok = F.coalesce(F.transform("_ok", lambda x: x["_image"]), F.array().cast("array<string>"))
+    return joined.withColumn("page_images", F.slice(F.array_distinct(F.concat(ok, "page_images")), 1, most)).drop("_ok")
+
+
+def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float = 0.42, probes: DataFrame | None = None) -> DataFrame:
     """One row per asked record (id, url, title) whose page is in `pages`: verified, match_score, rejected_url, best_url, and what the accepted pages say.
 
     A record's page and its `follow` best links are read; a page is accepted if its title matches the record's. Accepted pages are
-    ordered by their host, whether they are the record's own page, and their score.
+    ordered by their host, whether they are the record's own page, and their score; their images by the record's title and, where `probes` (url, ok) are given, by those.
     """
     own = asked.join(pages.select("page_id", "url"), "url").select("id", "title", F.col("url").alias("own_url"), "page_id")
     linked = extract.related_pages(pages.join(own.select("page_id").distinct(), "page_id", "left_semi"), follow)
     reads = own.select("id", "title", "own_url", F.col("own_url").alias("url"), F.lit(0).alias("step")).unionByName(
         own.join(linked, "page_id").select("id", "title", "own_url", F.col("target").alias("url"), F.col("place").alias("step"))
     )
-    read = reads.join(page_metadata(pages), "url").withColumn("score", title_score("title", "page_title", "html")).drop("html")
+    # Only pages that are read are searched, and what rides on is their metadata.
+    found = page_metadata(pages.join(reads.select("url").distinct(), "url", "left_semi"))
+    read = reads.join(found, "url").withColumn("score", title_score("title", "page_title", "page_text")).drop("page_text")
+    read = read.withColumn("page_images", extract.ranked_images("page_images", "title"))
+    read = read.withColumn("page_images", F.slice("page_images", 1, 18)) if probes is None else probed_images(read, probes, ["id", "step", "url"])
     host = urls.host_of(F.col("url"))
     bare = lambda c: F.regexp_replace(c, "/+$", "")
     bonus = F.when(F.contains(host, F.lit(TICKET_SITE)), 55).when(host.rlike(urls.TICKET_HOST), 38).otherwise(0) + F.when(host.rlike(urls.PUBLIC_HOST), 30).otherwise(0) + F.when(bare("url") == bare("own_url"), 12).otherwise(0)
@@ -91,10 +112,10 @@ def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float
     return out.withColumn("rejected_url", F.when(F.col("verified"), "").otherwise(F.col("own_url"))).drop("own_url")
 
 
-def with_pages(events: DataFrame, pages: DataFrame, today: Column, now: Column, profiles=(), most: int = 450) -> DataFrame:
+def with_pages(events: DataFrame, pages: DataFrame, today: Column, now: Column, profiles=(), most: int = 450, probes: DataFrame | None = None) -> DataFrame:
     """events with what their pages say: verification, a better page, more images, a longer description, a missing address, venue or place."""
     asked = page_candidates(events, today, most)
-    found = discovered(asked, pages).select("id", *[F.col(c).alias(f"_{c}") for c in ("verified", "match_score", "rejected_url", "best_url", "page_images", "page_description", "page_venue", "page_address", "page_lat", "page_lon")])
+    found = discovered(asked, pages, probes=probes).select("id", *[F.col(c).alias(f"_{c}") for c in ("verified", "match_score", "rejected_url", "best_url", "page_images", "page_description", "page_venue", "page_address", "page_lat", "page_lon")])
     e = events.join(F.broadcast(asked.select("id", F.lit(True).alias("_asked"))), "id", "left").join(F.broadcast(found), "id", "left")
     got = F.col("_verified").isNotNull()
     best, rejected = F.coalesce("_best_url", F.lit("")), F.coalesce("_rejected_url", F.lit("")) != ""

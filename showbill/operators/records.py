@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from showbill.functions import dates, geo, urls
 from showbill.functions.text import clean_place, clean_text, compact_title, drop_lines, first_value, let, stable_id, unescape_all
-from showbill.operators import resolve, rules
+from showbill.operators import resolve, rules, trees
+from showbill.sources.shared import written
 
 # Members by which feeds name a column, in the order in which they are asked.
 TITLE = ("title", "titile", "name", "actName")
@@ -24,6 +25,7 @@ IMAGES = (
     "picture", "pictureUrl", "photo", "photoUrl", "cover", "coverUrl", "representImage",
 )
 IMAGE_MEMBERS = ("url", "src", "href", "image", "imageUrl", "imageURL", "original", "large", "poster", "cover")
+IMAGE_ATTRIBUTES = ("src", "data-src", "data-original", "data-lazy-src", "data-original-src", "data-flickity-lazyload", "data-echo")
 LINKS = ("sourceUrl", "sourceWebPromote", "sourceWebSite", "website", "url", "webSales")
 LINK_TEXTS = ("description", "descriptionFilterHtml", "comment", "transitInfo")
 UNKNOWN_VENUE, UNKNOWN_PRICE, FREE, FEED = "地點待確認", "票價請見活動頁面", "免費", "文化部開放資料"
@@ -121,25 +123,16 @@ def told(s: Column) -> Column:
 
 def flat_texts(c: Column | str) -> Column:
     """The texts in a member that holds a text, or JSON of lists and objects nested to any depth; of an object's members those that name images, if there are any."""
-    string = r'"((?:[^"\\]|\\.)*)"'
-    pattern = F.lit(rf"(?:{string}\s*:\s*)?{string}(?!\s*:)")
-
-    def members(t: Column) -> Column:
-        pairs = F.arrays_zip(F.regexp_extract_all(t, pattern, 1).alias("k"), F.regexp_extract_all(t, pattern, 2).alias("v"))
-        named = lambda ps: F.filter(ps, lambda p: (p["k"] == "") | p["k"].isin(*IMAGE_MEMBERS))
-        chosen = let(pairs, lambda ps: F.when(F.exists(ps, lambda p: p["k"].isin(*IMAGE_MEMBERS)), named(ps)).otherwise(ps))
-        return F.transform(chosen, lambda p: F.regexp_replace(p["v"], r"\\(.)", "$1"))
-
-    plain = lambda t: F.array_compact(F.array(F.when(F.trim(t) != "", t)))
-    return let(F.col(c) if isinstance(c, str) else c, lambda t: F.when(F.trim(t).rlike(r"(?s)^(?:\[.*\]|\{.*\})$"), members(t)).otherwise(plain(t)))
+    return trees.leaves(c, IMAGE_MEMBERS)
 
 
 def image_values(v: Column | str) -> Column:
-    return F.concat(*[F.coalesce(flat_texts(F.try_variant_get(v, f"$.{n}", "string")), F.array().cast("array<string>")) for n in IMAGES])
+    return F.concat(*[flat_texts(F.try_variant_get(v, f"$.{n}", "string")) for n in IMAGES])
 
 
 def html_images(html: Column, base: Column) -> Column:
-    sources = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?is)<img[^>]+src=["']([^"']+)"""), 1)
+    """The images of a piece of HTML, by any of the attributes that pages load them by."""
+    sources = F.regexp_extract_all(unescape_all(F.coalesce(html, F.lit(""))), F.lit(rf"""(?is)<img[^>]+(?:{'|'.join(IMAGE_ATTRIBUTES)})=["']([^"']+)"""), 1)
     return F.transform(sources, lambda u: urls.joined(base, u))
 
 
@@ -195,10 +188,10 @@ def displayable_venue(venue: Column | str) -> Column:
     return ~rules.poor_venue(venue) & ~F.contains(clean_place(venue), F.lit(UNSORTED_VENUE))
 
 
-def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = ()) -> DataFrame:
+def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = (), raw_venue: bool = False) -> DataFrame:
     """raw (VARIANT) and ord as full records; rows without a title and excluded ones are dropped before anything else is computed.
 
-    Columns: see RECORD. Texts are never null; coordinates and hits may be.
+    raw_venue: keep what the feed called the venue, for a table of profiles. Texts are never null; coordinates and hits may be.
     """
     rows = raw.select("raw", "ord").withColumn("_title", clean_text(first_in("raw", *TITLE), unescape_all)).where("_title <> ''")
     rows = rows.withColumns({
@@ -242,7 +235,7 @@ def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = ()) -> DataFra
         F.filter(F.transform("_entries", typed_session), told).alias("sessions"), F.when(hits.rlike(r"^\d{1,18}$"), hits.cast("long")).otherwise(0).alias("hits"),
         F.coalesce(F.nullif(text("source"), F.lit("")), F.lit(FEED)).alias("source"), text("first_seen").alias("first_seen"), text("last_seen").alias("last_seen"),
         text("checked_at").alias("checked_at"), F.coalesce(F.try_variant_get("raw", "$.sourceUrlVerified", "boolean"), F.lit(False)).alias("verified"),
-        F.when(score.rlike(r"^\d+(\.\d+)?$"), score.cast("double")).otherwise(0.0).alias("match_score"), text("rejected_url").alias("rejected_url"), "ord",
+        F.when(score.rlike(r"^\d+(\.\d+)?$"), score.cast("double")).otherwise(0.0).alias("match_score"), text("rejected_url").alias("rejected_url"), "ord", *([F.col("_raw_venue").alias("raw_venue")] if raw_venue else []),
     )
 
 
@@ -348,14 +341,17 @@ def merged(records: DataFrame, key: str) -> DataFrame:
 
 def catalogue(incoming: DataFrame, existing: DataFrame, today: Column, now: Column) -> DataFrame:
     """The catalogue after an update: existing and incoming records that are wanted and still relevant, merged by their own keys,
-    then by title and dates. first_seen is the earliest, last_seen is now where a record came in or two met. Ordered by start and title."""
+    then by title and dates. Of existing records with one key the last one stands for all, whatever the others say; incoming ones are merged over it.
+    first_seen is the earliest, last_seen is now where a record came in or two met. Ordered by start and title."""
     wanted = ~is_call() & ~rules.excluded(F.col("title"), F.col("organiser"), F.concat_ws("、", "categories"), F.col("source_url")) & dates.still_relevant(dates.parse_date("start_date"), dates.parse_date("end_date"), today)
     seen = lambda c, other: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)).otherwise(other)
     old = existing.where(wanted & ~is_sample()).withColumn("first_seen", seen("first_seen", now)).withColumn("last_seen", seen("last_seen", F.col("first_seen")))
     new = incoming.where(wanted).withColumns({"first_seen": seen("first_seen", now), "last_seen": now})
     columns = [c for c in incoming.columns if c != "ord"]
-    both = resolve.union_ordered(old.select(*columns, "ord"), new.select(*columns, "ord"))
-    one = merged(both.withColumn("_key", record_key()), "_key").drop("_n")
+    last = old.select(record_key().alias("_k"), F.struct(*columns, "ord").alias("_r")).groupBy("_k").agg(F.max_by("_r", "_r.ord").alias("_r")).select("_r.*")
+    # Each merge reads its rows once for every list that it gathers, so they are written first.
+    both = written(resolve.union_ordered(last, new.select(*columns, "ord")).withColumn("_key", record_key()))
+    one = written(merged(both, "_key").drop("_n"))
     keyed = one.withColumn("_same", event_semantic_key())
     keyed = keyed.withColumn("_same", F.when(F.col("_same") == "", F.concat(F.lit("row:"), "_key")).otherwise(F.col("_same"))).drop("_key")
     out = merged(keyed, "_same").withColumn("last_seen", F.when(F.col("_n") > 1, now).otherwise(F.col("last_seen")))

@@ -458,23 +458,47 @@ def page_links(spark, d):
     return table(spark, d, "pages").select("page_id", F.size(hrefs).cast("long").alias("n_links"), F.array_join(hrefs, " ").alias("hrefs"))
 
 
-@query(None)
-def related_links_scored_topk(spark, d):
-    return extract.related_pages(table(spark, d, "pages"))
+#: A benchmark text and a document meet where the document holds the text's rarest run of three words (of equally rare ones the first), of those that any document holds.
+_RUNS = """runs(id, words) AS (SELECT {id}, list_distinct(list_transform(range(1, greatest(1, len(w) - 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM (SELECT {id}, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}))"""
+_PAIRS = f"""WITH q AS (WITH {_RUNS.format(id='item_id', table='benchmark')} SELECT id AS item_id, unnest(words) AS run FROM runs), d AS (WITH {_RUNS.format(id='doc_id', table='documents')} SELECT id AS doc_id, unnest(words) AS run FROM runs),
+held AS (SELECT run, count(*) AS n FROM d WHERE run IN (SELECT run FROM q) GROUP BY 1), rarest AS (SELECT item_id, arg_min(run, {{'n': n, 'r': run}}) AS run FROM q JOIN held USING (run) GROUP BY 1),
+pairs AS (SELECT item_id, doc_id FROM rarest JOIN d USING (run))"""
+
+
+def pairs(spark, d):
+    """item_id, title, doc_id and body of every benchmark text and each document that holds its rarest run of words. Documents' runs that no item has are left where they are found."""
+
+    def runs(df, key):
+        words = F.regexp_extract_all(F.lower("text"), F.lit(r"([^\x20\x09-\x0D]+)"))
+        three = text.let(words, lambda w: F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(-1)), F.lit(1)), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))))
+        return df.where(F.size(words) >= 3).select(key, F.explode(three).alias("run"))
 
+    items, docs = table(spark, d, "benchmark"), table(spark, d, "documents")
+    asked = runs(items, "item_id")
+    met = runs(docs, "doc_id").join(asked.select("run").distinct(), "run", "left_semi")
+    rarest = asked.join(met.groupBy("run").agg(F.count("*").alias("n")), "run").groupBy("item_id").agg(F.min(F.struct("n", "run")).alias("r")).select("item_id", "r.run")
+    found = rarest.join(met, "run").select("item_id", "doc_id")
+    return found.join(items.select("item_id", F.col("text").alias("title")), "item_id").join(docs.select("doc_id", F.col("text").alias("body")), "doc_id")
 
-@query(r"""WITH q AS (SELECT item_id, text AS e FROM benchmark), t AS (SELECT doc_id, text FROM documents), p AS (SELECT item_id, doc_id, regexp_replace(lower(e), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(split_part(text, chr(10), 1)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM q JOIN t ON item_id = doc_id),
-g AS (SELECT item_id, list_distinct(list_transform(range(1, length(e)), lambda i: substr(e, i, 2))) AS a, list_distinct(list_transform(range(1, length(c)), lambda i: substr(c, i, 2))) AS b FROM p)
-SELECT item_id, round(len(list_intersect(a, b)) / len(a)::DOUBLE, 6) AS recall FROM g""")
+
+@query(_PAIRS + r""", p AS (SELECT item_id, doc_id, regexp_replace(lower(b.text), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(split_part(t.text, chr(10), 1)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id)),
+g AS (SELECT item_id, doc_id, list_distinct(list_transform(range(1, length(e)), lambda i: substr(e, i, 2))) AS a, list_distinct(list_transform(range(1, length(c)), lambda i: substr(c, i, 2))) AS b FROM p)
+SELECT item_id, doc_id, round(len(list_intersect(a, b)) / len(a)::DOUBLE, 6) AS recall FROM g""")
 def title_match_bigram(spark, d):
-    pairs = table(spark, d, "benchmark").select("item_id", text.compact_title("text").alias("e")).join(table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), text.compact_title(F.split_part("text", F.lit("\n"), F.lit(1))).alias("c")), "item_id")
-    return pairs.select("item_id", F.round(F.size(F.array_intersect(text.bigrams("e"), text.bigrams("c"))) / F.size(text.bigrams("e")), 6).alias("recall"))
+    p = pairs(spark, d).select("item_id", "doc_id", text.compact_title("title").alias("e"), text.compact_title(F.split_part("body", F.lit("\n"), F.lit(1))).alias("c"))
+    return p.select("item_id", "doc_id", F.round(F.size(F.array_intersect(text.bigrams("e"), text.bigrams("c"))) / F.size(text.bigrams("e")), 6).alias("recall"))
+
+
+@query(_PAIRS + r""", p AS (SELECT item_id, doc_id, list_filter(list_transform(string_split_regex(b.text, '[\s：:、,，/|()（）【】《》\-—]+'), lambda t: regexp_replace(lower(t), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g')), lambda t: length(t) >= 2) AS tokens, regexp_replace(lower(substr(t.text, 1, 240000)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS plain FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id))
+SELECT item_id, doc_id, len(tokens) AS tokens, round(len(list_filter(tokens, lambda t: contains(plain, t))) / len(tokens)::DOUBLE, 6) AS coverage FROM p""")
+def title_token_coverage(spark, d):
+    p = pairs(spark, d).select("item_id", "doc_id", text.title_tokens("title").alias("t"), text.token_coverage("title", text.compact_title(F.substring("body", 1, 240_000))).alias("c"))
+    return p.select("item_id", "doc_id", F.size("t").cast("long").alias("tokens"), F.round("c", 6).alias("coverage"))
 
 
 @query(None)
 def title_match_ratio(spark, d):
-    pairs = table(spark, d, "benchmark").join(table(spark, d, "documents").withColumnRenamed("text", "body"), F.col("item_id") == F.col("doc_id"))
-    return pairs.select("item_id", text.title_score("text", F.split_part("body", F.lit("\n"), F.lit(1)), "body").alias("score"))
+    return pairs(spark, d).select("item_id", "doc_id", text.title_score("title", F.split_part("body", F.lit("\n"), F.lit(1)), "body").alias("score"))
 
 
 @query("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")

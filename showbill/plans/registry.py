@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from showbill.plans import whole  # noqa: F401  (registers its queries)
 from showbill.plans.catalogue import ORACLES, QUERIES
 
 

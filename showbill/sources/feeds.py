@@ -82,6 +82,59 @@ def normalise(raw: DataFrame, profile: str = "etl") -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """v (VARIANT) of each whole JSON file at a path; none where it is missing or broken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop):
+        return spark.range(0).select(F.try_parse_json(F.lit("{}")).alias("v"))
+    return spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v")).where("v is not null")
+
+
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """profile (its number), canonical, homepage, pattern and place of every pattern in a file of venue profiles: a list of objects with name and patterns, or one
+    named venues. Items that aren't objects or have no name are left out."""
+    listed = F.coalesce(*[F.try_variant_get("v", p, "array<variant>") for p in ("$.venues", "$")])
+    text = lambda n: F.try_variant_get("x", f"$.{n}", "string")
+    rows = _documents(spark, path).select(F.posexplode(listed).alias("profile", "x"))
+    named = rows.select("profile", clean_place(text("name")).alias("canonical"), F.coalesce(text("homepage"), F.lit("")).alias("homepage"), F.try_variant_get("x", "$.patterns", "array<string>").alias("_p")).where("canonical <> ''")
+    return named.select("profile", "canonical", "homepage", F.posexplode(F.transform("_p", lambda p: clean_place(p))).alias("place", "pattern")).where("pattern <> ''")
+
+
+#: Members of a correction and the columns that they correct (fixed values of the file's format).
+OVERRIDDEN = {
+    "description": "description", "sourceUrl": "source_url", "venueGroup": "venue", "venueDetail": "venue_detail", "address": "address", "region": "region",
+    "latitude": "lat", "longitude": "lon", "price": "price", "unit": "organiser", "startDate": "start_date", "endDate": "end_date",
+}
+
+
+def read_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """title, start, end, ord and new_<column> of a file of curated corrections, as overlay.override() takes them; members of `set` that no column has are left out.
+
+    Without a start or an end, any fits. locationName stands for venueGroup where that is missing.
+    """
+    listed = F.try_variant_get("v", "$.overrides", "array<variant>")
+    text = lambda n: F.coalesce(F.try_variant_get("x", f"$.{n}", "string"), F.lit(""))
+    day = lambda n: F.nullif(dates.date_or_text(text(n)), F.lit(""))
+    given = lambda n: F.coalesce(F.try_variant_get("x", f"$.set.{n}", "string"), F.try_variant_get("x", "$.set.locationName", "string") if n == "venueGroup" else F.lit(None))
+    typed = {n: given(n).try_cast("double") if c in ("lat", "lon") else given(n) for n, c in OVERRIDDEN.items()}
+    rows = _documents(spark, path).select(F.posexplode(listed).alias("ord", "x")).where(text("title") != "")
+    return rows.select(text("title").alias("title"), day("startDate").alias("start"), day("endDate").alias("end"), "ord", *[typed[n].alias(f"new_{c}") for n, c in OVERRIDDEN.items()])
+
+
+def read_venue_images(spark: SparkSession, path: str) -> DataFrame:
+    """venue and image of a file with an object named venueImages; only repaired URLs of content images that aren't blocked."""
+    rows = _documents(spark, path).select(F.explode(F.try_variant_get("v", "$.venueImages", "map<string,string>")).alias("venue", "image"))
+    named = rows.select(clean_place("venue").alias("venue"), urls.normalize_url("image").alias("image"))
+    return named.where((F.col("venue") != "") & (F.col("image") != "") & ~urls.is_blocked("image") & urls.shows_content(F.col("image")))
+
+
+def read_geocodes(spark: SparkSession, path: str) -> DataFrame:
+    """asked, lat and lon of a file that maps texts to pairs of numbers, or to null where nothing was found."""
+    rows = _documents(spark, path).select(F.explode(F.try_variant_get("v", "$", "map<string,array<double>>")).alias("asked", "p"))
+    at = lambda i: F.when(F.size("p") == 2, F.get("p", F.lit(i)))
+    return rows.select("asked", at(0).alias("lat"), at(1).alias("lon"))
+
+
 def first_available(*readers) -> DataFrame:
     """The first reader's frame that has rows; an error if none has. Each reader is a function without arguments."""
     errors = []

@@ -113,12 +113,11 @@ def test_merge_equals_fold(spark):
 
 def test_page_metadata(spark):
     html = """<head><meta property="og:title" content="Night &amp; Day"><title>t</title><meta name="description" content="A long description of the show, with details.">
-    <meta property="og:image" content="https://x.org/a.jpg"><script type="application/ld+json">{"location":{"name":"Hall","address":"1 Road","geo":{"latitude":25.1,"longitude":"121.5"}}}</script></head>
+    <meta property="og:image" content="https://x.org/a.jpg"></head>
     <img src="https://x.org/logo.png"><img src="/b.jpg"><a href="https://maps.example.org/?q=25.04%2C121.51">map</a>"""
     df = spark.createDataFrame([(1, "https://x.org/p/", html)], "page_id int, url string, html string")
-    place = extract.json_ld("html")
-    r = df.select(extract.page_title("html"), extract.page_images("html"), extract.page_description("html"), place["name"], place["latitude"], extract.page_point("html")["lat"]).first()
-    assert tuple(r) == ("Night & Day", ["https://x.org/a.jpg"], "A long description of the show, with details.", "Hall", 25.1, 25.04)
+    r = df.select(extract.page_title("html"), extract.page_images("html"), extract.page_description("html"), extract.page_point("html")["lat"]).first()
+    assert tuple(r) == ("Night & Day", ["https://x.org/a.jpg"], "A long description of the show, with details.", 25.04)
     assert values(spark, extract.section("a", "節目介紹", "注意事項", least=3), ["前 節目介紹 內容文字 注意事項 後", "沒有"]) == ["內容文字", ""]
 
 
