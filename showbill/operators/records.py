@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from showbill.functions import dates, geo, urls
-from showbill.functions.text import clean_place, clean_text, compact_title, drop_lines, first_value, let, stable_id, unescape_all
+from showbill.functions.text import clean_place, clean_text, compact_title, drop_lines, first_value, let, stable_id, strip, unescape_all
 from showbill.operators import resolve, rules, trees
 from showbill.sources.shared import written
 
@@ -239,6 +239,55 @@ def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = (), raw_venue:
     )
 
 
+#: Members that hold images, in the order in which the app asks them, of the record and of its best session.
+APP_IMAGES = ("images", "imageCandidates", "image", "imageURL", "imageUrl", "imageUrls", "poster", "posterUrl", "picture", "pictureUrl")
+APP_SESSION_IMAGES = ("image", "imageUrl", "imageURL")
+UNNAMED = "未命名展覽"
+
+
+def plain_text(c: Column) -> Column:
+    """A text as a browser shows it: tags dropped, entities decoded, wide gaps as an empty line."""
+    return strip(F.regexp_replace(unescape_all(F.regexp_replace(c, r"<[^>]*>", "")), r"(?U)\s{3,}", "\n\n"))
+
+
+def app_events(raw: DataFrame, aliases: list[tuple[str, str]] = ()) -> DataFrame:
+    """raw (VARIANT) and ord as the query app reads them: every record stays, with a name and a price of its own where it has none.
+
+    Unlike typed(), dates are as written, members are asked in the app's order, a region comes from the first of region, address and venue that is told,
+    and images are all that show content by the app's rule. aliases: patterns and names of venues, as venue_by_rules() takes them.
+    """
+    s = "_show"
+    lines = lambda c: drop_lines(F.coalesce(c, F.lit("")), SOCIAL_LINE)
+    first = lambda *cs: first_value(*cs, profile="app")
+    of = lambda v, *names: [text_in(v, n) for n in names]
+    rows = raw.select("raw", "ord").withColumn("_show", best_entry(session_entries("raw")))
+    rows = rows.withColumns({
+        "_title": strip(first(*of("raw", "title", "titile", "name"), F.lit(UNNAMED))), "_text": lines(first(*of("raw", "description", "descriptionFilterHtml", "comment"))),
+        "_address": clean_place(first(*of("raw", "address", "location"), *of(s, "location", "address"))), "_link": first(*of("raw", "sourceUrl", "sourceWebPromote", "webSales", "sourceWebSite", "url", "website")),
+        "_cat": first(*of("raw", "categories", "categoryName", "category")), "_at": point_in(s, "raw"),
+    })
+    rows = rows.withColumn("_raw_venue", clean_place(first(*of("raw", "locationName", "venue"), *of(s, "locationName", "venue"), F.col("_address"))))
+    none = F.lit("")
+    rows = rows.withColumn("_venue", venue_by_rules(F.col("_raw_venue"), F.col("_address"), F.coalesce(text_in("raw", "venueGroup"), none), F.coalesce(text_in("raw", "venueDetail"), none), list(aliases)))
+    found = F.concat(*[flat_texts(F.try_variant_get(v, f"$.{n}", "string")) for v, names in (("raw", APP_IMAGES), (s, APP_SESSION_IMAGES)) for n in names])
+    free = F.when(first(*of(s, "onSales"), *of("raw", "onSales")) == "N", FREE)
+    price = lines(first(*of("raw", "price", "Price"), *of(s, "price"), *of("raw", "discountInfo"), free))
+    rows = rows.withColumns({"_images": F.filter(urls.unique_urls(found), lambda u: urls.shows_content(u, "app")), "_categories": rules.classify("_cat", F.col("_title"), F.col("_text"), rules=rules.APP_KEYWORDS)})
+    venue = F.when(F.col("_venue.group") != "", F.col("_venue.group")).otherwise(UNKNOWN_VENUE)
+    link = urls.normalize_url("_link")
+    id = first(*of("raw", "id", "UID", "uid"), F.col("_link"), F.concat_ws("-", "_title", F.col("ord").cast("string")))
+    return rows.select(
+        id.alias("id"), F.col("_title").alias("title"), plain_text(F.col("_text")).alias("description"), F.when(urls.is_blocked("_link"), "").otherwise(link).alias("source_url"),
+        F.coalesce(F.get("_images", F.lit(0)), none).alias("image"), F.col("_images").alias("images"), F.col("_categories").alias("categories"), F.get("_categories", F.lit(0)).alias("category"),
+        first(*of("raw", "startDate", "start"), *of(s, "time", "startTime")).alias("start_date"), first(*of("raw", "endDate", "end", "endTime"), *of(s, "endTime"), *of("raw", "startDate")).alias("end_date"),
+        venue.alias("venue"), F.col("_venue.detail").alias("venue_detail"), F.col("_address").alias("address"),
+        rules.detect_region(first(*of("raw", "region"), F.col("_address"), F.col("_venue.group"), F.col("_raw_venue")), profile="app").alias("region"),
+        F.col("_at.lat").alias("lat"), F.col("_at.lon").alias("lon"), first(*of("raw", "coordinateSource", "coordinate_source")).alias("place_source"), F.when(price != "", price).otherwise(UNKNOWN_PRICE).alias("price"),
+        lines(first(*of("raw", "unit", "organizer", "showUnit", "masterUnit"))).alias("organiser"), lines(first(*of("raw", "transitInfo", "transit"))).alias("transit"),
+        F.coalesce(text_in("raw", "hitRate").try_cast("double"), F.lit(0.0)).cast("long").alias("hits"), first(*of("raw", "firstSeenAt", "first_seen_at")).alias("first_seen"), first(*of("raw", "lastSeenAt", "last_seen_at")).alias("last_seen"), "ord",
+    )
+
+
 def is_sample(id="id", title="title", description="description", url="source_url") -> Column:
     """Records that were made up to view a layout."""
     return F.contains(F.lower(clean_text(url)), F.lit("example.com")) | F.contains(clean_text(description), F.lit(SAMPLE_TEXT)) | (clean_text(id).rlike(r"(?i)^e\d+$") & (clean_text(title) != ""))
@@ -266,7 +315,7 @@ def record_key(id="id", url="source_url", title="title", start="start_date", ven
     return F.coalesce(named("id:", F.lower(clean_text(id))), by_url, F.concat(F.lit("text:"), stable_id(title, start, venue)))
 
 
-def event_semantic_key(title="title", start="start_date", end="end_date") -> Column:
+def event_semantic_key(title: Column | str = "title", start: Column | str = "start_date", end: Column | str = "end_date") -> Column:
     """Compact title, start and end, by which records of different providers meet; empty without title or start."""
     read = F.struct(compact_title(title).alias("t"), dates.date_or_text(start).alias("s"), dates.date_or_text(end).alias("e"))
     return let(read, lambda x: F.when((x["t"] != "") & (x["s"] != ""), F.concat_ws("|", x["t"], x["s"], F.when(x["e"] != "", x["e"]).otherwise(x["s"]))).otherwise(""))

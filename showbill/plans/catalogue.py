@@ -195,10 +195,12 @@ def strip_lines(spark, d):
 COMPACT = r"regexp_replace(lower(text), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g')"
 
 
-@query(f"SELECT compact, min(doc_id) AS first_id, count(*) AS n FROM (SELECT doc_id, {COMPACT} AS compact FROM documents) GROUP BY compact")
+@query(f"SELECT sha256({COMPACT} || '|2026-01-0' || (length(source) % 9 + 1) || '|2026-02-01') AS key, min(doc_id) AS first_id, count(*) AS n FROM documents WHERE {COMPACT} <> '' GROUP BY 1")
 def semantic_dedupe(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", text.compact_title("text").alias("compact"))
-    return docs.groupBy("compact").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    """Documents as events, by their semantic key: of a key only its digest is shuffled, not the text."""
+    docs = table(spark, d, "documents").withColumn("start", F.concat(F.lit("2026/01/0"), (F.length("source") % 9 + 1).cast("string")))
+    key = records.event_semantic_key("text", "start", F.lit("2026-02-01"))
+    return docs.select("doc_id", text.let(key, lambda k: F.when(k != "", F.sha2(k, 256))).alias("key")).where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
 
 
 @query("SELECT doc_id, substr(sha1(concat_ws('|', source, lang, CAST(doc_id AS VARCHAR))), 1, 18) AS id FROM documents")
@@ -352,8 +354,8 @@ def survivorship_merge(spark, d):
 
 @query("SELECT user_id, string_agg(event_type, ',' ORDER BY o) AS types FROM (SELECT user_id, event_type, min(event_id) AS o FROM events GROUP BY 1, 2) GROUP BY user_id")
 def merge_ordered_distinct(spark, d):
-    e = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("ord")).withColumn("types", F.array("event_type"))
-    return e.groupBy("user_id").agg(F.array_join(resolve.ordered_distinct("types"), ",").alias("types"))
+    e = table(spark, d, "events").select("user_id", F.col("event_id").alias("ord"), F.array("event_type").alias("types"))
+    return records.first_places(e, "user_id", "types").select("user_id", F.array_join("types", ",").alias("types"))
 
 
 @query("""WITH o AS (SELECT user_id, event_type, ts, event_id FROM events WHERE ts < TIMESTAMP '2024-01-15'), n AS (SELECT user_id, event_type, ts, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-15'),
@@ -377,23 +379,28 @@ def override_overlay(spark, d):
     return overlay.override(events, fixed, ["segment"]).select("key", "segment")
 
 
-@query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id")
+@query("SELECT user_id, count(*) AS n, string_agg(event_type, ',' ORDER BY o) AS types FROM (SELECT user_id, event_type, min({'a': CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, 'b': event_id}) AS o FROM events GROUP BY 1, 2) GROUP BY user_id")
 def union_feeds_distinct(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_type", F.col("event_id").alias("ord"))
-    feeds = resolve.union_ordered(e.where("event_type = 'click'"), e.where("event_type <> 'click'"))
-    return feeds.groupBy("user_id").agg(F.count_distinct("event_type").alias("n"))
+    """Three feeds, one after the other: the types of each user in the order in which the feeds and their rows have them."""
+    e = table(spark, d, "events").select("user_id", F.array("event_type").alias("types"), F.col("event_id").alias("ord"), "event_type")
+    feeds = resolve.union_ordered(e.where("event_type = 'view'"), e.where("event_type = 'click'"), e.where("event_type not in ('view', 'click')"))
+    return records.first_places(feeds, "user_id", "types").select("user_id", F.size("types").cast("long").alias("n"), F.array_join("types", ",").alias("types"))
 
 
 @query("SELECT o_orderkey, arg_max(l_linenumber, {'p': (CASE WHEN l_quantity > 25 THEN 100 ELSE 0 END) + (CASE WHEN l_discount > 0.05 THEN 25 ELSE 0 END), 'o': -l_linenumber}) AS best_line FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber IS NOT NULL GROUP BY 1")
 def best_session_argmax(spark, d):
-    points = F.when(F.col("l_quantity") > 25, 100).otherwise(0) + F.when(F.col("l_discount") > 0.05, 25).otherwise(0)
-    lines = table(spark, d, "lineitem").join(table(spark, d, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.groupBy("o_orderkey").agg(F.max_by("l_linenumber", F.struct(points.alias("p"), (-F.col("l_linenumber")).alias("o"))).alias("best_line"))
+    """Lines as an order's sessions, some of which tell coordinates or a venue: the one that tells most, of equals the first."""
+    session = F.struct(F.col("l_linenumber").alias("n"), F.when(F.col("l_quantity") > 25, "121.5").alias("longitude"), F.when(F.col("l_quantity") > 25, "25").alias("lat"), F.when(F.col("l_discount") > 0.05, "hall").alias("venue"))
+    shows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(session)).alias("shows"))).alias("j"))
+    shows = shows.join(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
+    best = records.best_entry(records.session_entries(F.parse_json("j")))
+    return shows.select("o_orderkey", F.try_variant_get(best, "$.n", "int").alias("best_line"))
 
 
-@query("SELECT source, arg_max(doc_id, {'n': length(text), 'o': doc_id}) AS doc_id, max(length(text)) AS n FROM documents GROUP BY source")
+@query("SELECT source, sha256(arg_max(text, {'n': length(text), 'o': doc_id})) AS digest, max(length(text)) AS n FROM documents GROUP BY source")
 def longest_text_per_group(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.max_by("doc_id", F.struct(F.length("text"), "doc_id")).alias("doc_id"), F.max(F.length("text")).cast("long").alias("n"))
+    best = table(spark, d, "documents").groupBy("source").agg(resolve.longest("text", "doc_id").alias("t"))
+    return best.select("source", F.sha2("t", 256).alias("digest"), F.length("t").cast("long").alias("n"))
 
 
 # Favourites and related events
@@ -503,8 +510,11 @@ def title_match_ratio(spark, d):
 
 @query("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")
 def nested_flatten(spark, d):
-    conv = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
-    return conv.select("conv_id", F.size("turns").cast("long").alias("n"), F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"))
+    """The roles of a conversation's turns, from JSON that nests each in an object and a list."""
+    turn = F.struct("turn", F.array(F.struct(F.struct("role").alias("by"))).alias("t"))
+    conv = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    roles = records.flat_texts(F.to_json(F.transform("turns", lambda t: t["t"])))
+    return conv.select("conv_id", F.size("turns").cast("long").alias("n"), F.array_join(roles, ",").alias("roles"))
 
 
 # Page compositions and whole records

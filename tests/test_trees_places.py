@@ -361,3 +361,33 @@ def test_existing_duplicates_are_replaced(spark):
     new = records.typed(spark.createDataFrame([(json.dumps(raw("2", "k", "")), 0)], "j string, ord long").select(F.parse_json("j").alias("raw"), "ord"))
     got = {r["id"]: (r["description"], r["first_seen"], r["last_seen"]) for r in records.catalogue(new, old, F.lit("2026-03-10").cast("date"), F.lit("2026-03-10")).collect()}
     assert got == {"1": ("short", "2026-01-05", "2026-01-05"), "2": ("kept", "2026-01-02", "2026-03-10")}
+
+
+def test_app_projection(spark):
+    raw = [
+        {"titile": " 夜展 ", "description": "好 &amp; <b>真</b>\n臉書 粉專", "address": "臺北市一路1號", "showInfo": [{"time": "2026/03/01"}, {"locationName": "甲館", "latitude": "25", "longitude": "121.5", "onSales": "N", "imageUrl": "https://i.org/s.jpg"}], "images": '["https://i.org/a.jpg",{"src":"https://i.org/icon/logo.png"}]', "poster": "https://i.org/avatar.png", "webSales": "https://t.org/1", "masterUnit": ["甲", "乙"], "hitRate": "12", "categoryName": "6"},
+        {}, {"id": 7, "title": "t", "price": "100", "sourceUrl": "https://www.facebook.com/x", "venueGroup": "乙館", "venueDetail": "3F", "region": "臺中市", "startDate": "2026-01-02"},
+    ]
+    df = spark.createDataFrame([(json.dumps(r, ensure_ascii=False), i) for i, r in enumerate(raw)], "j string, ord long").select(F.parse_json("j").alias("raw"), "ord")
+    a, b, c = records.app_events(df).orderBy("ord").collect()
+    assert (a["id"], a["title"], a["description"], a["source_url"], a["images"], a["venue"], a["address"], a["region"], a["lat"], a["price"], a["organiser"], a["hits"], a["category"], a["start_date"]) == (
+        "https://t.org/1", "夜展", "好 & 真", "https://t.org/1", ["https://i.org/a.jpg", "https://i.org/icon/logo.png", "https://i.org/s.jpg"], "甲館", "臺北市一路1號", "台北市", 25.0, "免費", "甲、乙", 12, "美術", "")
+    assert (b["id"], b["title"], b["venue"], b["price"], b["images"], b["region"], b["hits"]) == ("未命名展覽-1", "未命名展覽", "地點待確認", "票價請見活動頁面", [], "其他地區", 0)
+    assert (c["id"], c["source_url"], c["venue"], c["venue_detail"], c["region"], c["price"], c["start_date"], c["end_date"]) == ("7", "", "乙館", "3F", "台中市", "100", "2026-01-02", "2026-01-02")
+
+
+def test_moments(spark):
+    from showbill.functions import dates
+
+    texts = ["2026-03-0110:00", "2026/03/01 09:30:15", "2026-3-1", "2026-03-01T08:00", "soon", "", None, "2026-02-30"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(dates.parse_moment("t")).collect()]
+    assert got == [D.datetime(2026, 3, 1, 10), D.datetime(2026, 3, 1, 9, 30, 15), D.datetime(2026, 3, 1), D.datetime(2026, 3, 1, 8), None, None, None, None]
+
+
+def test_small_readers(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"a": [25.0, 121.0], "b": null, "c": [1]}')
+    assert {r["asked"]: r["lat"] for r in feeds.read_geocodes(spark, f"{tmp_path}/c.json").collect()} == {"a": 25.0, "b": None, "c": None}
+    (tmp_path / "v.json").write_text('{"venueImages": {" 甲館 ": "https://i.org/v.jpg", "乙": "https://www.facebook.com/p.jpg", "丙": "not a url", "": "https://i.org/x.jpg"}}')
+    assert [tuple(r) for r in feeds.read_venue_images(spark, f"{tmp_path}/v.json").collect()] == [("甲館", "https://i.org/v.jpg")]
+    (tmp_path / "broken.json").write_text("{")
+    assert feeds.read_venue_images(spark, f"{tmp_path}/broken.json").count() == feeds.read_overrides(spark, f"{tmp_path}/none.json").count() == 0
