@@ -66,8 +66,8 @@ def resolve(base: pd.Series, url: pd.Series) -> pd.Series:
     return pd.Series([one(b, u) for b, u in zip(base, url, strict=True)], dtype=object)
 
 
-def normalize_url(c: Column | str) -> Column:
-    """An absolute http(s) URL, repaired; an empty string for anything else.
+def normalize_url(c: Column | str, base: str | None = None) -> Column:
+    """An absolute http(s) URL, repaired; an empty string for anything else. With a base, references that aren't absolute are taken against it.
 
     Repairs: entities, escaped slashes, a scheme written twice, an encoded scheme, a missing scheme before //, and prose
     glued to the host, of which the leading valid part is kept.
@@ -80,6 +80,8 @@ def normalize_url(c: Column | str) -> Column:
     t = F.regexp_replace(t, "^//", "https://")
     # Of an authority with other characters, the valid beginning stays and the rest of the URL goes; none may be left.
     t = F.regexp_replace(t, r"(?i)^(https?://[A-Za-z0-9.-]+(?::\d+)?)[^A-Za-z0-9.\-:\[\]/?#\s].*$", "$1")
+    if base is not None:
+        t = let(t, lambda x: F.when((x == "") | x.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), x).otherwise(joined(F.lit(base), x)))
     # One ticket host serves an event's content at its event route only.
     t = F.regexp_replace(t, r"(?i)^(https?://(?:www\.)?opentix\.life)/program/(\d+/?)(?=$|[?#])", "$1/event/$2")
     return F.regexp_extract(t, r"(?is)^https?://[A-Za-z0-9\[][^/?#\s]*.*$", 0)
@@ -109,6 +111,11 @@ def is_blocked(c: Column | str) -> Column:
     return let(normalize_url(c), lambda u: host_of(u).rlike(BLOCKED_HOST) | decoded_path(u).rlike(BLOCKED_PATH))
 
 
+def is_blocked_group(c: Column | str) -> Column:
+    """A group's page on a blocked host."""
+    return let(normalize_url(c), lambda u: host_of(u).rlike(BLOCKED_HOST) & F.contains(F.lower(path_of(u)), F.lit("/groups/")))
+
+
 def is_ticketing(c: Column | str) -> Column:
     return url_host(c).rlike(TICKET_HOST)
 

@@ -12,6 +12,9 @@ from showbill.functions import dates, urls
 from showbill.operators import facets, listing, recommend
 from showbill.operators.listing import ListingQuery
 
+#: The category of venues whose events have none (a fixed value).
+UNLABELLED = "美術"
+
 
 def event_link(key: Column | str) -> Column:
     return F.concat(F.lit("?event="), urls.encode(key))
@@ -109,3 +112,43 @@ def hero_tickets(events: DataFrame, today: datetime.date, seed: int, seen: DataF
     t = F.lit(today)
     base = _if_any(events.where(dates.is_ongoing("start", "end", t) | dates.is_upcoming("start", t)), events)
     return recommend.shuffled_pick(listing.featured(base, today, pool), k, seed, seen)
+
+
+def month(events: DataFrame, q: ListingQuery, first: datetime.date) -> DataFrame:
+    """day, n, cell, selected and today of a month's calendar: what the query without its date has on each day, and the day's cell in a grid of weeks that begin on Sunday."""
+    last = (first.replace(day=28) + datetime.timedelta(4)).replace(day=1) - datetime.timedelta(1)
+    before = first.replace(day=1).isoweekday() % 7
+    days = facets.calendar(listing.filtered(events, dataclasses.replace(q, date=None)), first.replace(day=1), last)
+    return days.select("day", "n", (F.dayofmonth("day") - 1 + before).alias("cell"), F.lit(q.date).cast("date").eqNullSafe(F.col("day")).alias("selected"), (F.col("day") == F.lit(q.today)).alias("today"))
+
+
+def listing_page(events: DataFrame, q: ListingQuery, first: datetime.date, categories: list[str], regions: list[str], k: int = 200) -> dict[str, DataFrame]:
+    """The listing of a query: results (the first k), found (one row: how many in all), calendar, and the sidebar's categories and regions, which count all events."""
+    found = listing.filtered(events, q)
+    return {
+        "results": listing.listing(events, q, k), "found": found.agg(F.count("*").alias("n")), "calendar": month(events, q, first),
+        "categories": facets.category_strip(events.where(F.exists("categories", lambda c: c.isin(*categories))), categories, len(categories)).where(F.col("category").isin(*categories)),
+        "regions": facets.region_facets(events, regions),
+    }
+
+
+def venue_grid(events: DataFrame, pictures: DataFrame, today: datetime.date, k: int = 36, most: int = 8) -> DataFrame:
+    """place, venue, n, images and category of the k venues with most events: the venue's own picture (venue, image) first, then its events' pictures, those that are on and score best before others; the category of its best event.
+
+    Pictures are combined before they are gathered, and `most` of a venue's are kept before the shuffle, so a venue with many events is no single task's load.
+    """
+    named = events.where((F.coalesce("venue", F.lit("")) != "") & ~F.col("venue").rlike("資料整理中|地點待確認"))
+    top = facets.top_counts(named, "venue", k).select("venue", "n", F.row_number().over(Window.orderBy(F.desc("n"), "venue")).alias("place"))
+    rank = F.struct((~dates.is_ongoing("start", "end", F.lit(today))).alias("off"), (-listing.score(F.lit(today))).alias("s"), F.col("key").alias("k"))
+    own = named.join(F.broadcast(top.select("venue")), "venue", "left_semi").withColumn("rank", rank)
+    listed = F.when(F.size("images") > 0, F.col("images")).otherwise(F.array("image")) if "images" in events.columns else F.array("image")
+    every = own.select("venue", "rank", F.posexplode(listed).alias("at", "url")).withColumn("url", urls.normalize_url("url"))
+    shown = pictures.select("venue", F.lit(None).cast(own.schema["rank"].dataType).alias("rank"), F.lit(0).alias("at"), urls.normalize_url("image").alias("url")).join(F.broadcast(top.select("venue")), "venue", "left_semi").unionByName(every)
+    usable = shown.where((F.col("url") != "") & urls.shows_content(F.col("url"), "app"))
+    first = usable.groupBy("venue", "url").agg(F.min(F.struct("rank", "at")).alias("f"))
+    kept = first.withColumn("_p", F.row_number().over(Window.partitionBy("venue").orderBy("f", "url"))).where(F.col("_p") <= most)
+    images = kept.groupBy("venue").agg(F.array_sort(F.collect_list(F.struct("_p", "url"))).alias("i")).select("venue", F.transform("i", lambda x: x["url"]).alias("images"))
+    label = F.get("categories", F.lit(0))
+    best = own.groupBy("venue").agg(F.min_by(label, F.when(label.isNotNull(), F.col("rank"))).alias("category"))
+    out = top.join(images, "venue", "left").join(best, "venue", "left")
+    return out.select("place", "venue", "n", F.coalesce("images", F.array().cast("array<string>")).alias("images"), F.coalesce("category", F.lit(UNLABELLED)).alias("category"))

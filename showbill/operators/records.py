@@ -29,6 +29,8 @@ IMAGE_ATTRIBUTES = ("src", "data-src", "data-original", "data-lazy-src", "data-o
 LINKS = ("sourceUrl", "sourceWebPromote", "sourceWebSite", "website", "url", "webSales")
 LINK_TEXTS = ("description", "descriptionFilterHtml", "comment", "transitInfo")
 UNKNOWN_VENUE, UNKNOWN_PRICE, FREE, FEED = "地點待確認", "票價請見活動頁面", "免費", "文化部開放資料"
+#: What relative links of feed records are relative to.
+FEED_BASE = "https://cloud.culture.tw/"
 UNSORTED_VENUE = "｜場館資料整理中"
 PLACEHOLDERS = (UNKNOWN_VENUE, UNKNOWN_PRICE, rules.UNKNOWN_REGION, FEED)
 # Fixed patterns: venues that are only a district, that are an address, and words that make an address a venue.
@@ -141,10 +143,10 @@ def content_images(values: Column, base: Column, most: int) -> Column:
     return F.slice(F.filter(urls.unique_urls(absolute), lambda u: urls.shows_content(u)), 1, most)
 
 
-def event_url(v: Column | str) -> Column:
-    """The event's own page: the first link member that is neither blocked nor a ticket host's front page, else the first such URL in the texts that isn't an image."""
+def event_url(v: Column | str, base: str = FEED_BASE) -> Column:
+    """The event's own page, against `base` where it is relative: the first link member that is neither blocked nor a ticket host's front page, else the first such URL in the texts that isn't an image."""
     usable = lambda u: (u != "") & ~urls.is_blocked(u) & ~urls.is_ticket_home(u)
-    members = F.transform(F.array(*[F.coalesce(text_in(v, n), F.lit("")) for n in LINKS]), urls.normalize_url)
+    members = F.transform(F.array(*[F.coalesce(text_in(v, n), F.lit("")) for n in LINKS]), lambda u: urls.normalize_url(u, base))
     texts = F.array_join(clean_all(**{n: first_in(v, n) for n in LINK_TEXTS}), " ")
     seen = F.transform(F.regexp_extract_all(texts, F.lit(r"""(?i)(https?://[^\s<>"'）)】」]+)"""), 1), lambda u: urls.normalize_url(F.regexp_replace(u, "[。，、；;:]+$", "")))
     picture = r"(?i)\.(?:jpe?g|png|gif|webp|avif)(?:$|\?)"
@@ -199,6 +201,7 @@ def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = (), raw_venue:
         "_feed": F.coalesce(text_in("raw", "_feedCategory"), F.lit("")), "_url": event_url("raw"),
     })
     rows = rows.where(~rules.excluded(F.col("_title"), F.col("_unit"), F.col("_cat"), F.col("_url"), F.col("_feed")))
+    rows = rows.withColumn("_base", F.when(F.col("_url") != "", F.col("_url")).otherwise(FEED_BASE))
     rows = rows.withColumn("_entries", session_entries("raw")).withColumn("_show", best_entry("_entries"))
     s = "_show"
     rows = rows.withColumns({
@@ -208,11 +211,11 @@ def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = (), raw_venue:
     })
     rows = rows.withColumn("_raw_venue", clean_place(first_value(first_in("raw", "venueGroup", "locationName", "venue"), first_in(s, "locationName", "venue"), F.col("_address"), F.lit(UNKNOWN_VENUE))))
     rows = rows.withColumn("_venue", venue_name(F.col("_raw_venue"), F.col("_address"), profiles))
-    images = F.concat(image_values("raw"), F.coalesce(image_values(s), F.array().cast("array<string>")), html_images(first_in("raw", "descriptionFilterHtml", "description"), F.col("_url")))
+    images = F.concat(image_values("raw"), F.coalesce(image_values(s), F.array().cast("array<string>")), html_images(first_in("raw", "descriptionFilterHtml", "description"), F.col("_base")))
     price = clean_text(first_value(first_in("raw", "price", "Price"), text_in(s, "price"), first_in("raw", "discountInfo", "charge")))
     unsold = F.upper(first_value(text_in(s, "onSales"), text_in("raw", "onSales"))) == "N"
     score, hits = text_in("raw", "sourceUrlMatchScore"), text_in("raw", "hitRate")
-    rows = rows.withColumns({"_images": content_images(images, F.col("_url"), 8), "_categories": rules.classify("_cat", F.col("_title"), F.col("_description"), feed="_feed")})
+    rows = rows.withColumns({"_images": content_images(images, F.col("_base"), 8), "_categories": rules.classify("_cat", F.col("_title"), F.col("_description"), feed="_feed")})
     group = F.col("_venue.group")
     own_id = clean_text(first_in("raw", "id", "UID", "uid", "actId"))
     plain = {

@@ -39,6 +39,29 @@ def test_text_keys_and_compositions(spark):
     assert e.where("key = 'k1'").select(pages.facet_link("venue", F.lit("甲 館")).alias("u"), pages.map_link(F.lit(None), F.lit(None), F.lit("館"), F.lit("路1號 館")).alias("m")).first()["u"] == "?view=all&venue=%E7%94%B2%20%E9%A4%A8"
 
 
+def test_listing_page_and_venue_grid(spark):
+    e = events(spark).withColumn("images", F.when(F.col("hits") % 300 == 0, F.array(F.concat(F.lit("https://i.example.org/"), "key", F.lit(".jpg")), F.lit("https://i.example.org/all.jpg"))).otherwise(F.array().cast("array<string>")))
+    q = ListingQuery(DAY, region="r1", date=DAY)
+    page = pages.listing_page(e, q, DAY, ["c", "a"], ["r2", "r1", "none"])
+    rows = {r["key"]: r for r in e.collect()}
+    on = lambda r, d: r["start"] <= d <= r["end"]
+    r1 = [r for r in rows.values() if r["region"] == "r1"]
+    assert page["found"].first()["n"] == page["results"].count() == sum(on(r, DAY) for r in r1)
+    days = {r["day"]: r for r in page["calendar"].collect()}
+    assert len(days) == 31 and all(days[d]["n"] == sum(on(r, d) for r in r1) for d in days)
+    assert [d.day for d in days if days[d]["selected"]] == [10] and [d.day for d in days if days[d]["today"]] == [10] and days[datetime.date(2026, 3, 1)]["cell"] == 0  # a Sunday
+    assert [r["category"] for r in page["categories"].orderBy("place").collect()] == ["c", "a"]
+    assert [(r["region"], r["venue"]) for r in page["regions"].orderBy("region_place", "venue_place").collect()][0] == ("r2", None)
+    pictures = spark.createDataFrame([("v1", "https://i.example.org/v1.jpg"), ("v2", "https://i.example.org/spinner.gif")], "venue string, image string")
+    score = {r["key"]: r["s"] for r in e.select("key", listing.score(F.lit(DAY)).alias("s")).collect()}
+    grid = {r["venue"]: r for r in pages.venue_grid(e, pictures, DAY, 4, 3).collect()}
+    assert sorted(grid) == ["v0", "v1", "v2", "v3"] and all(r["n"] == 8 for r in grid.values())
+    for v, r in grid.items():
+        ranked = sorted((x for x in rows.values() if x["venue"] == v), key=lambda x: (not on(x, DAY), -score[x["key"]], x["key"]))
+        want = ["https://i.example.org/v1.jpg"] * (v == "v1") + [u for x in ranked for u in (x["images"] or [x["image"]]) if u]
+        assert r["images"] == list(dict.fromkeys(want))[:3] and r["category"] == ranked[0]["categories"][0]
+
+
 HTML = """<title>X</title><link rel="canonical" href="/ev/1"><a href="/login?x">ticket</a><a href="https://kktix.com/e/2">go</a><a href='https://kktix.com/e/2'>ticket</a>
 <a href="detail/3">info</a><a href="about">about</a><a href="https://www.instagram.com/events/9">ig</a><a href="https://www.facebook.com/x">event</a><a href="https://x.gov.tw/a">官方</a>"""
 

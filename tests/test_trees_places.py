@@ -376,6 +376,19 @@ def test_app_projection(spark):
     assert (c["id"], c["source_url"], c["venue"], c["venue_detail"], c["region"], c["price"], c["start_date"], c["end_date"]) == ("7", "", "乙館", "3F", "台中市", "100", "2026-01-02", "2026-01-02")
 
 
+def test_urls_against_a_base(spark):
+    from showbill.functions import urls
+
+    cases = {"/a/b": "https://h.org/a/b", "x.html": "https://h.org/d/x.html", "": "", None: "", "javascript:x": "", "https://o.org/y": "https://o.org/y", "//c.org/z": "https://c.org/z", "data:image/png;base64,x": "", "?q": "https://h.org/d/?q"}
+    df = spark.createDataFrame([(k,) for k in cases], "u string")
+    assert [r[0] for r in df.select(urls.normalize_url("u", "https://h.org/d/")).collect()] == list(cases.values())
+    groups = spark.createDataFrame([("https://www.facebook.com/Groups/1",), ("https://fb.me/x",), ("https://h.org/groups/1",), (None,)], "u string")
+    assert [r[0] for r in groups.select(urls.is_blocked_group("u")).collect()] == [True, False, False, False]
+    raw = spark.createDataFrame([('{"title":"t","website":"/e/1","imageUrl":"/p/1.jpg"}', 0), ('{"title":"u","imageUrl":"/p/2.jpg","note":1}', 1)], "j string, ord long").select(F.parse_json("j").alias("raw"), "ord")
+    got = [(r["source_url"], r["images"]) for r in records.typed(raw).orderBy("ord").collect()]
+    assert got == [(f"{records.FEED_BASE}e/1", [f"{records.FEED_BASE}p/1.jpg"]), ("", [f"{records.FEED_BASE}p/2.jpg"])]
+
+
 def test_moments(spark):
     from showbill.functions import dates
 
