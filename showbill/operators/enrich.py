@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from showbill.functions import dates, geo, urls
 from showbill.functions.text import clean_place, clean_text, let, title_score, unescape_all
 from showbill.operators import extract, records, rules
+from showbill.sources.shared import written
 
 TICKET_SITE = "opentix.life"
 
@@ -87,12 +88,13 @@ def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float
     ordered by their host, whether they are the record's own page, and their score; their images by the record's title and, where `probes` (url, ok) are given, by those.
     """
     own = asked.join(pages.select("page_id", "url"), "url").select("id", "title", F.col("url").alias("own_url"), "page_id")
-    linked = extract.related_pages(pages.join(own.select("page_id").distinct(), "page_id", "left_semi"), follow)
+    # Links and facts are large expressions: what they give is written, so that later steps are planned over small tables.
+    linked = written(extract.related_pages(pages.join(own.select("page_id").distinct(), "page_id", "left_semi"), follow))
     reads = own.select("id", "title", "own_url", F.col("own_url").alias("url"), F.lit(0).alias("step")).unionByName(
         own.join(linked, "page_id").select("id", "title", "own_url", F.col("target").alias("url"), F.col("place").alias("step"))
     )
     # Only pages that are read are searched, and what rides on is their metadata.
-    found = page_metadata(pages.join(reads.select("url").distinct(), "url", "left_semi"))
+    found = written(page_metadata(pages.join(reads.select("url").distinct(), "url", "left_semi")))
     read = reads.join(found, "url").withColumn("score", title_score("title", "page_title", "page_text")).drop("page_text")
     read = read.withColumn("page_images", extract.ranked_images("page_images", "title"))
     read = read.withColumn("page_images", F.slice("page_images", 1, 18)) if probes is None else probed_images(read, probes, ["id", "step", "url"])
@@ -114,8 +116,8 @@ def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float
 
 def with_pages(events: DataFrame, pages: DataFrame, today: Column, now: Column, profiles=(), most: int = 450, probes: DataFrame | None = None) -> DataFrame:
     """events with what their pages say: verification, a better page, more images, a longer description, a missing address, venue or place."""
-    asked = page_candidates(events, today, most)
-    found = discovered(asked, pages, probes=probes).select("id", *[F.col(c).alias(f"_{c}") for c in ("verified", "match_score", "rejected_url", "best_url", "page_images", "page_description", "page_venue", "page_address", "page_lat", "page_lon")])
+    asked = written(page_candidates(events, today, most))
+    found = written(discovered(asked, pages, probes=probes)).select("id", *[F.col(c).alias(f"_{c}") for c in ("verified", "match_score", "rejected_url", "best_url", "page_images", "page_description", "page_venue", "page_address", "page_lat", "page_lon")])
     e = events.join(F.broadcast(asked.select("id", F.lit(True).alias("_asked"))), "id", "left").join(F.broadcast(found), "id", "left")
     got = F.col("_verified").isNotNull()
     best, rejected = F.coalesce("_best_url", F.lit("")), F.coalesce("_rejected_url", F.lit("")) != ""

@@ -129,7 +129,12 @@ def flat_texts(c: Column | str) -> Column:
 
 
 def image_values(v: Column | str) -> Column:
-    return F.concat(*[flat_texts(F.try_variant_get(v, f"$.{n}", "string")) for n in IMAGES])
+    return texts_of(v, *IMAGES)
+
+
+def texts_of(v: Column | str, *names: str) -> Column:
+    """The texts in several members, in their order; one expression for all of them."""
+    return F.flatten(F.transform(F.array(*[F.try_variant_get(v, f"$.{n}", "string") for n in names]), lambda t: flat_texts(t)))
 
 
 def html_images(html: Column, base: Column) -> Column:
@@ -272,7 +277,7 @@ def app_events(raw: DataFrame, aliases: list[tuple[str, str]] = ()) -> DataFrame
     rows = rows.withColumn("_raw_venue", clean_place(first(*of("raw", "locationName", "venue"), *of(s, "locationName", "venue"), F.col("_address"))))
     none = F.lit("")
     rows = rows.withColumn("_venue", venue_by_rules(F.col("_raw_venue"), F.col("_address"), F.coalesce(text_in("raw", "venueGroup"), none), F.coalesce(text_in("raw", "venueDetail"), none), list(aliases)))
-    found = F.concat(*[flat_texts(F.try_variant_get(v, f"$.{n}", "string")) for v, names in (("raw", APP_IMAGES), (s, APP_SESSION_IMAGES)) for n in names])
+    found = F.concat(texts_of("raw", *APP_IMAGES), texts_of(s, *APP_SESSION_IMAGES))
     free = F.when(first(*of(s, "onSales"), *of("raw", "onSales")) == "N", FREE)
     price = lines(first(*of("raw", "price", "Price"), *of(s, "price"), *of("raw", "discountInfo"), free))
     rows = rows.withColumns({"_images": F.filter(urls.unique_urls(found), lambda u: urls.shows_content(u, "app")), "_categories": rules.classify("_cat", F.col("_title"), F.col("_text"), rules=rules.APP_KEYWORDS)})

@@ -353,16 +353,6 @@ def test_retention_stream_equals_replay(spark, tmp_path):
         assert (r["at"].date() - (r["end_date"] or r["start_date"])).days == retention.AFTER + 1
 
 
-def test_existing_duplicates_are_replaced(spark):
-    """Of existing records of one id the last one holds, also with a shorter description; incoming ones are merged over it."""
-    raw = lambda i, text, seen: {"id": i, "title": f"夜展{i}", "description": text, "startDate": "2026-03-01", "endDate": "2026-04-01", "firstSeenAt": seen}
-    rows = [raw("1", "a long old text", "2026-01-01"), raw("1", "short", "2026-01-05"), raw("2", "kept", "2026-01-02")]
-    old = records.typed(spark.createDataFrame([(json.dumps(r), i) for i, r in enumerate(rows)], "j string, ord long").select(F.parse_json("j").alias("raw"), "ord"))
-    new = records.typed(spark.createDataFrame([(json.dumps(raw("2", "k", "")), 0)], "j string, ord long").select(F.parse_json("j").alias("raw"), "ord"))
-    got = {r["id"]: (r["description"], r["first_seen"], r["last_seen"]) for r in records.catalogue(new, old, F.lit("2026-03-10").cast("date"), F.lit("2026-03-10")).collect()}
-    assert got == {"1": ("short", "2026-01-05", "2026-01-05"), "2": ("kept", "2026-01-02", "2026-03-10")}
-
-
 def test_app_projection(spark):
     raw = [
         {"titile": " 夜展 ", "description": "好 &amp; <b>真</b>\n臉書 粉專", "address": "臺北市一路1號", "showInfo": [{"time": "2026/03/01"}, {"locationName": "甲館", "latitude": "25", "longitude": "121.5", "onSales": "N", "imageUrl": "https://i.org/s.jpg"}], "images": '["https://i.org/a.jpg",{"src":"https://i.org/icon/logo.png"}]', "poster": "https://i.org/avatar.png", "webSales": "https://t.org/1", "masterUnit": ["甲", "乙"], "hitRate": "12", "categoryName": "6"},
