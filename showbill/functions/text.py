@@ -21,8 +21,9 @@ def col(c: Column | str) -> Column:
 
 
 def let(c: Column, f) -> Column:
-    """f of c, with c computed once however often f uses it: chains of such steps would otherwise grow exponentially."""
-    return F.get(F.transform(F.array(c), f), F.lit(0))
+    """f of c, with c computed once however often f uses it: chains of such steps would otherwise grow exponentially.
+    try_element_at() and not get(), which derives its type anew, down the whole chain, for every row."""
+    return F.try_element_at(F.transform(F.array(c), f), F.lit(1))
 
 
 def strip(c: Column | str) -> Column:
@@ -33,7 +34,7 @@ def strip(c: Column | str) -> Column:
 def first_value(*cs: Column | str, profile: str = "etl") -> Column:
     """The first value that isn't blank, untrimmed; an empty string if there is none. In the app profile "0" is blank too."""
     blank = lambda x: (strip(x) == "") | (x == "0") if profile == "app" else strip(x) == ""
-    return F.coalesce(F.get(F.filter(F.array(*[col(c) for c in cs]), lambda x: ~blank(x)), F.lit(0)), F.lit(""))
+    return F.coalesce(F.try_element_at(F.filter(F.array(*[col(c) for c in cs]), lambda x: ~blank(x)), F.lit(1)), F.lit(""))
 
 
 #: The entities that most texts hold; `&amp;` comes last, so that no entity is decoded twice.
@@ -91,18 +92,32 @@ def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+#: What cleaning changes: entities, tags, blanks other than single spaces, and any at the ends. Most fields hold none of it and are left as they are.
+UNCLEAN = r"(?U)[&<\t\r\n\f\x0B]|  |^\s|\s$"
+
+
 def clean_text(c: Column | str, decode=unescape) -> Column:
     """Decoded, line-break tags as line feeds, other tags dropped, runs of blanks and of empty lines shortened, trimmed; null gives an empty string."""
-    t = decode(F.coalesce(col(c), F.lit("")))
-    t = F.regexp_replace(t, r"(?i)<br\s*/?>", "\n")
-    t = F.regexp_replace(t, r"<[^>]+>", "")
-    t = F.regexp_replace(t, r"[ \t\r\f\x0B]+", " ")
-    return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
+
+    def cleaned(t: Column) -> Column:
+        t = F.regexp_replace(decode(t), r"(?i)<br\s*/?>", "\n")
+        t = F.regexp_replace(t, r"<[^>]+>", "")
+        t = F.regexp_replace(t, r"[ \t\r\f\x0B]+", " ")
+        return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
+
+    return let(F.coalesce(col(c), F.lit("")), lambda t: F.when(t.rlike(UNCLEAN), cleaned(t)).otherwise(t))
+
+
+#: What cleaning a place changes besides: marks at the ends, and wide gaps.
+UNCLEAN_PLACE = UNCLEAN + r"|^[=＝:：;；|｜]|[=＝:：;；|｜]$|\s{2}"
 
 
 def clean_place(c: Column | str) -> Column:
-    t = F.regexp_replace(clean_text(c), r"^[=＝:：;；|｜]+|[=＝:：;；|｜]+$", "")
-    return F.regexp_replace(strip(t), r"(?U)\s{2,}", " ")
+    def cleaned(t: Column) -> Column:
+        t = F.regexp_replace(clean_text(t), r"^[=＝:：;；|｜]+|[=＝:：;；|｜]+$", "")
+        return F.regexp_replace(strip(t), r"(?U)\s{2,}", " ")
+
+    return let(F.coalesce(col(c), F.lit("")), lambda t: F.when(t.rlike(UNCLEAN_PLACE), cleaned(t)).otherwise(t))
 
 
 # Fixed words: platform names that titles carry and comparisons ignore.

@@ -66,25 +66,33 @@ def resolve(base: pd.Series, url: pd.Series) -> pd.Series:
     return pd.Series([one(b, u) for b, u in zip(base, url, strict=True)], dtype=object)
 
 
+#: A URL that needs no repair: plain authority and path, no second URL within, no route that is rewritten.
+PLAIN_URL = r"""^https?://(?!(?i:(?:www\.)?opentix\.life/program/))(?!(?i:.*https?(?::|%3a)))[A-Za-z0-9][A-Za-z0-9.-]*(?::\d+)?(?:[/?#][^\s&"'<>\\]*)?\z"""
+
+
 def normalize_url(c: Column | str, base: str | None = None) -> Column:
     """An absolute http(s) URL, repaired; an empty string for anything else. With a base, references that aren't absolute are taken against it.
 
     Repairs: entities, escaped slashes, a scheme written twice, an encoded scheme, a missing scheme before //, and prose
     glued to the host, of which the leading valid part is kept.
     """
-    t = F.regexp_replace(strip(unescape(F.coalesce(col(c), F.lit("")))), r"""^["']+|["']+$""", "")
-    t = F.regexp_replace(F.replace(t, F.lit("\\/"), F.lit("/")), r"(?is)^https?://[^/?#]+(https?://.+)$", "$1")
-    # After quoted markup, the last of several URLs counts, up to the next quote.
-    t = F.regexp_replace(t, r"""(?is)^.*https?://.*(?:\\?&q;|\\?&quot;|["'<>]).*(https?://(?:(?!\\?&q;|\\?&quot;|https?://)[^"'<>\\\s])*).*$""", "$1")
-    t = let(t, lambda x: F.when(x.rlike(r"(?i)^https?%3A"), F.try_url_decode(x)).otherwise(x))
-    t = F.regexp_replace(t, "^//", "https://")
-    # Of an authority with other characters, the valid beginning stays and the rest of the URL goes; none may be left.
-    t = F.regexp_replace(t, r"(?i)^(https?://[A-Za-z0-9.-]+(?::\d+)?)[^A-Za-z0-9.\-:\[\]/?#\s].*$", "$1")
-    if base is not None:
-        t = let(t, lambda x: F.when((x == "") | x.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), x).otherwise(joined(F.lit(base), x)))
-    # One ticket host serves an event's content at its event route only.
-    t = F.regexp_replace(t, r"(?i)^(https?://(?:www\.)?opentix\.life)/program/(\d+/?)(?=$|[?#])", "$1/event/$2")
-    return F.regexp_extract(t, r"(?is)^https?://[A-Za-z0-9\[][^/?#\s]*.*$", 0)
+
+    def repaired(t: Column) -> Column:
+        t = F.regexp_replace(strip(unescape(t)), r"""^["']+|["']+$""", "")
+        t = F.regexp_replace(F.replace(t, F.lit("\\/"), F.lit("/")), r"(?is)^https?://[^/?#]+(https?://.+)$", "$1")
+        # After quoted markup, the last of several URLs counts, up to the next quote.
+        t = F.regexp_replace(t, r"""(?is)^.*https?://.*(?:\\?&q;|\\?&quot;|["'<>]).*(https?://(?:(?!\\?&q;|\\?&quot;|https?://)[^"'<>\\\s])*).*$""", "$1")
+        t = let(t, lambda x: F.when(x.rlike(r"(?i)^https?%3A"), F.try_url_decode(x)).otherwise(x))
+        t = F.regexp_replace(t, "^//", "https://")
+        # Of an authority with other characters, the valid beginning stays and the rest of the URL goes; none may be left.
+        t = F.regexp_replace(t, r"(?i)^(https?://[A-Za-z0-9.-]+(?::\d+)?)[^A-Za-z0-9.\-:\[\]/?#\s].*$", "$1")
+        if base is not None:
+            t = let(t, lambda x: F.when((x == "") | x.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), x).otherwise(joined(F.lit(base), x)))
+        # One ticket host serves an event's content at its event route only.
+        t = F.regexp_replace(t, r"(?i)^(https?://(?:www\.)?opentix\.life)/program/(\d+/?)(?=$|[?#])", "$1/event/$2")
+        return F.regexp_extract(t, r"(?is)^https?://[A-Za-z0-9\[][^/?#\s]*.*$", 0)
+
+    return let(F.coalesce(col(c), F.lit("")), lambda t: F.when((t == "") | t.rlike(PLAIN_URL), t).otherwise(repaired(t)))
 
 
 def host_of(u: Column) -> Column:
@@ -108,7 +116,7 @@ def decoded_path(u: Column) -> Column:
 
 
 def is_blocked(c: Column | str) -> Column:
-    return let(normalize_url(c), lambda u: host_of(u).rlike(BLOCKED_HOST) | decoded_path(u).rlike(BLOCKED_PATH))
+    return let(normalize_url(c), lambda u: (u != "") & (host_of(u).rlike(BLOCKED_HOST) | decoded_path(u).rlike(BLOCKED_PATH)))
 
 
 def is_blocked_group(c: Column | str) -> Column:
@@ -122,7 +130,7 @@ def is_ticketing(c: Column | str) -> Column:
 
 def is_ticket_home(c: Column | str) -> Column:
     """A ticket host's front page, which says nothing of an event."""
-    return let(normalize_url(c), lambda u: host_of(u).rlike(TICKET_HOST) & u.rlike(r"^https?://[^/?#]+/*$"))
+    return let(normalize_url(c), lambda u: u.rlike(r"^https?://[^/?#]+/*$") & host_of(u).rlike(TICKET_HOST))
 
 
 def needs_title_check(c: Column | str) -> Column:

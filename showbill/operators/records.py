@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from showbill.functions import dates, geo, urls
 from showbill.functions.text import clean_place, clean_text, compact_title, drop_lines, first_value, let, stable_id, strip, unescape_all
 from showbill.operators import resolve, rules, trees
-from showbill.sources.shared import written
+from showbill.sources.shared import spread, written
 
 # Members by which feeds name a column, in the order in which they are asked.
 TITLE = ("title", "titile", "name", "actName")
@@ -76,6 +76,27 @@ def text_in(v: Column | str, name: str) -> Column:
     return F.coalesce(F.array_join(F.array_remove(listed, ""), "、"), F.try_variant_get(v, f"$.{name}", "string"))
 
 
+def members(v: Column | str) -> Column:
+    """An object's members by name, map<string, variant>; null for anything else."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def member_texts(of: Column) -> Column:
+    """Members as texts, read once for all who ask for them: a map of struct(text, json), where text is what text_in() gives and json a list's own text. Sessions are left out."""
+    string = lambda x: F.try_variant_get(x, "$", "string")
+    both = lambda _, x: F.struct(F.coalesce(F.array_join(F.array_remove(F.try_variant_get(x, "$", "array<string>"), ""), "、"), string(x)).alias("text"), string(x).alias("json"))
+    return F.transform_values(F.map_filter(of, lambda k, _: ~k.isin(*SESSIONS)), both)
+
+
+def text_of(m: Column | str, name: str) -> Column:
+    """text_in(), of member_texts()."""
+    return F.try_element_at(F.col(m) if isinstance(m, str) else m, F.lit(name))["text"]
+
+
+def first_of(m: Column | str, *names: str) -> Column:
+    return first_value(*[text_of(m, n) for n in names])
+
+
 def clean_all(**texts: Column) -> Column:
     """An array of cleaned texts, in the order given: one expression for all."""
     return F.transform(F.array(*texts.values()), lambda t: clean_text(t))
@@ -87,35 +108,51 @@ def first_in(v: Column | str, *names: str) -> Column:
 
 def session_entries(v: Column | str) -> Column:
     """The objects under all session members, each one object or a list of them."""
-    one = lambda n: F.coalesce(F.try_variant_get(v, f"$.{n}", "array<variant>"), F.array_compact(F.array(F.try_variant_get(v, f"$.{n}", "variant"))))
-    return F.filter(F.concat(*[one(n) for n in SESSIONS]), lambda x: is_object(x))
+    return let(members(v), entries_of)
+
 
+def entries_of(of: Column) -> Column:
+    """session_entries(), of members()."""
+    one = lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array_compact(F.array(x)))
+    lists = F.transform(F.filter(F.array(*map(F.lit, SESSIONS)), lambda n: F.map_contains_key(of, n)), lambda n: one(F.try_element_at(of, n)))
+    return F.filter(F.coalesce(F.flatten(lists), F.array().cast("array<variant>")), lambda x: is_object(x))
 
-def point_in(*vs: Column | str) -> Column:
+
+def point_in(*vs: Column | str, first=first_in) -> Column:
     """The first source's coordinates that are whole, as given or swapped."""
-    return F.coalesce(*[geo.coordinate_pair(first_in(v, *LATITUDE), first_in(v, *LONGITUDE)) for v in vs])
+    return F.coalesce(*[geo.coordinate_pair(first(v, *LATITUDE), first(v, *LONGITUDE)) for v in vs])
+
 
+def point_of(*ms: Column | str) -> Column:
+    return point_in(*ms, first=first_of)
 
-def entry_score(v: Column) -> Column:
+
+def entry_score(m: Column) -> Column:
+    """What a session's member_texts() tell of its place."""
     asked = {25: ("locationName", "venue"), 20: ("location", "address"), 5: ("time", "startTime")}
-    told = F.transform(F.array(*[F.struct(F.lit(n).alias("n"), first_in(v, *names).alias("t")) for n, names in asked.items()]), lambda x: F.when(clean_text(x["t"]) != "", x["n"]).otherwise(0))
-    return F.when(point_in(v).isNotNull(), 100).otherwise(0) + F.aggregate(told, F.lit(0), lambda a, x: a + x)
+    told = F.transform(F.array(*[F.struct(F.lit(n).alias("n"), first_of(m, *names).alias("t")) for n, names in asked.items()]), lambda x: F.when(clean_text(x["t"]) != "", x["n"]).otherwise(0))
+    return F.when(point_of(m).isNotNull(), 100).otherwise(0) + F.aggregate(told, F.lit(0), lambda a, x: a + x)
+
+
+def best_of(entries: Column | str, texts=lambda m: m) -> Column:
+    """The session that tells most of its place, the first of equals; null without any. entries: member_texts(), or what `texts` makes them of."""
+    ranked = F.transform(entries, lambda v, i: F.struct(let(texts(v), entry_score).alias("p"), (-i).alias("o")))
+    return F.when(F.size(entries) < 2, F.get(entries, F.lit(0))).otherwise(F.get(entries, -F.array_max(ranked)["o"]))
 
 
 def best_entry(entries: Column | str) -> Column:
-    """The session that tells most of its place, the first of equals; null without any."""
-    ranked = F.transform(entries, lambda v, i: F.struct(entry_score(v).alias("p"), (-i).alias("o")))
-    return F.get(entries, -F.array_max(ranked)["o"])
+    """best_of() of VARIANTs."""
+    return best_of(entries, lambda v: member_texts(members(v)))
 
 
-def typed_session(v: Column) -> Column:
-    days = F.transform(F.array(first_in(v, "time", "startTime"), first_in(v, "endTime", "end")), lambda t: dates.date_or_text(t))
-    texts = clean_all(venue=first_in(v, "locationName", "venue"), address=first_in(v, "location", "address"), price=first_in(v, "price", "Price"), on_sales=text_in(v, "onSales"))
+def typed_session(m: Column) -> Column:
+    days = F.transform(F.array(first_of(m, "time", "startTime"), first_of(m, "endTime", "end")), lambda t: dates.date_or_text(t))
+    texts = clean_all(venue=first_of(m, "locationName", "venue"), address=first_of(m, "location", "address"), price=first_of(m, "price", "Price"), on_sales=text_of(m, "onSales"))
     of = lambda x: F.struct(
         x["d"][0].alias("time"), x["d"][1].alias("end_time"), x["t"][0].alias("venue"), x["t"][1].alias("address"),
         x["at"]["lat"].alias("lat"), x["at"]["lon"].alias("lon"), x["t"][2].alias("price"), x["t"][3].alias("on_sales"),
     )
-    return let(F.struct(days.alias("d"), texts.alias("t"), point_in(v).alias("at")), of)
+    return let(F.struct(days.alias("d"), texts.alias("t"), point_of(m).alias("at")), of)
 
 
 def told(s: Column) -> Column:
@@ -128,8 +165,10 @@ def flat_texts(c: Column | str) -> Column:
     return trees.leaves(c, IMAGE_MEMBERS)
 
 
-def image_values(v: Column | str) -> Column:
-    return texts_of(v, *IMAGES)
+def image_values(m: Column | str) -> Column:
+    """The texts in image members, of member_texts()."""
+    m = F.col(m) if isinstance(m, str) else m
+    return F.flatten(F.transform(F.filter(F.array(*map(F.lit, IMAGES)), lambda n: F.map_contains_key(m, n)), lambda n: flat_texts(F.try_element_at(m, n)["json"])))
 
 
 def texts_of(v: Column | str, *names: str) -> Column:
@@ -148,11 +187,11 @@ def content_images(values: Column, base: Column, most: int) -> Column:
     return F.slice(F.filter(urls.unique_urls(absolute), lambda u: urls.shows_content(u)), 1, most)
 
 
-def event_url(v: Column | str, base: str = FEED_BASE) -> Column:
+def event_url(m: Column | str, base: str = FEED_BASE) -> Column:
     """The event's own page, against `base` where it is relative: the first link member that is neither blocked nor a ticket host's front page, else the first such URL in the texts that isn't an image."""
     usable = lambda u: (u != "") & ~urls.is_blocked(u) & ~urls.is_ticket_home(u)
-    members = F.transform(F.array(*[F.coalesce(text_in(v, n), F.lit("")) for n in LINKS]), lambda u: urls.normalize_url(u, base))
-    texts = F.array_join(clean_all(**{n: first_in(v, n) for n in LINK_TEXTS}), " ")
+    members = F.transform(F.array(*[F.coalesce(text_of(m, n), F.lit("")) for n in LINKS]), lambda u: urls.normalize_url(u, base))
+    texts = F.array_join(clean_all(**{n: first_of(m, n) for n in LINK_TEXTS}), " ")
     seen = F.transform(F.regexp_extract_all(texts, F.lit(r"""(?i)(https?://[^\s<>"'）)】」]+)"""), 1), lambda u: urls.normalize_url(F.regexp_replace(u, "[。，、；;:]+$", "")))
     picture = r"(?i)\.(?:jpe?g|png|gif|webp|avif)(?:$|\?)"
     return F.coalesce(F.get(F.filter(members, usable), F.lit(0)), F.get(F.filter(seen, lambda u: usable(u) & ~u.rlike(picture)), F.lit(0)), F.lit(""))
@@ -200,49 +239,53 @@ def typed(raw: DataFrame, profiles: list[tuple[str, list[str]]] = (), raw_venue:
 
     raw_venue: keep what the feed called the venue, for a table of profiles. Texts are never null; coordinates and hits may be.
     """
-    rows = raw.select("raw", "ord").withColumn("_title", clean_text(first_in("raw", *TITLE), unescape_all)).where("_title <> ''")
-    rows = rows.withColumns({
-        "_unit": clean_text(first_in("raw", "unit", "organizer", "showUnit", "masterUnit", "org")), "_cat": first_in("raw", "categories", "categoryName", "category"),
-        "_feed": F.coalesce(text_in("raw", "_feedCategory"), F.lit("")), "_url": event_url("raw"),
-    })
-    rows = rows.where(~rules.excluded(F.col("_title"), F.col("_unit"), F.col("_cat"), F.col("_url"), F.col("_feed")))
+    # A plain filter would be pushed below what it reads, into the joins and the parsing that made the raw records, and compute that once for every member.
+    kept = lambda test, **cs: F.inline(F.filter(F.array(F.struct(*[c.alias(n) for n, c in cs.items()])), test))
+    rows = spread(raw.select("raw", "ord"), "ord")
+    rows = rows.select("ord", members("raw").alias("_members")).withColumn("_texts", member_texts(F.col("_members")))
+    rows = rows.select("*", kept(lambda r: r["_title"] != "", _title=clean_text(first_of("_texts", *TITLE), unescape_all)))
+    read = {
+        "_unit": clean_text(first_of("_texts", "unit", "organizer", "showUnit", "masterUnit", "org")), "_cat": first_of("_texts", "categories", "categoryName", "category"),
+        "_feed": F.coalesce(text_of("_texts", "_feedCategory"), F.lit("")), "_url": event_url("_texts"),
+    }
+    rows = rows.select("*", kept(lambda r: ~rules.excluded(F.col("_title"), r["_unit"], r["_cat"], r["_url"], r["_feed"]), **read))
     rows = rows.withColumn("_base", F.when(F.col("_url") != "", F.col("_url")).otherwise(FEED_BASE))
-    rows = rows.withColumn("_entries", session_entries("raw")).withColumn("_show", best_entry("_entries"))
+    rows = rows.withColumn("_entries", F.transform(entries_of(F.col("_members")), lambda v: member_texts(members(v)))).withColumn("_show", best_of("_entries"))
     s = "_show"
     rows = rows.withColumns({
-        "_address": clean_place(first_value(text_in("raw", "address"), text_in("raw", "location"), text_in(s, "location"), text_in(s, "address"))),
-        "_start": dates.date_or_text(first_value(first_in("raw", "startDate", "start", "startTime"), first_in(s, "time", "startTime"))),
-        "_description": clean_text(first_in("raw", *DESCRIPTION), unescape_all), "_at": point_in(s, "raw"),
+        "_address": clean_place(first_value(text_of("_texts", "address"), text_of("_texts", "location"), text_of(s, "location"), text_of(s, "address"))),
+        "_start": dates.date_or_text(first_value(first_of("_texts", "startDate", "start", "startTime"), first_of(s, "time", "startTime"))),
+        "_description": clean_text(first_of("_texts", *DESCRIPTION), unescape_all), "_at": point_of(s, "_texts"),
     })
-    rows = rows.withColumn("_raw_venue", clean_place(first_value(first_in("raw", "venueGroup", "locationName", "venue"), first_in(s, "locationName", "venue"), F.col("_address"), F.lit(UNKNOWN_VENUE))))
+    rows = rows.withColumn("_raw_venue", clean_place(first_value(first_of("_texts", "venueGroup", "locationName", "venue"), first_of(s, "locationName", "venue"), F.col("_address"), F.lit(UNKNOWN_VENUE))))
     rows = rows.withColumn("_venue", venue_name(F.col("_raw_venue"), F.col("_address"), profiles))
-    images = F.concat(image_values("raw"), F.coalesce(image_values(s), F.array().cast("array<string>")), html_images(first_in("raw", "descriptionFilterHtml", "description"), F.col("_base")))
-    price = clean_text(first_value(first_in("raw", "price", "Price"), text_in(s, "price"), first_in("raw", "discountInfo", "charge")))
-    unsold = F.upper(first_value(text_in(s, "onSales"), text_in("raw", "onSales"))) == "N"
-    score, hits = text_in("raw", "sourceUrlMatchScore"), text_in("raw", "hitRate")
+    images = F.concat(image_values("_texts"), F.coalesce(image_values(s), F.array().cast("array<string>")), html_images(first_of("_texts", "descriptionFilterHtml", "description"), F.col("_base")))
+    price = clean_text(first_value(first_of("_texts", "price", "Price"), text_of(s, "price"), first_of("_texts", "discountInfo", "charge")))
+    unsold = first_value(text_of(s, "onSales"), text_of("_texts", "onSales")).isin("N", "n")
+    score, hits = text_of("_texts", "sourceUrlMatchScore"), text_of("_texts", "hitRate")
     rows = rows.withColumns({"_images": content_images(images, F.col("_base"), 8), "_categories": rules.classify("_cat", F.col("_title"), F.col("_description"), feed="_feed")})
     group = F.col("_venue.group")
-    own_id = clean_text(first_in("raw", "id", "UID", "uid", "actId"))
+    own_id = clean_text(first_of("_texts", "id", "UID", "uid", "actId"))
     plain = {
         "place_source": ("coordinateSource",), "transit": ("transitInfo", "transit", "travellinginfo"), "parking": ("parkingInfo", "parkinginfo"), "phone": ("phone", "tel"), "comment": ("comment",),
         "source": ("source", "sourceWebName"), "first_seen": ("firstSeenAt", "first_seen_at"), "last_seen": ("lastSeenAt", "last_seen_at"), "checked_at": ("pageMetadataCheckedAt",), "rejected_url": ("sourceUrlRejected",),
     }
-    rows = rows.withColumn("_plain", clean_all(**{c: first_in("raw", *names) for c, names in plain.items()}))
+    rows = rows.withColumn("_plain", clean_all(**{c: first_of("_texts", *names) for c, names in plain.items()}))
     text = lambda c: F.get("_plain", F.lit(list(plain).index(c)))
     return rows.select(
         F.when(own_id != "", own_id).otherwise(stable_id("_title", "_start", group, "_url", F.col("ord").cast("string"))).alias("id"),
         F.col("_title").alias("title"), F.col("_description").alias("description"), F.col("_url").alias("source_url"),
         F.coalesce(F.get("_images", F.lit(0)), F.lit("")).alias("image"), F.col("_images").alias("images"), F.col("_categories").alias("categories"), F.get("_categories", F.lit(0)).alias("category"),
-        F.col("_start").alias("start_date"), dates.date_or_text(first_value(first_in("raw", "endDate", "end", "endTime"), text_in(s, "endTime"), F.col("_start"))).alias("end_date"),
-        group.alias("venue"), clean_place(first_value(text_in("raw", "venueDetail"), F.col("_venue.detail"))).alias("venue_detail"), F.col("_address").alias("address"),
-        rules.detect_region(F.coalesce(text_in("raw", "region"), F.lit("")), F.coalesce(text_in("raw", "cityName"), F.lit("")), F.col("_address"), group, F.col("_raw_venue")).alias("region"),
+        F.col("_start").alias("start_date"), dates.date_or_text(first_value(first_of("_texts", "endDate", "end", "endTime"), text_of(s, "endTime"), F.col("_start"))).alias("end_date"),
+        group.alias("venue"), clean_place(first_value(text_of("_texts", "venueDetail"), F.col("_venue.detail"))).alias("venue_detail"), F.col("_address").alias("address"),
+        rules.detect_region(F.coalesce(text_of("_texts", "region"), F.lit("")), F.coalesce(text_of("_texts", "cityName"), F.lit("")), F.col("_address"), group, F.col("_raw_venue")).alias("region"),
         F.col("_at.lat").alias("lat"), F.col("_at.lon").alias("lon"),
         F.coalesce(F.nullif(text("place_source"), F.lit("")), F.when(F.col("_at").isNotNull(), "official_feed").otherwise("")).alias("place_source"),
         F.when(price != "", price).when(unsold, FREE).otherwise(UNKNOWN_PRICE).alias("price"), F.col("_unit").alias("organiser"),
         text("transit").alias("transit"), text("parking").alias("parking"), text("phone").alias("phone"), text("comment").alias("comment"),
         F.filter(F.transform("_entries", typed_session), told).alias("sessions"), F.when(hits.rlike(r"^\d{1,18}$"), hits.cast("long")).otherwise(0).alias("hits"),
         F.coalesce(F.nullif(text("source"), F.lit("")), F.lit(FEED)).alias("source"), text("first_seen").alias("first_seen"), text("last_seen").alias("last_seen"),
-        text("checked_at").alias("checked_at"), F.coalesce(F.try_variant_get("raw", "$.sourceUrlVerified", "boolean"), F.lit(False)).alias("verified"),
+        text("checked_at").alias("checked_at"), F.coalesce(F.try_variant_get(F.try_element_at("_members", F.lit("sourceUrlVerified")), "$", "boolean"), F.lit(False)).alias("verified"),
         F.when(score.rlike(r"^\d+(\.\d+)?$"), score.cast("double")).otherwise(0.0).alias("match_score"), text("rejected_url").alias("rejected_url"), "ord", *([F.col("_raw_venue").alias("raw_venue")] if raw_venue else []),
     )
 

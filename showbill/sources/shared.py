@@ -25,3 +25,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/showbill/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt over all cores by a key, some tasks each: rows of a few small files that large expressions are to run over. A number that is given isn't merged by adaptive execution."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
