@@ -20,8 +20,9 @@ OPENERS = r"[\[{]|\\u00[57][bB]"
 
 def kind(v: Column) -> Column:
     """object, array or value."""
-    s = F.schema_of_variant(v)
-    return F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").otherwise("value")
+    listed, named = F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(v, "$", "map<string,variant>")
+    # The schema of a VARIANT is that of all within; its members alone are a cut.
+    return F.when(named.isNotNull(), "object").when(listed.isNotNull(), "array").otherwise("value")
 
 
 def parsed(json: Column | str) -> Column:
@@ -31,7 +32,9 @@ def parsed(json: Column | str) -> Column:
 
 def children(json: Column, of: Column) -> Column:
     """The members or elements of a container in their order: array of struct(name, json, kind); name is null in arrays. A text's json is the text itself."""
-    one = lambda x: F.struct(x["name"].alias("name"), x["json"].alias("json"), F.coalesce(kind(x["v"]), F.lit("value")).alias("kind"))
+    # Only what begins like a container is asked for its kind.
+    opens = lambda t: F.coalesce(t.rlike(r"^\s*[\[{]"), F.lit(False))
+    one = lambda x: F.struct(x["name"].alias("name"), x["json"].alias("json"), F.when(opens(x["json"]), F.coalesce(kind(x["v"]), F.lit("value"))).otherwise("value").alias("kind"))
     texts, values = F.from_json(json, "map<string,string>"), F.from_json(json, "map<string,variant>")
     members = F.arrays_zip(F.map_keys(texts).alias("name"), F.map_values(texts).alias("json"), F.map_values(values).alias("v"))
     items = F.from_json(json, "array<string>")

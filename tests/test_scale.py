@@ -2,7 +2,10 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from showbill.functions import text, urls
+from showbill.operators import trees
 from showbill.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -29,3 +32,11 @@ def test_short_paths_change_nothing(spark):
     finally:
         text.UNCLEAN, text.UNCLEAN_PLACE, urls.PLAIN_URL = patterns
     assert got == want
+
+
+def test_kinds_read_members_only(spark):
+    """The schema of a VARIANT is that of its whole subtree, which each level asked for again."""
+    df = spark.createDataFrame([('{"a": {"b": {}}, "c": "{}", "d": [1], "e": null}',)], "j string")
+    got = df.select(trees.children(F.col("j"), F.lit("object")).alias("c"))
+    assert not re.search("(?i)schema_?of_?variant", got._jdf.queryExecution().optimizedPlan().toString())
+    assert [(c["name"], c["kind"]) for c in got.first()["c"]] == [("a", "object"), ("c", "value"), ("d", "array"), ("e", "value")]
