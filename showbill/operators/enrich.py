@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from showbill.functions import dates, geo, urls
 from showbill.functions.text import clean_place, clean_text, let, title_score, unescape_all
 from showbill.operators import extract, records, rules
-from showbill.sources.shared import written
+from showbill.sources.shared import spread, written
 
 TICKET_SITE = "opentix.life"
 
@@ -58,6 +58,7 @@ def page_metadata(pages: DataFrame) -> DataFrame:
     JSON-LD comes before what patterns find in the text. page_text is what titles are looked for in.
     """
     html = extract.head("html")
+    pages = spread(pages.select("page_id", "url", "html"), "page_id")
     rows = pages.join(extract.json_ld(pages), "page_id", "left").withColumns({"_plain": clean_text(html, unescape_all), "page_title": extract.page_title(html), "_at": F.coalesce(F.col("ld_at"), extract.page_point(html))})
     told = lambda c, other: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)).otherwise(other)
     return rows.select(
@@ -89,7 +90,7 @@ def discovered(asked: DataFrame, pages: DataFrame, follow: int = 4, least: float
     """
     own = asked.join(pages.select("page_id", "url"), "url").select("id", "title", F.col("url").alias("own_url"), "page_id")
     # Links and facts are large expressions: what they give is written, so that later steps are planned over small tables.
-    linked = written(extract.related_pages(pages.join(own.select("page_id").distinct(), "page_id", "left_semi"), follow))
+    linked = written(extract.related_pages(spread(pages.join(own.select("page_id").distinct(), "page_id", "left_semi"), "page_id"), follow))
     reads = own.select("id", "title", "own_url", F.col("own_url").alias("url"), F.lit(0).alias("step")).unionByName(
         own.join(linked, "page_id").select("id", "title", "own_url", F.col("target").alias("url"), F.col("place").alias("step"))
     )

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from showbill.functions import text, urls
-from showbill.operators import trees
+from showbill.operators import enrich, trees
 from showbill.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,3 +40,9 @@ def test_kinds_read_members_only(spark):
     got = df.select(trees.children(F.col("j"), F.lit("object")).alias("c"))
     assert not re.search("(?i)schema_?of_?variant", got._jdf.queryExecution().optimizedPlan().toString())
     assert [(c["name"], c["kind"]) for c in got.first()["c"]] == [("a", "object"), ("c", "value"), ("d", "array"), ("e", "value")]
+
+
+def test_pages_are_dealt_over_cores(spark):
+    """Pages of one small file were searched in one task."""
+    pages = spark.createDataFrame([(1, "https://a.b/c", "<p>x</p>")], "page_id int, url string, html string")
+    assert "RepartitionByExpression [page_id" in enrich.page_metadata(pages)._jdf.queryExecution().optimizedPlan().toString()
