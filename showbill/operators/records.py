@@ -136,8 +136,11 @@ def entry_score(m: Column) -> Column:
 
 def best_of(entries: Column | str, texts=lambda m: m) -> Column:
     """The session that tells most of its place, the first of equals; null without any. entries: member_texts(), or what `texts` makes them of."""
-    ranked = F.transform(entries, lambda v, i: F.struct(let(texts(v), entry_score).alias("p"), (-i).alias("o")))
-    return F.when(F.size(entries) < 2, F.get(entries, F.lit(0))).otherwise(F.get(entries, -F.array_max(ranked)["o"]))
+    def best(es: Column) -> Column:
+        ranked = F.transform(es, lambda v, i: F.struct(let(texts(v), entry_score).alias("p"), (-i).alias("o")))
+        return F.when(F.size(es) < 2, F.get(es, F.lit(0))).otherwise(F.get(es, -F.array_max(ranked)["o"]))
+
+    return let(F.col(entries) if isinstance(entries, str) else entries, best)
 
 
 def best_entry(entries: Column | str) -> Column:

@@ -46,3 +46,9 @@ def test_pages_are_dealt_over_cores(spark):
     """Pages of one small file were searched in one task."""
     pages = spark.createDataFrame([(1, "https://a.b/c", "<p>x</p>")], "page_id int, url string, html string")
     assert "RepartitionByExpression [page_id" in enrich.page_metadata(pages)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sessions_are_read_once(spark):
+    """The sessions were parsed for the scores and again for the best."""
+    df = registry.QUERIES["best_session_argmax"](spark, FOLDER)
+    assert len(re.findall("parseJson", df._jdf.queryExecution().optimizedPlan().toString())) == 1
