@@ -9,11 +9,14 @@ from showbill.functions.text import col, let
 from showbill.sources.shared import written
 
 EARTH_KM = 6371.0
+#: What every coordinate holds. Blank texts aren't read as numbers: each that fails throws inside the JVM, and most records tell no place.
+DIGIT = "[0-9]"
 
 
 def coordinate(c: Column | str, limit: int) -> Column:
     """A number with point or comma within the limit, to 7 places; zero counts as missing."""
-    n = F.expr("try_cast(NULL as double)") if c is None else F.replace(F.trim(col(c).cast("string")), F.lit(","), F.lit(".")).try_cast("double")
+    read = lambda t: F.when(t.rlike(DIGIT), F.replace(F.trim(t), F.lit(","), F.lit(".")).try_cast("double"))
+    n = F.expr("try_cast(NULL as double)") if c is None else let(col(c).cast("string"), read)
     return let(n, lambda x: F.when((x != 0) & x.between(-limit, limit), F.bround(x, 7)))
 
 

@@ -170,8 +170,8 @@ def category_strip_order(spark, d):
 # Whole records
 
 
-def raw_shows(spark, d, *, source: str, last: int = 0):
-    """A raw record per customer from one of three sources, as JSON and typed."""
+def raw_shows(spark, d, *, source: str, of: str = "true", last: int = 0):
+    """A raw record per customer that a source knows (`of`, a condition on k), from one of three sources, as JSON and typed."""
     k = F.col("k")
     text = k.cast("string")
     members = {
@@ -181,7 +181,7 @@ def raw_shows(spark, d, *, source: str, last: int = 0):
     }[source]
     raw = F.to_json(F.struct(text.alias("UID"), F.concat(F.lit("Night Show "), text).alias("title"), F.lit("2026-04-01").alias("endDate"), *members))
     # Typing is a large plan, so what is typed is written before it is joined.
-    return written(records.typed(named(spark, d).select(F.parse_json(raw).alias("raw"), (k + last).alias("ord"))))
+    return written(records.typed(named(spark, d).where(of).select(F.parse_json(raw).alias("raw"), (k + last).alias("ord"))))
 
 
 @query(f"""{_NAMED} SELECT CAST(k AS VARCHAR) AS id, CASE WHEN k % 3 = 0 THEN 'a longer and newer text of show ' || k WHEN k % 6 = 2 THEN 'x' ELSE 'old text of show ' || k END AS description,
@@ -189,9 +189,8 @@ CASE WHEN k % 3 = 0 THEN region WHEN k % 6 = 2 THEN '地點待確認' ELSE natio
 CASE WHEN k % 6 IN (2) THEN '2026-01-02' WHEN k % 2 = 0 THEN '2026-01-01' ELSE '2026-03-10' END AS first_seen, CASE WHEN k % 3 = 0 THEN '2026-03-10' WHEN k % 6 = 2 THEN '2026-01-02' ELSE '2026-01-01' END AS last_seen FROM named WHERE k % 2 = 0 OR k % 3 = 0""")
 def catalogue_update(spark, d):
     """An update end to end: typed records, existing ones of which the last of an id holds, incoming ones merged over them, then by title and dates."""
-    k = F.col("id").cast("long")
-    old = raw_shows(spark, d, source="old").where(k % 2 == 0).unionByName(raw_shows(spark, d, source="old_again", last=1 << 30).where(k % 6 == 2))
-    new = raw_shows(spark, d, source="new").where(k % 3 == 0)
+    old = raw_shows(spark, d, source="old", of="k % 2 = 0").unionByName(raw_shows(spark, d, source="old_again", of="k % 6 = 2", last=1 << 30))
+    new = raw_shows(spark, d, source="new", of="k % 3 = 0")
     out = records.catalogue(new, old, F.lit("2026-03-10").cast("date"), F.lit("2026-03-10"))
     return out.select("id", "description", "venue", "price", "first_seen", "last_seen")
 
@@ -200,14 +199,14 @@ def catalogue_update(spark, d):
 def details_merged(spark, d):
     """Records with the details of those that have some, merged over them."""
     events = raw_shows(spark, d, source="old")
-    details = raw_shows(spark, d, source="new").where(F.col("id").cast("long") % 7 == 0)
+    details = raw_shows(spark, d, source="new", of="k % 7 = 0")
     return enrich.with_details(events, details, 1 << 30).select("id", "venue", "price", "description")
 
 
 @query(f"{_NAMED}, told AS (SELECT k, nation, region, segment, {_PLACE_TOLD} FROM named WHERE k % 2 = 0) SELECT CAST(n.k AS VARCHAR) AS id, t.k IS NOT NULL AS verified, CASE WHEN n.k % 4 = 0 THEN t.venue ELSE n.nation END AS venue, coalesce(t.address, '') AS address, CASE WHEN t.lat BETWEEN 20 AND 27 AND (t.address <> '') THEN 'source_page' ELSE '' END AS place_source FROM named n LEFT JOIN told t USING (k) WHERE n.k % 4 <> 1")
 def pages_enriched(spark, d):
     """Records with what their pages say: a missing address and place, a poor venue's name; half of the pages are there."""
-    events = raw_shows(spark, d, source="old").where("id % 4 <> 1")
+    events = raw_shows(spark, d, source="old", of="k % 4 <> 1")
     k = F.col("id").cast("long")
     events = events.withColumns({"source_url": F.concat(F.lit("https://p.example.org/e/"), "id"), "venue": F.when(k % 4 == 0, records.UNKNOWN_VENUE).otherwise(F.col("venue"))})
     out = enrich.with_pages(events, written_pages(spark, d).where("page_id % 2 = 0"), F.lit("2026-03-10").cast("date"), F.lit("2026-03-10"), most=1 << 30)

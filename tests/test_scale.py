@@ -4,9 +4,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from showbill.functions import text, urls
-from showbill.operators import enrich, trees
-from showbill.plans import registry
+from showbill.functions import geo, text, urls
+from showbill.operators import enrich, records, trees
+from showbill.plans import registry, whole
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -52,3 +52,23 @@ def test_sessions_are_read_once(spark):
     """The sessions were parsed for the scores and again for the best."""
     df = registry.QUERIES["best_session_argmax"](spark, FOLDER)
     assert len(re.findall("parseJson", df._jdf.queryExecution().optimizedPlan().toString())) == 1
+
+
+def test_only_records_that_are_asked_are_typed(spark, monkeypatch):
+    """The records of all customers were typed, three times, and most of them dropped."""
+    seen, typed = [], records.typed
+    monkeypatch.setattr(records, "typed", lambda raw: seen.append(raw.count()) or typed(raw.limit(1)))
+    registry.QUERIES["catalogue_update"](spark, FOLDER)
+    keys = [r[0] for r in whole.named(spark, FOLDER).select("k").collect()]
+    assert seen == [sum(k % 2 == 0 for k in keys), sum(k % 6 == 2 for k in keys), sum(k % 3 == 0 for k in keys)]
+
+
+def test_blank_coordinates_are_not_parsed(spark, monkeypatch):
+    """Each blank threw an exception inside the JVM. The guard changes no coordinate."""
+    odd = ["", " ", "x", "25", " 25,04 ", "1e1", "1d", "NaN", "Infinity", "-inf", "0", "0x1p3", "٢٥", "25..", "+25", ".5", "90.1", "121.5", None]
+    df = spark.createDataFrame([(a, b) for a in odd for b in ("121.5", "", "25")], "a string, b string")
+    pair = lambda: df.select(geo.coordinate_pair("a", "b"))
+    assert "RLIKE(" in pair()._jdf.queryExecution().optimizedPlan().toString().upper()
+    got = pair().collect()
+    monkeypatch.setattr(geo, "DIGIT", r"(?s)\A.*")
+    assert got == pair().collect()
