@@ -15,6 +15,8 @@ from showbill.operators import extract, records, rules
 from showbill.sources.shared import spread, written
 
 TICKET_SITE = "opentix.life"
+#: Lists of ids up to this length are broadcast; longer ones are joined as Spark sees fit.
+MOST_SENT = 100_000
 
 
 def _lacks(description_chars: int) -> Column:
@@ -31,8 +33,9 @@ def with_details(events: DataFrame, details: DataFrame, most: int = 250) -> Data
     """events with the records of `details` (typed records, by id) merged over those that ask for them; other records stay as they are."""
     asked = detail_candidates(events, most).select("id")
     extra = details.join(asked, "id", "left_semi").withColumn("ord", F.lit(1 << 60).cast("long") + F.col("ord"))
-    # Of all records only those with details are merged; both parts are semi-joins on a list of at most `most` ids.
-    ids = F.broadcast(extra.select("id").distinct())
+    # Of all records only those with details are merged; both parts are semi-joins on a list of at most `most` ids, which goes to every task only where that is few.
+    ids = extra.select("id").distinct()
+    ids = F.broadcast(ids) if most <= MOST_SENT else ids
     both = events.join(ids, "id", "left_semi").unionByName(extra.select(events.columns))
     merged = records.merged(both.withColumn("_id", F.col("id")), "_id").drop("_id", "_n")
     return events.join(ids, "id", "left_anti").unionByName(merged.select(events.columns))

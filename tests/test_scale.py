@@ -72,3 +72,11 @@ def test_blank_coordinates_are_not_parsed(spark, monkeypatch):
     got = pair().collect()
     monkeypatch.setattr(geo, "DIGIT", r"(?s)\A.*")
     assert got == pair().collect()
+
+
+def test_long_lists_of_ids_are_not_broadcast(spark):
+    """with_details sent the ids of all details to every task, however many are asked for."""
+    one = spark.createDataFrame([('{"UID": "1", "title": "t"}',)], "j string").select(F.parse_json("j").alias("raw"), F.lit(1).cast("long").alias("ord"))
+    events = records.written(records.typed(one))
+    hinted = lambda most: "strategy=broadcast" in enrich.with_details(events, events, most)._jdf.queryExecution().optimizedPlan().toString()
+    assert hinted(250) and not hinted(1 << 30)
