@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from showbill.functions import dates, geo, text, urls
 from showbill.operators import enrich, extract, facets, listing, overlay, pages, recommend, records, resolve, rules
 from showbill.operators.listing import ListingQuery
+from showbill.sources.shared import spread, written
 
 TODAY = datetime.date(1998, 8, 2)
 QUERIES: dict = {}
@@ -476,7 +477,9 @@ pairs AS (SELECT item_id, doc_id FROM rarest JOIN d USING (run))"""
 
 
 def pairs(spark, d):
-    """item_id, title, doc_id and body of every benchmark text and each document that holds its rarest run of words. Documents' runs that no item has are left where they are found."""
+    """item_id, title, doc_id and body of every benchmark text and each document that holds its rarest run of words. Documents' runs that no item has are left where they are found.
+
+    The runs that are met, and the pairs, are written: documents are cut into runs once, and where the pairs are few their texts are fetched without a shuffle of all."""
 
     def runs(df, key):
         words = F.regexp_extract_all(F.lower("text"), F.lit(r"([^\x20\x09-\x0D]+)"))
@@ -485,10 +488,11 @@ def pairs(spark, d):
 
     items, docs = table(spark, d, "benchmark"), table(spark, d, "documents")
     asked = runs(items, "item_id")
-    met = runs(docs, "doc_id").join(asked.select("run").distinct(), "run", "left_semi")
+    met = written(runs(docs, "doc_id").join(asked.select("run").distinct(), "run", "left_semi"))
     rarest = asked.join(met.groupBy("run").agg(F.count("*").alias("n")), "run").groupBy("item_id").agg(F.min(F.struct("n", "run")).alias("r")).select("item_id", "r.run")
-    found = rarest.join(met, "run").select("item_id", "doc_id")
-    return found.join(items.select("item_id", F.col("text").alias("title")), "item_id").join(docs.select("doc_id", F.col("text").alias("body")), "doc_id")
+    found = written(rarest.join(met, "run").select("item_id", "doc_id"))
+    texts = docs.select("doc_id", F.col("text").alias("body")).join(found, "doc_id").join(items.select("item_id", F.col("text").alias("title")), "item_id")
+    return spread(texts.select("item_id", "title", "doc_id", "body"), "item_id", "doc_id")
 
 
 @query(_PAIRS + r""", p AS (SELECT item_id, doc_id, regexp_replace(lower(b.text), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(split_part(t.text, chr(10), 1)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id)),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from showbill.functions import geo, text, urls
 from showbill.operators import enrich, recommend, records, trees
-from showbill.plans import registry, whole
+from showbill.plans import catalogue, registry, whole
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -91,3 +91,15 @@ def test_related_pairs_are_not_gathered(spark):
     labels = lambda e: set(e[2] or []) - {None}
     want = [(s[0], e[0]) for s in rows for e in rows if s[0] not in (2, e[0]) and (s[1] == e[1] is not None or labels(s) & labels(e))]
     assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_documents_are_cut_into_runs_once(spark):
+    """Runs of words were made twice, and all documents' texts shuffled for a few pairs."""
+    plan = catalogue.pairs(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
+def test_bigrams_of_odd_texts(spark):
+    odd = ["", "a", "ab", "aaa", "館a館", "a😀b😀", "x" * 5000 + "y", "a\nb", ".*|"]
+    got = spark.createDataFrame([(t,) for t in [*odd, None]], "t string").select("t", text.bigrams("t").alias("b")).collect()
+    assert [r["b"] for r in got[:-1]] == [list(dict.fromkeys(t[i : i + 2] for i in range(len(t) - 1))) for t in odd] and got[-1]["b"] == [None]
