@@ -170,7 +170,8 @@ def title_tokens(title: Column | str) -> Column:
 
 def token_coverage(title: Column | str, plain: Column) -> Column:
     """The share of a title's tokens that a compact text holds; null without tokens."""
-    return let(title_tokens(title), lambda ts: F.try_divide(F.size(F.filter(ts, lambda t: F.contains(plain, t))), F.size(ts)))
+    told = lambda x: F.try_divide(F.size(F.filter(x["ts"], lambda t: F.contains(x["plain"], t))), F.size(x["ts"]))
+    return let(F.struct(title_tokens(title).alias("ts"), plain.alias("plain")), told)
 
 
 def title_score(expected: Column | str, candidate: Column | str, page: Column | str | None = None, ratio: bool = True) -> Column:

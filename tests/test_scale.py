@@ -99,6 +99,14 @@ def test_documents_are_cut_into_runs_once(spark):
     assert "regexp_extract_all" not in plan
 
 
+def test_compared_texts_are_computed_once(spark):
+    """A page was compacted anew for each token of a title, a title for each of its characters. No lambda takes a Python function, so these only run if the text is computed outside."""
+    df = spark.createDataFrame([("night show, day fair", "Night Show")], "e string, p string")
+    own = F.udf(lambda t: t.lower(), "string")
+    got = df.select(text.token_coverage("e", own("p")).alias("none"), text.token_coverage("e", F.replace(own("p"), F.lit(" "), F.lit(""))).alias("half"), text.bigrams(F.left(own("p"), F.lit(3))).alias("b"), text.title_score("e", own("p"), "p").alias("s")).first()
+    assert (got["none"], got["half"], got["b"], got["s"]) == (0.5, 0.5, ["ni", "ig"], 0.88)
+
+
 def test_bigrams_of_odd_texts(spark):
     odd = ["", "a", "ab", "aaa", "館a館", "a😀b😀", "x" * 5000 + "y", "a\nb", ".*|"]
     got = spark.createDataFrame([(t,) for t in [*odd, None]], "t string").select("t", text.bigrams("t").alias("b")).collect()
