@@ -24,9 +24,11 @@ PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: A word with the space before it, or white space; no pre-token crosses the ends of these. The class is Unicode's White_Space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
-#: A pair's rank and the id that it merges to share one integer, so that the smaller rank is the smaller number.
+#: Two ids share one integer. So do a pair's rank and its place, so that the smaller number is the smaller rank and, of equal ranks, the pair farther left: the least one says where it is.
 ID_BITS = 20
-NO_PAIR = 1 << 60
+PLACE_BITS = 32
+PLACE = (1 << PLACE_BITS) - 1
+NO_PAIR = 1 << (PLACE_BITS + ID_BITS)
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -59,63 +61,71 @@ class Codec:
         vocab = spec["model"]["vocab"]
         of_letter = {c: b for b, c in enumerate(letters)}
         self.byte_id = [vocab[c] for c in letters]
-        self.merges = {}
+        self.merges, self.made = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a] << ID_BITS | vocab[b]] = rank << ID_BITS | vocab[a + b]
+            self.merges[vocab[a] << ID_BITS | vocab[b]] = rank << PLACE_BITS
+            self.made.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: bytes(of_letter[c] for c in word) for word, i in vocab.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.chunks, self.pieces = re.compile(CHUNK), regex.compile(PRETOKEN)
+        self.id_text = {i: str(i) for i in self.bytes_of}
         self.bytes_of_text = {str(i): b for i, b in self.bytes_of.items()}
         self.remembered = remembered
         self.young: dict[str, str] = {}
         self.old: dict[str, str] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token. low is a segment tree of minima over the adjacent pairs; its root is the next merge."""
-        ids = [self.byte_id[b] for b in piece]
-        n, pair = len(ids), self.merges.get
+        """The ids of one pre-token. low is a segment tree of minima over the adjacent pairs; its root is the next merge. Leaves that stay as they are climb nowhere."""
+        ids = list(map(self.byte_id.__getitem__, piece))
+        n, pair, made = len(ids), self.merges.get, self.made
         if n < 2:
             return ids
         width = 1 << (n - 2).bit_length()
         low = [NO_PAIR] * (2 * width)
-        low[width : width + n - 1] = [pair(a << ID_BITS | b, NO_PAIR) for a, b in zip(ids, ids[1:])]
+        at, a = width, ids[0]
+        for b in ids[1:]:
+            if (rank := pair(a << ID_BITS | b)) is not None:
+                low[at] = rank + at
+            at, a = at + 1, b
         for i in range(width - 1, 0, -1):
             a, b = low[2 * i], low[2 * i + 1]
             low[i] = a if a <= b else b
+
+        def put(at: int, a: int):
+            low[at] = a
+            while at > 1:
+                b = low[at ^ 1]
+                at >>= 1
+                if b < a:
+                    a = b
+                if low[at] == a:
+                    break
+                low[at] = a
+
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        mask = (1 << ID_BITS) - 1
-        while (least := low[1]) != NO_PAIR:
-            i = 1
-            while i < width:
-                i *= 2
-                if low[i] != least:
-                    i += 1
-            i -= width
+        while (least := low[1]) < NO_PAIR:
+            at = least & PLACE
+            i = at - width
             j = after[i]
-            ids[i], ids[j] = least & mask, -1
+            ids[i] = one = made[least >> PLACE_BITS]
+            ids[j] = -1
             after[i] = k = after[j]
-            changes = [(j, NO_PAIR)] if j < n - 1 else []
+            found = NO_PAIR
             if k < n:
                 before[k] = i
-                changes.append((i, pair(ids[i] << ID_BITS | ids[k], NO_PAIR)))
-            else:
-                changes.append((i, NO_PAIR))
+                if low[width + j] != NO_PAIR:
+                    put(width + j, NO_PAIR)
+                if (rank := pair(one << ID_BITS | ids[k])) is not None:
+                    found = rank + at
+            put(at, found)
             if (h := before[i]) >= 0:
-                changes.append((h, pair(ids[h] << ID_BITS | ids[i], NO_PAIR)))
-            for at, value in changes:
-                at += width
-                low[at] = value
-                while at > 1:
-                    a, b = low[at], low[at ^ 1]
-                    at >>= 1
-                    if b < a:
-                        a = b
-                    if low[at] == a:
-                        break
-                    low[at] = a
+                rank = pair(ids[h] << ID_BITS | one)
+                found = NO_PAIR if rank is None else rank + width + h
+                if low[width + h] != found:
+                    put(width + h, found)
         return [i for i in ids if i >= 0]
 
     def keep(self, part: str, ids: str) -> str:
@@ -129,7 +139,7 @@ class Codec:
         """The ids of a pre-token, joined by commas."""
         got = self.young.get(piece)
         if got is None:
-            got = self.keep(piece, self.old.get(piece) or ",".join(map(str, self.merge(piece.encode("utf-8")))))
+            got = self.keep(piece, self.old.get(piece) or ",".join(map(self.id_text.__getitem__, self.merge(piece.encode("utf-8")))))
         return got
 
     def chunk_ids(self, chunk: str) -> str:
@@ -137,6 +147,9 @@ class Codec:
         got = self.old.get(chunk)
         if got is not None:
             return self.keep(chunk, got)
+        # ASCII letters after a space at most are one pre-token, which the pattern need not find.
+        if chunk.isascii() and chunk.removeprefix(" ").isalpha():
+            return self.keep(chunk, ",".join(map(self.id_text.__getitem__, self.merge(chunk.encode("utf-8")))))
         pieces = self.pieces.findall(chunk)
         if len(pieces) == 1:
             return self.piece_ids(chunk)

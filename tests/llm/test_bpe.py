@@ -41,3 +41,11 @@ def test_report_over_a_table(spark):
 def test_round_trip(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
     assert dict(bpe.decode(bpe.encode(docs)).collect()) == dict(enumerate(TEXTS))
+
+
+def test_plain_words_need_no_pattern(own, monkeypatch):
+    """Every word that wasn't remembered was searched by the pre-token pattern, though ASCII letters are one pre-token."""
+    want = own.encode(" abracadabra")
+    own.young, own.old = {}, {}
+    monkeypatch.setattr(own, "pieces", None)
+    assert own.encode(" abracadabra") == want and own.decode(want) == " abracadabra"
