@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from tokenizers import Tokenizer
@@ -49,3 +50,31 @@ def test_plain_words_need_no_pattern(own, monkeypatch):
     own.young, own.old = {}, {}
     monkeypatch.setattr(own, "pieces", None)
     assert own.encode(" abracadabra") == want and own.decode(want) == " abracadabra"
+
+
+def test_new_words_are_merged_side_by_side(own, monkeypatch):
+    """Each word that wasn't remembered had a tree of its own, in Python; only few or very long ones have."""
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("aeinorstué日", k=rng.randint(4, 9))) for _ in range(500)})
+    texts = [" ".join(words[:300]), " ".join(words[250:]), "", words[0]]
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    alone, merge = [], own.merge
+    monkeypatch.setattr(own, "merge", lambda piece: alone.append(piece) or merge(piece))
+    own.young, own.old = {}, {}
+    assert [ids.tolist() for ids in own.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(alone) < 3 * bpe.FEW
+
+
+@pytest.mark.parametrize("remembered", [3, 150_000])
+def test_random_texts_equal_the_library(remembered):
+    """White space of every kind beside other, signs, contractions, NUL, pre-tokens of all widths."""
+    rng = random.Random(remembered)
+    own, library = bpe.Codec(bpe.vocabulary_path(), remembered), Tokenizer.from_file(bpe.vocabulary_path())
+    marks = [" ", " ", " ", "\n", "\n\n", " \n", "\t", "　", "\x85", "\0", "'s", "'", "'ll", ",", ".\n", "%%%", "×", "÷", "ǃ", "ɐ", "12", "½", "<|endoftext|>", "<|", "é", "é", "ß", "日本", "🙂"]
+    texts = ["".join(rng.choice(marks) if rng.random() < 0.5 else "".join(rng.choices("abcdehinorstuéñö", k=rng.choice([1, 3, 8, 20, 60, 130, 300]))) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    for text, ids in zip(texts, own.encode_all(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want
+        assert own.decimal(ids).decode() == ",".join(map(str, want))
+        assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
+    assert len(own.young) <= remembered and len(own.old) <= remembered
