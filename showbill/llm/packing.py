@@ -19,15 +19,16 @@ import os
 import sys
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from showbill.llm.bpe import byte_letters
-from showbill.llm.common import kept, running_sum, settle, slices
+from showbill.llm.common import SPACE_BYTES, kept, running_sum, settle, slices
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -36,33 +37,64 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Chunks(dict):
-    """Ids by chunk: what isn't there is taken from the generation before, else encoded, and kept if it is short."""
+#: Classes of bytes: white space, letters, digits, punctuation, and what only the library splits.
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
 
-    def __init__(self, encode: Callable[[bytes], bytes], old: dict[bytes, bytes]):
+
+def byte_classes() -> np.ndarray:
+    """The class of each byte that stands alone."""
+    classes = np.full(256, ODD, np.uint8)
+    classes[0x21:0x7F] = SIGN
+    classes[list(b"abcdefghijklmnopqrstuvwxyz")] = LETTER
+    classes[list(b"0123456789")] = DIGIT
+    classes[list(SPACE_BYTES)] = SPACE
+    return classes
+
+
+def lowered_latin() -> np.ndarray:
+    """The lower case of each letter from U+0080 to U+024F whose lower case is one of them too; else 0. All of these are their own composed form."""
+    lower = [chr(c).lower() if chr(c).isalpha() else "" for c in range(0x250)]
+    return np.array([ord(x) if c >= 0x80 and len(x) == 1 and "\x80" <= x < "\u0250" else 0 for c, x in enumerate(lower)] + [0] * 0x30, np.uint16)
+
+
+def contents(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of a whole binary array end to end, and where its values begin, with the end."""
+    _, ends, data = values.buffers()
+    return data.to_pybytes() if data else b"", np.frombuffer(ends, np.int32, len(values) + 1) if len(values) else np.zeros(1, np.int32)
+
+
+def objects(values: pa.Array) -> list[bytes]:
+    """The values of a whole binary array; to_pylist takes several times as long."""
+    data, ends = contents(values)
+    return [data[a:b] for a, b in itertools.pairwise(ends.tolist())]
+
+
+class Pieces(dict):
+    """Ids by piece: what isn't there is taken from the generation before, else encoded, and kept if it is short and there is room."""
+
+    def __init__(self, encode: Callable[[bytes], bytes], old: dict[bytes, bytes], room: int):
         super().__init__()
-        self.encode, self.old = encode, old
+        self.encode, self.old, self.room = encode, old, room
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.old.get(chunk)
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.old.get(piece)
         if ids is None:
-            ids = self.encode(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
+            ids = self.encode(piece)
+        if len(piece) <= 64 and len(self) < self.room:
+            self[piece] = ids
         return ids
 
 
 class WordEncoder:
-    """Token ids of whole texts by the tokenizers library, which is asked once for each word and each chunk between ASCII white space.
+    """Token ids of whole texts by the tokenizers library, which is asked once for each word and each run of punctuation of many texts.
 
-    Only for vocabularies whose normaliser lowers case and whose tokens never cross white space nor the border of letters and punctuation. A chunk of
-    Latin letters with ASCII punctuation around it is its parts' ids, and its word is given to the library's merge model at once: such
-    a word is what normaliser and splitter leave of itself. All other chunks go through the library's whole encoder. Chunks and words are remembered
-    in two generations: where the young one has `remembered` entries at the end of a text it becomes the old one, so what is in use stays (some 160 MB a worker).
+    Only for vocabularies whose normaliser lowers case and whose tokens cross neither white space nor the borders of letters, digits, punctuation and English contractions.
+    Texts are joined and split in arrays: what is ASCII or Latin letters is what normaliser and splitter of the library leave, so its
+    pieces are given to the library's merge model at once. A chunk between ASCII white space that holds anything else is a piece that goes through the library's whole encoder. Pieces
+    are remembered in two generations: where the young one has `remembered` entries at the end of some texts it becomes the old one, so what is in use stays (some 160 MB a worker).
     """
 
-    #: Punctuation that is a token run of its own before and after letters; apostrophes may begin a contraction.
-    MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+    CLASSES, LATIN = byte_classes(), lowered_latin()
 
     def __init__(self, path: str, remembered: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,7 +108,7 @@ class WordEncoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.remembered = remembered
-        self.known = Chunks(self.chunk, {})
+        self.known = Pieces(self.piece, {}, remembered)
 
     def coded(self, ids: Iterable[int]) -> bytes:
         found = array(self.code, ids)
@@ -87,39 +119,86 @@ class WordEncoder:
     def whole(self, text: bytes) -> bytes:
         return self.coded(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
-    def merged(self, run: bytes) -> bytes:
-        """The ids of a run of letters, or of punctuation, that is one token run. ASCII stands for itself in the vocabulary, other bytes for letters."""
-        return self.coded([t.id for t in self.model.tokenize(run.decode("ascii") if run.isascii() else run.decode("latin-1").translate(self.letters))])
-
-    def chunk(self, chunk: bytes) -> bytes:
-        """The ids of a chunk whose ASCII letters are in lower case."""
-        if chunk.isalpha():
-            return self.merged(chunk)
-        after = chunk.lstrip(self.MARKS)
-        word = after.rstrip(self.MARKS)
-        if not word.isalpha():
-            try:
-                text = word.decode("utf-8")
-            except UnicodeDecodeError:
-                return self.whole(chunk)
+    def piece(self, piece: bytes) -> bytes:
+        """The ids of a piece as `split` gives it. In the merge model ASCII stands for itself, other bytes for letters."""
+        try:
+            text = piece.decode("utf-8")
+        except UnicodeDecodeError:
+            return self.whole(piece)
+        if not piece.isascii():
             if not text.isalpha() or max(text) >= "\u0250" or text != text.lower():
-                return self.whole(chunk)
-        if len(word) == len(chunk):
-            return self.merged(word)
-        ids = self.known[word]
-        if len(after) < len(chunk):
-            ids = self.known[chunk[: len(chunk) - len(after)]] + ids
-        return ids + self.known[after[len(word) :]] if len(word) < len(after) else ids
-
-    def encode(self, text: bytes, end: int) -> bytes:
-        """The ids of a text in UTF-8, and the id `end`, as an array's bytes. Texts that may hold a special token, which all begin with <|, are the library's alone."""
-        if b"<|" in text:
-            return self.whole(text) + self.coded([end])
-        ids = b"".join(map(self.known.__getitem__, text.lower().split()))
+                return self.whole(piece)
+            text = piece.decode("latin-1").translate(self.letters)
+        elif not text.isprintable():
+            return self.whole(piece)
+        return self.coded([t.id for t in self.model.tokenize(text)])
+
+    def split(self, text: bytes) -> tuple[np.ndarray, pa.Array]:
+        """Where the pieces of a text that ends with white space begin, and the pieces, in lower case."""
+        raw = np.frombuffer(bytearray(text.lower()), np.uint8)
+        kind = self.CLASSES.take(raw)
+        if not text.isascii():
+            at = np.flatnonzero((raw >= 0xC2) & (raw <= 0xC9))
+            after = raw[at + 1]
+            low = np.where(after >> 6 == 2, self.LATIN.take((raw[at] & 31).astype(np.intp) << 6 | after & 63), 0)
+            at, low = at[low > 0], low[low > 0]
+            raw[at], raw[at + 1] = 0xC0 | low >> 6, 0x80 | low & 63
+            kind[at] = kind[at + 1] = LETTER
+        first = kind == DIGIT
+        first[0] = True
+        first[1:] |= kind[1:] != kind[:-1]
+        # A contraction's apostrophe begins a run, and letters follow it; what follows the contraction begins anew.
+        quote = np.flatnonzero((raw == ord("'")) & first)
+        quote = quote[kind[quote + 1] == LETTER]
+        one, two = raw[quote + 1], raw[np.minimum(quote + 2, len(raw) - 1)]
+        short = quote[np.isin(one, list(b"stmd"))]
+        long = quote[(two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l"))]
+        first[short + 1] = first[long + 1] = False
+        first[short + 2] = first[long + 3] = True
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):
+            spaces = np.flatnonzero(kind == SPACE)
+            chunk = np.unique(np.searchsorted(spaces, odd))
+            turns = np.zeros(len(raw) + 1, np.int8)
+            turns[np.where(chunk > 0, spaces[chunk - 1] + 1, 0) + 1] = 1
+            turns[spaces[chunk]] -= 1
+            first &= np.cumsum(turns[:-1], dtype=np.int8) == 0
+        at = np.flatnonzero(first)
+        length = np.diff(at, append=len(raw))
+        dense = kind != SPACE
+        own = dense[at]
+        ends = np.zeros(np.count_nonzero(own) + 1, np.int32)
+        np.cumsum(length[own], out=ends[1:])
+        return at[own], pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw[dense])])
+
+    def encode_all(self, texts: Sequence[bytes], end: int) -> list[bytes]:
+        """The ids of each text in UTF-8, and the id `end`, as arrays' bytes. Texts that may hold a special token, which all begin with <|, are the library's alone."""
+        special = {i: self.whole(t) for i, t in enumerate(texts) if b"<|" in t}
+        plain = [b"" if i in special else t for i, t in enumerate(texts)]
+        at, pieces = self.split(b" ".join([*plain, b""]) or b" ")
+        coded = pieces.dictionary_encode()
+        ids = pa.array(list(map(self.known.__getitem__, objects(coded.dictionary))), pa.binary()).take(coded.indices)
         if len(self.known) >= self.remembered:
             self.known.old = {}
-            self.known = Chunks(self.chunk, self.known)
-        return ids + self.coded([end])
+            self.known = Pieces(self.piece, self.known, self.remembered)
+        packed, ends = contents(ids)
+        cut = ends[np.searchsorted(at, np.cumsum([0, *[len(t) + 1 for t in plain]]))].tolist()
+        last = self.coded([end])
+        return [special.get(i, packed[a:b]) + last for i, (a, b) in enumerate(itertools.pairwise(cut))]
+
+    def encode(self, text: bytes, end: int) -> bytes:
+        return self.encode_all([text], end)[0]
+
+
+def portions(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of whole rows with at most `size` bytes of text, or one row."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield b.slice(at, upto - at)
+            at = upto
 
 
 def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
@@ -129,8 +208,8 @@ def tokenized(docs: DataFrame, path: str, end: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = kept(("words", path), lambda: WordEncoder(path))
-        for b in slices(batches, 128):
-            ids = [own.encode(t, end) for t in b.column("text").to_pylist()]
+        for b in portions(batches):
+            ids = own.encode_all(b.column("text").to_pylist(), end)
             n = pa.array([len(x) // own.dtype.itemsize for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("_row"), b.column("doc_id"), b.column("source"), n, pa.array([own.dtype.itemsize] * len(ids), pa.int32()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["_row", "doc_id", "source", "n", "width", "order", "ids"])
 
@@ -225,7 +304,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, least: in
             flat = b.column("pieces").flatten()
             counts = b.column("pieces").value_lengths().to_numpy(zero_copy_only=False)
             place = np.repeat(np.arange(b.num_rows), counts)
-            cuts = iter(zip(flat.field("start").to_pylist(), flat.field("length").to_pylist()))
+            cuts = iter(zip(flat.field("start").to_numpy().tolist(), flat.field("length").to_numpy().tolist()))
             crc = []
             for ids, width, n in zip(b.column("ids").to_pylist(), b.column("width").to_pylist(), counts.tolist()):
                 wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4")).cast("B")

@@ -2,11 +2,13 @@
 
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +180,53 @@ def test_encoder_is_the_library(library):
         assert ids == [*library.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def test_encoder_asks_once_for_each_piece(library):
+    """Words beside punctuation, contractions, digits and Latin capitals don't need the library's whole encoder, and each piece is merged once."""
+    own, asked = packing.WordEncoder(packing.vocabulary_path()), []
+    merge = own.model
+
+    class Model:
+        def tokenize(self, piece):
+            asked.append(piece)
+            return merge.tokenize(piece)
+
+    def whole(text):
+        raise AssertionError(text)
+
+    own.model, own.whole = Model(), whole
+    text = "The word, the word. (THE) word! Don't; it's word's 'word' we'll 21, 12 Été éTÉ, word..."
+    for _ in range(2):
+        assert np.frombuffer(own.encode(text.encode(), 1), own.dtype).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+    assert len(asked) == len(set(asked))
+
+
+ODD_PARTS = [
+    *"abstmdrevlSTRELV'''',.-_#01 \t\n\r\x0b\x0c\x00\x1c\x7f", "'s", "'re", "'ll", "don't", "<|", "|>", "<|endoftext|>",
+    *"ÉéßẞİıŸªµ×́ſǅǆȺʰɐЖ中١ \u0085 ’ﬁᄒ가‍Å²\U0001f600",
+]
+
+
+@pytest.mark.parametrize("remembered", [7, 400_000])
+def test_texts_encoded_together_are_the_library(library, remembered):
+    own, pick = packing.WordEncoder(packing.vocabulary_path(), remembered), random.Random(13)
+    for _ in range(1500):
+        texts = ["".join(pick.choices(ODD_PARTS, k=pick.randrange(24))) for _ in range(pick.randrange(1, 5))]
+        got = [np.frombuffer(ids, own.dtype).tolist() for ids in own.encode_all([t.encode() for t in texts], 1)]
+        assert got == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        assert len(own.known) <= remembered
+    for _ in range(500):
+        text = bytes(pick.choices(b"ab's \xc3\xa9\xe2\x80\x99\xc9\xff\xc2", k=pick.randrange(14)))
+        assert np.frombuffer(own.encode(text, 1), own.dtype).tolist() == [*library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, 1]
+
+
+def test_portions_are_whole_rows():
+    texts = [b"", b"abc", b"d" * 50, b"", b"ef", b"ghijk", b"lmnopqrs", b""]
+    batch = pa.record_batch({"text": texts})
+    parts = [b.column("text").to_pylist() for b in packing.portions(iter([batch, batch.slice(3, 3)]), 10)]
+    assert [t for p in parts for t in p] == texts + texts[3:6]
+    assert all(len(p) == 1 or sum(map(len, p)) <= 10 for p in parts) and len(parts) == 5
+
+
 def robin(queues, quanta, packets):
     """Deficit round-robin step by step: (source, packet, tokens) in the order of sending."""
     sent, deficit, at = [], dict.fromkeys(queues, 0), dict.fromkeys(queues, 0)
