@@ -13,7 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-BLANK = r"(?U)^\s+|\s+$"
+#: A run of blanks is followed to the end from its first one only.
+BLANK = r"(?U)^\s+|(?<!\s)\s+$"
 
 
 def col(c: Column | str) -> Column:
@@ -92,6 +93,11 @@ def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+def untagged(t: Column, decode=unescape) -> Column:
+    """Decoded, line-break tags as line feeds, other tags dropped. After a < that nothing closes the rest is taken at once and left as it is; each < of it would otherwise be followed to the end."""
+    return F.regexp_replace(F.regexp_replace(decode(t), r"(?i)<br\s*/?>", "\n"), r"(<[^>]++\z)|<[^>]++>", "$1")
+
+
 #: What cleaning changes: entities, tags, blanks other than single spaces, and any at the ends. Most fields hold none of it and are left as they are.
 UNCLEAN = r"(?U)[&<\t\r\n\f\x0B]|  |^\s|\s$"
 
@@ -100,9 +106,7 @@ def clean_text(c: Column | str, decode=unescape) -> Column:
     """Decoded, line-break tags as line feeds, other tags dropped, runs of blanks and of empty lines shortened, trimmed; null gives an empty string."""
 
     def cleaned(t: Column) -> Column:
-        t = F.regexp_replace(decode(t), r"(?i)<br\s*/?>", "\n")
-        t = F.regexp_replace(t, r"<[^>]+>", "")
-        t = F.regexp_replace(t, r"[ \t\r\f\x0B]+", " ")
+        t = F.regexp_replace(untagged(t, decode), r"[ \t\r\f\x0B]+", " ")
         return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
 
     return let(F.coalesce(col(c), F.lit("")), lambda t: F.when(t.rlike(UNCLEAN), cleaned(t)).otherwise(t))
@@ -174,11 +178,12 @@ def token_coverage(title: Column | str, plain: Column) -> Column:
     return let(F.struct(title_tokens(title).alias("ts"), plain.alias("plain")), told)
 
 
-def title_score(expected: Column | str, candidate: Column | str, page: Column | str | None = None, ratio: bool = True) -> Column:
+def title_score(expected: Column | str, candidate: Column | str, page: Column | str | None = None, ratio: bool = True, plain: Column | str | None = None) -> Column:
     """How surely a page titled `candidate` is about `expected`, 0 to 1, to 4 places: the best of several measures.
 
     The ratio of matching blocks (a Python function, left out with ratio=False), containment either way, the share of
-    the expected title's pairs of characters, whether the title occurs in the page's first 240,000 characters, and the share of its tokens that do.
+    the expected title's pairs of characters, whether the title occurs in the whole page, and the share of its tokens that do.
+    plain: the page compacted, instead of it, where it is compared with many titles.
     """
     zero = F.lit(0.0)
     titles = [compact_title(expected), compact_title(candidate)]
@@ -188,9 +193,9 @@ def title_score(expected: Column | str, candidate: Column | str, page: Column |
         e, c = x["e"], x["c"]
         held = let(bigrams(e), lambda b: F.coalesce(F.try_divide(F.size(F.array_intersect(b, bigrams(c))), F.size(b)), zero))
         best = F.when(c == "", zero).otherwise(F.greatest(F.when(F.contains(c, e), 0.98).when((F.length(c) >= 6) & F.contains(e, c), 0.88).otherwise(zero), held, x["ratio"]))
-        if page is not None:
+        if page is not None or plain is not None:
             on_page = lambda plain: F.when(plain == "", zero).otherwise(F.greatest(F.when(F.contains(plain, e), 0.92).otherwise(zero), 0.82 * F.coalesce(token_coverage(expected, plain), zero)))
-            best = F.greatest(best, let(compact_title(F.substring(col(page), 1, 240_000)), on_page))
+            best = F.greatest(best, let(compact_title(page) if plain is None else col(plain), on_page))
         return F.when(e == "", zero).otherwise(F.bround(best, 4))
 
     return let(read, scored)

@@ -476,10 +476,11 @@ held AS (SELECT run, count(*) AS n FROM d WHERE run IN (SELECT run FROM q) GROUP
 pairs AS (SELECT item_id, doc_id FROM rarest JOIN d USING (run))"""
 
 
-def pairs(spark, d):
-    """item_id, title, doc_id and body of every benchmark text and each document that holds its rarest run of words. Documents' runs that no item has are left where they are found.
+def pairs(spark, d, **told):
+    """item_id, title and doc_id of every benchmark text and each document that holds its rarest run of words. Documents' runs that no item has are left where they are found.
 
-    The runs that are met, and the pairs, are written: documents are cut into runs once, and where the pairs are few their texts are fetched without a shuffle of all."""
+    told: columns by name, from the document's text (body). The runs that are met, the pairs, and what is told of documents are written: documents are cut into runs once, where the
+    pairs are few their texts are fetched without a shuffle of all, and a text is read once, however many items it meets."""
 
     def runs(df, key):
         words = F.regexp_extract_all(F.lower("text"), F.lit(r"([^\x20\x09-\x0D]+)"))
@@ -491,28 +492,30 @@ def pairs(spark, d):
     met = written(runs(docs, "doc_id").join(asked.select("run").distinct(), "run", "left_semi"))
     rarest = asked.join(met.groupBy("run").agg(F.count("*").alias("n")), "run").groupBy("item_id").agg(F.min(F.struct("n", "run")).alias("r")).select("item_id", "r.run")
     found = written(rarest.join(met, "run").select("item_id", "doc_id"))
-    texts = docs.select("doc_id", F.col("text").alias("body")).join(found, "doc_id").join(items.select("item_id", F.col("text").alias("title")), "item_id")
-    return spread(texts.select("item_id", "title", "doc_id", "body"), "item_id", "doc_id")
+    texts = docs.select("doc_id", F.col("text").alias("body")).join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+    read = written(spread(texts, "doc_id").select("doc_id", *[c.alias(n) for n, c in told.items()]))
+    return spread(found.join(items.select("item_id", F.col("text").alias("title")), "item_id"), "item_id", "doc_id").join(read, "doc_id")
 
 
 @query(_PAIRS + r""", p AS (SELECT item_id, doc_id, regexp_replace(lower(b.text), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS e, regexp_replace(lower(split_part(t.text, chr(10), 1)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS c FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id)),
 g AS (SELECT item_id, doc_id, list_distinct(list_transform(range(1, length(e)), lambda i: substr(e, i, 2))) AS a, list_distinct(list_transform(range(1, length(c)), lambda i: substr(c, i, 2))) AS b FROM p)
 SELECT item_id, doc_id, round(len(list_intersect(a, b)) / len(a)::DOUBLE, 6) AS recall FROM g""")
 def title_match_bigram(spark, d):
-    p = pairs(spark, d).select("item_id", "doc_id", text.compact_title("title").alias("e"), text.compact_title(F.split_part("body", F.lit("\n"), F.lit(1))).alias("c"))
+    p = pairs(spark, d, c=text.compact_title(F.split_part("body", F.lit("\n"), F.lit(1)))).select("item_id", "doc_id", text.compact_title("title").alias("e"), "c")
     return p.select("item_id", "doc_id", F.round(F.size(F.array_intersect(text.bigrams("e"), text.bigrams("c"))) / F.size(text.bigrams("e")), 6).alias("recall"))
 
 
 @query(_PAIRS + r""", p AS (SELECT item_id, doc_id, list_filter(list_transform(string_split_regex(b.text, '[\s：:、,，/|()（）【】《》\-—]+'), lambda t: regexp_replace(lower(t), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g')), lambda t: length(t) >= 2) AS tokens, regexp_replace(lower(substr(t.text, 1, 240000)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS plain FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id))
 SELECT item_id, doc_id, len(tokens) AS tokens, round(len(list_filter(tokens, lambda t: contains(plain, t))) / len(tokens)::DOUBLE, 6) AS coverage FROM p""")
 def title_token_coverage(spark, d):
-    p = pairs(spark, d).select("item_id", "doc_id", text.title_tokens("title").alias("t"), text.token_coverage("title", text.compact_title(F.substring("body", 1, 240_000))).alias("c"))
+    p = pairs(spark, d, plain=text.compact_title(F.substring("body", 1, 240_000))).select("item_id", "doc_id", text.title_tokens("title").alias("t"), text.token_coverage("title", F.col("plain")).alias("c"))
     return p.select("item_id", "doc_id", F.size("t").cast("long").alias("tokens"), F.round("c", 6).alias("coverage"))
 
 
 @query(None)
 def title_match_ratio(spark, d):
-    return pairs(spark, d).select("item_id", "doc_id", text.title_score("title", F.split_part("body", F.lit("\n"), F.lit(1)), "body").alias("score"))
+    p = pairs(spark, d, first=F.split_part("body", F.lit("\n"), F.lit(1)), plain=text.compact_title("body"))
+    return p.select("item_id", "doc_id", text.title_score("title", "first", plain="plain").alias("score"))
 
 
 @query("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")

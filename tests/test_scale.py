@@ -1,5 +1,6 @@
 """What a query costs must not grow with how often an expression is used, or with how few files its input has."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -107,6 +108,36 @@ def test_compared_texts_are_computed_once(spark):
     assert (got["none"], got["half"], got["b"], got["s"]) == (0.5, 0.5, ["ni", "ig"], 0.88)
 
 
+def test_whole_texts_are_scored(spark, tmp_path):
+    """Only the first 240,000 characters of a page were searched for a title."""
+    title = "Rare night show, rare day fair"
+    spark.createDataFrame([(0, title)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["zz\n" + "zz zz\n" * 50_000 + end for end in (f"{title}!", "rare night show, then a day", "zz")]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in registry.QUERIES["title_match_ratio"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0.92}
+    scores = spark.createDataFrame([(title, "zz", t) for t in texts], "e string, c string, p string").select(text.title_score("e", "c", "p").alias("raw"), text.title_score("e", "c", plain=text.compact_title("p")).alias("plain")).collect()
+    assert [r["raw"] for r in scores] == [r["plain"] for r in scores] == [0.92, 0.6833, 0.0]
+
+
+def test_a_text_is_compacted_once(spark):
+    """Texts were shuffled and compacted anew for each item that they meet."""
+    plan = catalogue.pairs(spark, FOLDER, plain=text.compact_title("body"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+
+
+def test_long_texts_are_cleaned_in_one_pass(spark):
+    """Each < that nothing closes, and each blank of a run, was followed to the end: a long text of either took hours. Nothing else changes."""
+    rnd = random.Random(7)
+    pieces = ["<", ">", "<b>", "<br />", "<BR", "&lt;", "&amp;", "&", "a", "B", " ", "\n", "\r", "\u3000", "\u00a0", "\u0085", "\u2028", "\t", "夏", "😀", "$1", "\\\\"]
+    odd = ["", "<", "<>", "<<", "a<b", "<a <b> c <d", *["".join(rnd.choices(pieces, k=rnd.randrange(12))) for _ in range(2000)]]
+    tags = F.regexp_replace(F.regexp_replace(text.unescape("t"), r"(?i)<br\s*/?>", "\n"), r"<[^>]+>", "")
+    got = spark.createDataFrame([(x,) for x in odd], "t string").select("t", text.untagged(F.col("t")).alias("tags"), tags.alias("tags_before"), text.strip("t").alias("strip"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("strip_before")).collect()
+    assert [r for r in got if r["tags"] != r["tags_before"] or r["strip"] != r["strip_before"]] == []
+    many = lambda c: text.compact_title(F.concat(F.lit("a"), F.repeat(F.lit(c), F.lit(2_000_000)), F.lit("x")))
+    assert tuple(spark.range(1).select(many("<"), many("\u3000")).first()) == ("ax", "ax")
+
+
 def test_bigrams_of_odd_texts(spark):
     odd = ["", "a", "ab", "aaa", "館a館", "a😀b😀", "x" * 5000 + "y", "a\nb", ".*|"]
     got = spark.createDataFrame([(t,) for t in [*odd, None]], "t string").select("t", text.bigrams("t").alias("b")).collect()
