@@ -505,10 +505,10 @@ def title_match_bigram(spark, d):
     return p.select("item_id", "doc_id", F.round(F.size(F.array_intersect(text.bigrams("e"), text.bigrams("c"))) / F.size(text.bigrams("e")), 6).alias("recall"))
 
 
-@query(_PAIRS + r""", p AS (SELECT item_id, doc_id, list_filter(list_transform(string_split_regex(b.text, '[\s：:、,，/|()（）【】《》\-—]+'), lambda t: regexp_replace(lower(t), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g')), lambda t: length(t) >= 2) AS tokens, regexp_replace(lower(substr(t.text, 1, 240000)), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS plain FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id))
+@query(_PAIRS + r""", p AS (SELECT item_id, doc_id, list_filter(list_transform(string_split_regex(b.text, '[\s：:、,，/|()（）【】《》\-—]+'), lambda t: regexp_replace(lower(t), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g')), lambda t: length(t) >= 2) AS tokens, regexp_replace(lower(t.text), '[^0-9a-z\x{3400}-\x{9fff}]+', '', 'g') AS plain FROM pairs JOIN benchmark b USING (item_id) JOIN documents t USING (doc_id))
 SELECT item_id, doc_id, len(tokens) AS tokens, round(len(list_filter(tokens, lambda t: contains(plain, t))) / len(tokens)::DOUBLE, 6) AS coverage FROM p""")
 def title_token_coverage(spark, d):
-    p = pairs(spark, d, plain=text.compact_title(F.substring("body", 1, 240_000))).select("item_id", "doc_id", text.title_tokens("title").alias("t"), text.token_coverage("title", F.col("plain")).alias("c"))
+    p = pairs(spark, d, plain=text.compact_title("body")).select("item_id", "doc_id", text.title_tokens("title").alias("t"), text.token_coverage("title", F.col("plain")).alias("c"))
     return p.select("item_id", "doc_id", F.size("t").cast("long").alias("tokens"), F.round("c", 6).alias("coverage"))
 
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from showbill.functions import geo, text, urls
@@ -120,6 +121,20 @@ def test_whole_texts_are_scored(spark, tmp_path):
     assert [r["raw"] for r in scores] == [r["plain"] for r in scores] == [0.92, 0.6833, 0.0]
 
 
+def test_whole_texts_are_covered(spark, tmp_path):
+    """Only the first 240,000 characters of a text were searched for a title's tokens, in the SQL too."""
+    title = "Rare night show, rare day fair"
+    spark.createDataFrame([(0, title)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["zz\n" + "zz zz\n" * 50_000 + end for end in ("rare night show, then", "fair, rare night show,", "zz")]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in registry.QUERIES["title_token_coverage"](spark, str(tmp_path)).select("item_id", "doc_id", "tokens", "coverage").collect()]
+    con = duckdb.connect()
+    for t in ("benchmark", "documents"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(f"SELECT item_id, doc_id, tokens, coverage FROM ({registry.ORACLES['title_token_coverage']})").fetchall()
+    assert sorted(got) == sorted(want) == [(0, 0, 6, 0.666667), (0, 1, 6, 0.833333)]
+
+
 def test_a_text_is_compacted_once(spark):
     """Texts were shuffled and compacted anew for each item that they meet."""
     plan = catalogue.pairs(spark, FOLDER, plain=text.compact_title("body"))._jdf.queryExecution().optimizedPlan().toString()
